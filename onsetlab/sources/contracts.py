@@ -11,106 +11,140 @@ from pyspark.sql import types as T
 
 from onsetlab.functions.dates import is_date_column, rejected_date
 
+def _data_type(column: str, declared: str) -> T.DataType:
+    declared = declared.strip().lower()
+    text = re.fullmatch(r"varchar\((\d+|max)\)", declared)
+    if text:
+        length = text.group(1)
+        return T.StringType() if length == "max" else T.VarcharType(int(length))
+    if declared == "integer":
+        # Identifiers outgrow 32 bits on large sites; codes and counts do not.
+        is_key = column.endswith("_id") and not column.endswith("_concept_id")
+        return T.LongType() if is_key else T.IntegerType()
+    simple: dict[str, T.DataType] = {
+        "bigint": T.LongType(),
+        "float": T.DoubleType(),
+        "date": T.DateType(),
+        "datetime": T.TimestampNTZType(),
+    }
+    if declared not in simple:
+        raise ValueError(f"no type for {declared!r} of column {column}")
+    return simple[declared]
+
+
+def _contract(columns: str) -> T.StructType:
+    fields = []
+    for line in columns.strip().splitlines():
+        name, declared, *required = line.split()
+        fields.append(T.StructField(name, _data_type(name, declared), not required))
+    return T.StructType(fields)
+
+
 # The OMOP Common Data Model 5.4 contracts of the tables the job
-# reads. Keys that are joined on are 64-bit.
+# reads, one column per line. Keys that are joined on are 64-bit.
+_COLUMNS: dict[str, str] = {
+    "person": """
+        person_id bigint required
+        gender_concept_id integer required
+        year_of_birth integer required
+        month_of_birth integer
+        day_of_birth integer
+        birth_datetime datetime
+        race_concept_id integer required
+        ethnicity_concept_id integer required
+        location_id bigint
+        provider_id bigint
+        care_site_id bigint
+        person_source_value varchar(50)
+        gender_source_value varchar(50)
+        gender_source_concept_id integer
+        race_source_value varchar(50)
+        race_source_concept_id integer
+        ethnicity_source_value varchar(50)
+        ethnicity_source_concept_id integer
+    """,
+    "observation_period": """
+        observation_period_id bigint required
+        person_id bigint required
+        observation_period_start_date date required
+        observation_period_end_date date required
+        period_type_concept_id integer required
+    """,
+    "condition_occurrence": """
+        condition_occurrence_id bigint required
+        person_id bigint required
+        condition_concept_id bigint required
+        condition_start_date date required
+        condition_start_datetime datetime
+        condition_end_date date
+        condition_end_datetime datetime
+        condition_type_concept_id integer required
+        condition_status_concept_id integer
+        stop_reason varchar(20)
+        provider_id bigint
+        visit_occurrence_id bigint
+        visit_detail_id bigint
+        condition_source_value varchar(50)
+        condition_source_concept_id integer
+        condition_status_source_value varchar(50)
+    """,
+    "drug_exposure": """
+        drug_exposure_id bigint required
+        person_id bigint required
+        drug_concept_id bigint required
+        drug_exposure_start_date date required
+        drug_exposure_start_datetime datetime
+        drug_exposure_end_date date required
+        drug_exposure_end_datetime datetime
+        verbatim_end_date date
+        drug_type_concept_id integer required
+        stop_reason varchar(20)
+        refills integer
+        quantity float
+        days_supply integer
+        sig varchar(max)
+        route_concept_id integer
+        lot_number varchar(50)
+        provider_id bigint
+        visit_occurrence_id bigint
+        visit_detail_id bigint
+        drug_source_value varchar(50)
+        drug_source_concept_id integer
+        route_source_value varchar(50)
+        dose_unit_source_value varchar(50)
+    """,
+    "death": """
+        person_id bigint required
+        death_date date required
+        death_datetime datetime
+        death_type_concept_id integer
+        cause_concept_id integer
+        cause_source_value varchar(50)
+        cause_source_concept_id integer
+    """,
+    "concept": """
+        concept_id bigint required
+        concept_name varchar(255) required
+        domain_id varchar(20) required
+        vocabulary_id varchar(20) required
+        concept_class_id varchar(20) required
+        standard_concept varchar(1)
+        concept_code varchar(50) required
+        valid_start_date date required
+        valid_end_date date required
+        invalid_reason varchar(1)
+    """,
+    "concept_ancestor": """
+        ancestor_concept_id bigint required
+        descendant_concept_id bigint required
+        min_levels_of_separation integer required
+        max_levels_of_separation integer required
+    """,
+}
+
+
 CONTRACTS: dict[str, T.StructType] = {
-    "person": T.StructType.fromDDL("""
-        person_id BIGINT NOT NULL,
-        gender_concept_id INT NOT NULL,
-        year_of_birth INT NOT NULL,
-        month_of_birth INT,
-        day_of_birth INT,
-        birth_datetime TIMESTAMP_NTZ,
-        race_concept_id INT NOT NULL,
-        ethnicity_concept_id INT NOT NULL,
-        location_id BIGINT,
-        provider_id BIGINT,
-        care_site_id BIGINT,
-        person_source_value VARCHAR(50),
-        gender_source_value VARCHAR(50),
-        gender_source_concept_id INT,
-        race_source_value VARCHAR(50),
-        race_source_concept_id INT,
-        ethnicity_source_value VARCHAR(50),
-        ethnicity_source_concept_id INT
-    """),
-    "observation_period": T.StructType.fromDDL("""
-        observation_period_id BIGINT NOT NULL,
-        person_id BIGINT NOT NULL,
-        observation_period_start_date DATE NOT NULL,
-        observation_period_end_date DATE NOT NULL,
-        period_type_concept_id INT NOT NULL
-    """),
-    "condition_occurrence": T.StructType.fromDDL("""
-        condition_occurrence_id BIGINT NOT NULL,
-        person_id BIGINT NOT NULL,
-        condition_concept_id BIGINT NOT NULL,
-        condition_start_date DATE NOT NULL,
-        condition_start_datetime TIMESTAMP_NTZ,
-        condition_end_date DATE,
-        condition_end_datetime TIMESTAMP_NTZ,
-        condition_type_concept_id INT NOT NULL,
-        condition_status_concept_id INT,
-        stop_reason VARCHAR(20),
-        provider_id BIGINT,
-        visit_occurrence_id BIGINT,
-        visit_detail_id BIGINT,
-        condition_source_value VARCHAR(50),
-        condition_source_concept_id INT,
-        condition_status_source_value VARCHAR(50)
-    """),
-    "drug_exposure": T.StructType.fromDDL("""
-        drug_exposure_id BIGINT NOT NULL,
-        person_id BIGINT NOT NULL,
-        drug_concept_id BIGINT NOT NULL,
-        drug_exposure_start_date DATE NOT NULL,
-        drug_exposure_start_datetime TIMESTAMP_NTZ,
-        drug_exposure_end_date DATE NOT NULL,
-        drug_exposure_end_datetime TIMESTAMP_NTZ,
-        verbatim_end_date DATE,
-        drug_type_concept_id INT NOT NULL,
-        stop_reason VARCHAR(20),
-        refills INT,
-        quantity DOUBLE,
-        days_supply INT,
-        sig STRING,
-        route_concept_id INT,
-        lot_number VARCHAR(50),
-        provider_id BIGINT,
-        visit_occurrence_id BIGINT,
-        visit_detail_id BIGINT,
-        drug_source_value VARCHAR(50),
-        drug_source_concept_id INT,
-        route_source_value VARCHAR(50),
-        dose_unit_source_value VARCHAR(50)
-    """),
-    "death": T.StructType.fromDDL("""
-        person_id BIGINT NOT NULL,
-        death_date DATE NOT NULL,
-        death_datetime TIMESTAMP_NTZ,
-        death_type_concept_id INT,
-        cause_concept_id INT,
-        cause_source_value VARCHAR(50),
-        cause_source_concept_id INT
-    """),
-    "concept": T.StructType.fromDDL("""
-        concept_id BIGINT NOT NULL,
-        concept_name VARCHAR(255) NOT NULL,
-        domain_id VARCHAR(20) NOT NULL,
-        vocabulary_id VARCHAR(20) NOT NULL,
-        concept_class_id VARCHAR(20) NOT NULL,
-        standard_concept VARCHAR(1),
-        concept_code VARCHAR(50) NOT NULL,
-        valid_start_date DATE NOT NULL,
-        valid_end_date DATE NOT NULL,
-        invalid_reason VARCHAR(1)
-    """),
-    "concept_ancestor": T.StructType.fromDDL("""
-        ancestor_concept_id BIGINT NOT NULL,
-        descendant_concept_id BIGINT NOT NULL,
-        min_levels_of_separation INT NOT NULL,
-        max_levels_of_separation INT NOT NULL
-    """),
+    table: _contract(columns) for table, columns in _COLUMNS.items()
 }
 
 
@@ -133,27 +167,6 @@ def contracts_from_field_list(
     return {table: T.StructType(columns) for table, columns in tables.items()}
 
 
-def _data_type(column: str, declared: str) -> T.DataType:
-    declared = declared.strip().lower()
-    text = re.fullmatch(r"varchar\((\d+|max)\)", declared)
-    if text:
-        length = text.group(1)
-        return T.StringType() if length == "max" else T.VarcharType(int(length))
-    if declared == "integer":
-        # Identifiers outgrow 32 bits on large sites; codes and counts do not.
-        is_key = column.endswith("_id") and not column.endswith("_concept_id")
-        return T.LongType() if is_key else T.IntegerType()
-    simple: dict[str, T.DataType] = {
-        "bigint": T.LongType(),
-        "float": T.DoubleType(),
-        "date": T.DateType(),
-        "datetime": T.TimestampNTZType(),
-    }
-    if declared not in simple:
-        raise ValueError(f"no type for {declared!r} of column {column}")
-    return simple[declared]
-
-
 def landing_schema(contract: T.StructType) -> T.StructType:
     """The types a contract's columns have on disk.
 
