@@ -33,7 +33,11 @@ CONDITION_COLUMNS = feature_names(
 )
 DRUG_COLUMNS = feature_names("drug_", [f"NATION_{n}" for n in range(25)])
 OPTIONS = mortality.MortalityOptions(
-    disease_codes=DISEASE, condition_columns=CONDITION_COLUMNS, drug_columns=DRUG_COLUMNS
+    disease_codes=DISEASE,
+    condition_columns=CONDITION_COLUMNS,
+    drug_columns=DRUG_COLUMNS,
+    # Here an event table is a join of two others.
+    stage_conditions=True,
 )
 EVENTS = {
     "condition": ("condition_occurrence", "condition_concept_id", "condition_start_date"),
@@ -103,7 +107,8 @@ class Clinic:
     def features(self, **changes) -> DataFrame:
         """The matrix with its keys; its stages stay until the scratch folder goes."""
         stages = staging.Stages(self.spark)
-        return mortality.build_matrix(self.tables(), replace(OPTIONS, **changes), stages)
+        features, _ = mortality.build_matrix(self.tables(), replace(OPTIONS, **changes), stages)
+        return features
 
     def scratch(self, name: str) -> str:
         return f"{staging.scratch_dir(self.spark)}/{name}-{uuid4().hex}"

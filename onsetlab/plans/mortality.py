@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from onsetlab.functions.naming import feature_names
 from onsetlab.operators.cohort import count_cohort
@@ -17,7 +18,12 @@ from onsetlab.operators.lookback import (
     lookback_events,
     top_category_names,
 )
-from onsetlab.operators.matrix import assemble_features, pivot_counts, pivot_index_counts
+from onsetlab.operators.matrix import (
+    INDEX_GRAIN,
+    assemble_features,
+    pivot_counts,
+    pivot_index_counts,
+)
 from onsetlab.operators.model import evaluate, score, train
 from onsetlab.operators.split import SPLIT_WEIGHTS, split
 from onsetlab.operators.vocabulary import condition_category_map, drug_category_map
@@ -64,33 +70,42 @@ class MortalityOptions:
     followup: str = "as_written"
     onset: str = "every"
     lookback: tuple[int, int] = LOOKBACK_DAYS
-    top: int = 10
+    # The number of categories that count; None takes all that have a column.
+    top: int | None = 10
     null_takes_slot: bool = True
     grain: str = "index"
     fill_cols: Sequence[str] | None = None
     weights: Sequence[float] = SPLIT_WEIGHTS
     # Column names by category, to fix the matrix's columns in advance. By
     # default there is one column for each top category.
-    condition_columns: dict[str, str] | None = field(default=None)
-    drug_columns: dict[str, str] | None = field(default=None)
+    condition_columns: Mapping[str, str] | None = None
+    drug_columns: Mapping[str, str] | None = None
+    # Conditions are scanned for the cohort and again for the lookback. Where a
+    # scan is costly (compressed text, a join), write the used columns once.
+    stage_conditions: bool = False
 
 
 def build_matrix(
     tables: ClinicalTables, options: MortalityOptions, stages: Stages
-) -> DataFrame:
-    """The feature matrix with its keys.
+) -> tuple[DataFrame, MortalityOptions]:
+    """The feature matrix with its keys, and the options with its columns filled in.
 
-    The large event tables are scanned once for the cohort and once for each
-    lookback. What is used several times after that is staged: the category
-    maps, the cohort, and the few events that lie in some lookback.
+    Each large event table is scanned once per use: conditions for the cohort
+    and for their lookback, drugs for theirs. What is used several times after
+    that is staged: the category maps, the cohort, and the few events that lie
+    in some lookback.
     """
     maps = {
         "condition": stages.stage(tables.condition_categories, "condition_categories"),
         "drug": stages.stage(tables.drug_categories, "drug_categories"),
     }
+    conditions = tables.condition_occurrence
+    if options.stage_conditions:
+        used = conditions.select("person_id", "condition_concept_id", "condition_start_date")
+        conditions = stages.stage(used, "conditions")
     cohort = stages.stage(
         count_cohort(
-            tables.condition_occurrence,
+            conditions,
             tables.observation_period,
             tables.death,
             maps["condition"],
@@ -104,23 +119,26 @@ def build_matrix(
         ),
         "cohort",
     )
-    conditions = _wide_counts(
-        cohort, tables.condition_occurrence, "condition", "condition_start_date",
-        maps["condition"], options, options.condition_columns, "cond_", stages,
+    condition_counts, condition_columns = _wide_counts(
+        cohort, conditions, "condition", "condition_start_date", maps["condition"],
+        options, options.condition_columns, "cond_", stages,
     )
-    drugs = _wide_counts(
-        cohort, tables.drug_exposure, "drug", "drug_exposure_start_date",
-        maps["drug"], options, options.drug_columns, "drug_", stages,
+    drug_counts, drug_columns = _wide_counts(
+        cohort, tables.drug_exposure, "drug", "drug_exposure_start_date", maps["drug"],
+        options, options.drug_columns, "drug_", stages,
     )
-    return assemble_features(
+    matrix = assemble_features(
         cohort,
-        conditions,
-        drugs,
+        condition_counts,
+        drug_counts,
         tables.person,
         grain=options.grain,
         fill_cols=options.fill_cols,
         keep_id=True,
     )
+    return matrix, replace(
+        options, condition_columns=condition_columns, drug_columns=drug_columns
+    )
 
 
 def _wide_counts(
@@ -130,10 +148,10 @@ def _wide_counts(
     date_col: str,
     categories: DataFrame,
     options: MortalityOptions,
-    columns: dict[str, str] | None,
+    columns: Mapping[str, str] | None,
     prefix: str,
     stages: Stages,
-) -> DataFrame:
+) -> tuple[DataFrame, Mapping[str, str]]:
     category_col = f"{kind}_category"
     met = stages.stage(
         lookback_events(cohort, events, f"{kind}_concept_id", date_col, options.lookback),
@@ -141,16 +159,19 @@ def _wide_counts(
     )
     categorised = categorise(met, categories, category_col)
     counts = count_categories(categorised, category_col)
-    names = top_category_names(counts, category_col, options.top, options.null_takes_slot)
-    if columns is None:
-        columns = feature_names(prefix, names)
-    else:
-        # Fixed columns stay in the matrix; those outside the top are empty.
-        categorised = categorised.filter(categorised[category_col].isin(names))
-        counts = counts.filter(counts[category_col].isin(names))
+    if options.top is not None:
+        names = top_category_names(counts, category_col, options.top, options.null_takes_slot)
+        if columns is None:
+            columns = feature_names(prefix, names)
+        categorised = categorised.filter(F.col(category_col).isin(names))
+        counts = counts.filter(F.col(category_col).isin(names))
+    elif columns is None:
+        raise ValueError("give the columns, or the number of top categories")
     if options.grain == "index":
-        return pivot_index_counts(cohort, categorised, category_col, columns, options.lookback)
-    return pivot_counts(counts, category_col, columns)
+        wide = pivot_index_counts(cohort, categorised, category_col, columns, options.lookback)
+    else:
+        wide = pivot_counts(counts, category_col, columns)
+    return wide, columns
 
 
 @dataclass(frozen=True)
@@ -161,6 +182,8 @@ class MortalityRun:
     test_path: str
     model: PipelineModel
     metrics: DataFrame
+    # The job's options, with the matrix's columns filled in.
+    options: MortalityOptions
 
 
 def run(
@@ -176,26 +199,30 @@ def run(
     The model is trained on the written training rows and evaluated on the
     written test rows, which hold other patients.
     """
-    options = replace(options, weights=tuple(options.weights))
     if len(options.weights) != 2:
         raise ValueError("a job has two weights, for training and test rows")
     train_path, test_path = f"{output}/train", f"{output}/test"
     with Stages(spark) as stages:
-        matrix = stages.stage(build_matrix(tables, options, stages), "matrix")
-        keys = [c for c in ("person_id", "disease_start_date") if c in matrix.columns]
+        matrix, options = build_matrix(tables, options, stages)
+        matrix = stages.stage(matrix, "matrix")
+        keys = [c for c in INDEX_GRAIN if c in matrix.columns]
         parts = split(matrix, options.weights)
         for part, path, table in zip(parts, (train_path, test_path), (train_table, test_table)):
             write_dataset(part.drop(*keys), path, table)
     model = train(read_dataset(spark, train_path))
     metrics = evaluate(model, read_dataset(spark, test_path))
-    return MortalityRun(train_path, test_path, model, metrics)
+    return MortalityRun(train_path, test_path, model, metrics, options)
 
 
 def score_patients(
     model: PipelineModel, tables: ClinicalTables, options: MortalityOptions, stages: Stages
 ) -> DataFrame:
-    """Risk of each cohort row, for the columns a model was trained on.
+    """Risk of each cohort row of ``tables``, by its keys.
 
-    Give the training run's columns in ``options`` so that the matrix has them.
+    ``options`` are those a finished run gives back: the matrix then has the
+    model's columns, whatever is common among these patients. For patients whose
+    follow-up still lies ahead set ``min_followup=-1``, which asks only that the
+    onset is observed. The scores read from ``stages``: use them before it ends.
     """
-    return score(model, build_matrix(tables, options, stages))
+    matrix, _ = build_matrix(tables, replace(options, top=None), stages)
+    return score(model, matrix)

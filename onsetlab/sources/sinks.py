@@ -11,9 +11,10 @@ def write_dataset(
     """Replace the Parquet dataset at ``path``, and its catalog table if named.
 
     The table is external: the catalog entry follows the schema of ``df``, and
-    the files stay where ``path`` says.
+    the files stay where ``path`` says. Files get an even size, whatever the
+    partitioning of ``df``.
     """
-    writer = df.write.mode("overwrite").format("parquet").option("compression", compression)
+    writer = df.hint("rebalance").write.mode("overwrite").format("parquet").option("compression", compression)
     if table is None:
         writer.save(path)
     else:

@@ -45,7 +45,7 @@ def read_landing_csv(
     inferring types. ``options`` go to the CSV reader (delimiter, header, ...).
     """
     reader = spark.read.schema(landing_schema(contract))
-    return reader.options(**{"header": "true", **options}).csv(path)
+    return reader.options(**{"header": "true", "enforceSchema": "false", **options}).csv(path)
 
 
 def patient_table(df: DataFrame) -> DataFrame:
