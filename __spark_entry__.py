@@ -83,15 +83,15 @@ class Clinic:
         compact = cohorts.count_cohort(*self.cohort_inputs(), disease_codes=DISEASE)
         return self.stage(compact, "cohort")
 
-    def category_counts(self, kind: str) -> DataFrame:
+    def categorised(self, kind: str) -> DataFrame:
         table, concept_col, date_col = EVENTS[kind]
         met = lookbacks.lookback_events(self.cohort, self.views[table], concept_col, date_col)
         categories = self.condition_map if kind == "condition" else self.drug_map
-        categorised = lookbacks.categorise(met, categories, f"{kind}_category")
-        return lookbacks.count_categories(categorised, f"{kind}_category")
+        return lookbacks.categorise(met, categories, f"{kind}_category")
 
     def staged_counts(self, kind: str) -> DataFrame:
-        return self.stage(self.category_counts(kind), f"{kind}_counts")
+        counts = lookbacks.count_categories(self.categorised(kind), f"{kind}_category")
+        return self.stage(counts, f"{kind}_counts")
 
     def tables(self) -> mortality.ClinicalTables:
         return mortality.ClinicalTables.from_vocabulary(
@@ -215,9 +215,11 @@ def _lookback(kind: str) -> Callable[[Clinic], DataFrame]:
 
 
 def _top(kind: str, **options) -> Callable[[Clinic], DataFrame]:
-    return lambda clinic: lookbacks.top_categories(
-        clinic.category_counts(kind), f"{kind}_category", **options
-    )
+    def build(clinic: Clinic) -> DataFrame:
+        rows = lookbacks.joined_rows(clinic.categorised(kind), f"{kind}_category")
+        return lookbacks.top_categories(rows, f"{kind}_category", **options)
+
+    return build
 
 
 def _common(kind: str) -> Callable[[Clinic], DataFrame]:

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from onsetlab.functions.dates import day_number
 from onsetlab.operators.cohort import ROW_COUNT, compact_cohort
-from onsetlab.operators.lookup import BROADCAST_BYTES, lookup_join, prefilter_keys
+from onsetlab.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup_join
 from onsetlab.operators.rows import expand_rows
 
 LOOKBACK_DAYS = (0, 360)
 CATEGORY_COUNT = "category_count"
+# The order of a day's rows in the sweep over windows and events.
+OPENS, EVENT, CLOSES = 0, 1, 2
 
 
 def lookback_events(
@@ -57,9 +59,8 @@ def lookback_events(
         F.col(concept_col).alias("concept_id"),
         F.col(date_col).alias("event_date"),
     ).filter(F.col("person_id").isNotNull() & F.col("event_date").isNotNull())
-    patients = cohort.select("person_id").distinct()
     daily = (
-        prefilter_keys(narrow, patients, "person_id", max_bytes)
+        _in_some_window(narrow, index, lookback, max_bytes)
         .groupBy("person_id", "concept_id", "event_date")
         .agg(F.count("*").alias("event_rows"))
         .withColumn("day", day_number("event_date"))
@@ -75,28 +76,31 @@ def lookback_events(
         .withColumn("bucket", F.explode_outer(buckets))
         .withColumns({"first": first, "last": last})
     )
-    # Each piece of a window adds its weight on its first day and takes it back
-    # after its last. On its last day it also looks back for an event.
-    def mark(day: Column, step: Column, since: Column) -> Column:
-        return F.struct(day.alias("day"), step.alias("step"), since.alias("since"))
-
-    weight, zero = F.col("index_rows"), F.lit(0).cast("bigint")
-    none = F.lit(None).cast("bigint")
-    marks = F.array(
-        mark(F.col("first"), weight, none),
-        mark(F.col("last") + 1, -weight, none),
-        mark(F.col("last"), zero, F.col("first")),
+    # Each piece of a window adds its weight before the events of its first day
+    # and takes it back after those of its last, where it also looks whether
+    # there was an event since its first day.
+    opens = F.struct(
+        F.col("first").alias("day"), F.lit(OPENS).alias("turn"), F.col("index_rows").alias("step")
+    )
+    closes = F.struct(
+        F.col("last").alias("day"), F.lit(CLOSES).alias("turn"), (-F.col("index_rows")).alias("step")
     )
     windows = pieces.select(
-        "person_id", "bucket", "disease_start_date", "index_rows", F.inline(marks)
-    ).withColumn("checks", F.col("since").isNotNull() | F.col("bucket").isNull())
+        "person_id",
+        "bucket",
+        "disease_start_date",
+        "index_rows",
+        F.col("first").alias("since"),
+        F.inline(F.array(opens, closes)),
+    )
+    daily = daily.withColumn("turn", F.lit(EVENT))
 
-    until_day = (
+    until_here = (
         Window.partitionBy("person_id", "bucket")
-        .orderBy("day")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        .orderBy("day", "turn")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    event_day = F.when(F.col("event_date").isNotNull(), F.col("day"))
+    event_day = F.when(F.col("turn") == EVENT, F.col("day"))
     swept = daily.unionByName(windows, allowMissingColumns=True).select(
         "person_id",
         "concept_id",
@@ -104,19 +108,19 @@ def lookback_events(
         "disease_start_date",
         "event_rows",
         "index_rows",
-        "checks",
-        F.coalesce(F.sum("step").over(until_day), F.lit(0)).alias("covering"),
-        F.coalesce(F.max(event_day).over(until_day) >= F.col("since"), F.lit(False)).alias("met"),
+        "turn",
+        F.sum("step").over(until_here).alias("covering"),
+        (F.max(event_day).over(until_here) >= F.col("since")).alias("met"),
     )
     is_event = F.col("event_date").isNotNull()
     # An event day has one row here; an onset has one per bucket it meets.
     met = (
-        swept.filter((is_event & (F.col("covering") > 0)) | F.col("checks"))
+        swept.filter((is_event & (F.col("covering") > 0)) | (F.col("turn") == CLOSES))
         .groupBy("person_id", "concept_id", "event_date", "disease_start_date")
         .agg(
             F.max("event_rows").alias("event_rows"),
             F.max(F.when(is_event, F.col("covering")).otherwise(F.col("index_rows"))).alias("index_rows"),
-            F.bool_or("met").alias("met"),
+            F.bool_or(F.coalesce("met", F.lit(False))).alias("met"),
         )
     )
     return met.filter(is_event | ~F.col("met")).select(
@@ -128,6 +132,44 @@ def lookback_events(
     )
 
 
+def _in_some_window(
+    events: DataFrame, index: DataFrame, lookback: tuple[int, int], max_bytes: int
+) -> DataFrame:
+    """Drop the events outside all lookback windows, where that costs no shuffle.
+
+    Overlapping windows of a person are merged first, so that an event is
+    compared with few spans: they are disjoint and each as long as a window. If
+    the spans of all patients are too large to broadcast the events come back
+    as they are, and the sweep drops the others.
+    """
+    nearest, farthest = lookback
+    by_day = Window.partitionBy("person_id").orderBy("first")
+    until_row = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    windows = index.filter(
+        F.col("person_id").isNotNull() & F.col("disease_start_date").isNotNull()
+    ).select(
+        "person_id",
+        F.date_sub("disease_start_date", farthest).alias("first"),
+        F.date_sub("disease_start_date", nearest).alias("last"),
+    )
+    # All windows have the same length, so the latest end so far is the one of
+    # the window before.
+    detached = F.col("first") > F.date_add(F.lag("last").over(by_day), 1)
+    spans = (
+        windows.withColumn("detached", F.coalesce(detached.cast("int"), F.lit(0)))
+        .withColumn("span", F.sum("detached").over(until_row))
+        .groupBy(F.col("person_id").alias("patient_id"), "span")
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
+        .drop("span")
+    )
+    if not fits_broadcast(spans, max_bytes):
+        return events
+    inside = (F.col("person_id") == F.col("patient_id")) & F.col("event_date").between(
+        F.col("first"), F.col("last")
+    )
+    return events.join(F.broadcast(spans), inside, "left_semi")
+
+
 def categorise(
     lookback: DataFrame,
     categories: DataFrame,
@@ -161,10 +203,19 @@ def categorise(
     )
 
 
+def joined_rows(categorised: DataFrame, category_col: str) -> DataFrame:
+    """Each row's person, category, and the number of joined rows it stands for."""
+    rows = F.col("event_rows") * F.col("index_rows")
+    return categorised.select("person_id", category_col, rows.alias(CATEGORY_COUNT))
+
+
 def count_categories(categorised: DataFrame, category_col: str) -> DataFrame:
     """Joined rows per person and category: ``person_id, category, category_count``."""
-    rows = F.col("event_rows") * F.col("index_rows")
-    return categorised.groupBy("person_id", category_col).agg(F.sum(rows).alias(CATEGORY_COUNT))
+    return (
+        joined_rows(categorised, category_col)
+        .groupBy("person_id", category_col)
+        .agg(F.sum(CATEGORY_COUNT).alias(CATEGORY_COUNT))
+    )
 
 
 def lookback_categories(
@@ -188,6 +239,7 @@ def top_categories(
 ) -> DataFrame:
     """The ``n`` categories with the most rows, with their ``category_count``.
 
+    Takes the result of :func:`count_categories` or :func:`joined_rows`.
     Rows without a category compete for a place unless ``null_takes_slot`` is
     false. Ties are broken by name, rows without a category last.
     """

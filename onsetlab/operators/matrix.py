@@ -116,8 +116,10 @@ def assemble_features(
         c for df in (condition_counts, drug_counts) for c in df.columns if c not in keys
     ]
     wide = wide.select(*keys, "target", *count_columns, *DEMOGRAPHICS, ROW_COUNT)
-    wide = wide.fillna(0, subset=list(fill_cols)) if fill_cols is not None else wide.fillna(0)
-    matrix = expand_rows(wide, ROW_COUNT)
+    # Keys are not features: a missing one stays missing.
+    filled = [*count_columns, *DEMOGRAPHICS] if fill_cols is None else list(fill_cols)
+    wide = wide.fillna(0, subset=filled) if filled else wide
+    matrix = expand_rows(wide, ROW_COUNT, spread=[*keys, "target"])
     # The label leads, as single-table trainers expect.
     ordered = ["target", *count_columns, *DEMOGRAPHICS]
     return matrix.select(*(keys if keep_id else []), *ordered)

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 16
 
 
-def expand_rows(df: DataFrame, count_col: str) -> DataFrame:
+def expand_rows(
+    df: DataFrame, count_col: str, spread: Sequence[str] | None = None
+) -> DataFrame:
     """Repeat each row ``count_col`` times and drop that column.
 
     A row that stands for very many is first cut into chunks, and the chunks
     are shuffled while they are still compact, so no task has to write out all
-    copies of one row.
+    copies of one row. ``spread`` names the columns that tell rows apart, where
+    that takes fewer than all.
     """
     kept = [c for c in df.columns if c != count_col]
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -24,7 +29,7 @@ def expand_rows(df: DataFrame, count_col: str) -> DataFrame:
     copies = F.least(F.lit(CHUNK), F.col(count_col) - F.col("_chunk") * CHUNK).cast("int")
     return (
         chunks.select(*kept, "_chunk", copies.alias("_copies"))
-        .repartition(partitions, *kept, "_chunk")
+        .repartition(partitions, *(spread or kept), "_chunk")
         .select(*kept, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
         .drop("_copy")
     )

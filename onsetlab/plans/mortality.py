@@ -15,10 +15,12 @@ from onsetlab.operators.lookback import (
     LOOKBACK_DAYS,
     categorise,
     count_categories,
+    joined_rows,
     lookback_events,
     top_category_names,
 )
 from onsetlab.operators.matrix import (
+    GRAINS,
     INDEX_GRAIN,
     assemble_features,
     pivot_counts,
@@ -158,19 +160,27 @@ def _wide_counts(
         f"{kind}_lookback",
     )
     categorised = categorise(met, categories, category_col)
-    counts = count_categories(categorised, category_col)
     if options.top is not None:
-        names = top_category_names(counts, category_col, options.top, options.null_takes_slot)
+        rows = joined_rows(categorised, category_col)
+        names = top_category_names(rows, category_col, options.top, options.null_takes_slot)
         if columns is None:
             columns = feature_names(prefix, names)
-        categorised = categorised.filter(F.col(category_col).isin(names))
-        counts = counts.filter(F.col(category_col).isin(names))
-    elif columns is None:
+    elif columns is not None:
+        names = list(columns)
+    else:
         raise ValueError("give the columns, or the number of top categories")
+    filled = {name: columns[name] for name in names if name in columns}
     if options.grain == "index":
-        wide = pivot_index_counts(cohort, categorised, category_col, columns, options.lookback)
+        wide = pivot_index_counts(cohort, categorised, category_col, filled, options.lookback)
     else:
-        wide = pivot_counts(counts, category_col, columns)
+        wide = pivot_counts(count_categories(categorised, category_col), category_col, filled)
+    # Columns fixed in advance stay in the matrix; those outside the top are empty.
+    empty = F.lit(None).cast("bigint")
+    cells = [
+        F.col(column) if name in filled else empty.alias(column)
+        for name, column in columns.items()
+    ]
+    wide = wide.select(*GRAINS[options.grain], *cells)
     return wide, columns
 
 

@@ -175,6 +175,22 @@ def test_fill_can_leave_demographics_missing(spark):
     assert [(row.drug_a, row.year_of_birth) for row in missing] == [(None, None)]
 
 
+def test_fill_may_leave_everything_and_never_touches_keys(spark):
+    features = small_matrix(spark, "person", fill_cols=[])
+    assert any(row.cond_a is None for row in features.collect())
+    cohort = spark.createDataFrame(
+        [(None, 1, day(0), None)],
+        "person_id long, disease_concept_id long, disease_start_date date, death_date date",
+    )
+    none = spark.createDataFrame([], "person_id long, cond_a long")
+    person = spark.createDataFrame(
+        [], "person_id long, gender_concept_id int, year_of_birth int, race_concept_id int"
+    )
+    drugs = none.withColumnRenamed("cond_a", "drug_a")
+    matrix_rows = matrix.assemble_features(cohort, none, drugs, person, keep_id=True)
+    assert plain(matrix_rows) == {(None, 0, 0, 0, 0, 0, 0): 1}
+
+
 def test_unknown_grain(spark):
     with pytest.raises(ValueError):
         small_matrix(spark, "visit")
