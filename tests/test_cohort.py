@@ -59,31 +59,34 @@ def test_cohort_without_broadcast(spark):
     assert rows(salted) == rows(plain)
 
 
-@pytest.mark.parametrize(
-    "before, after, admitted",
-    [(360, 361, False), (361, 360, False), (361, 361, True), (2000, 2000, True)],
-)
-def test_observation_must_exceed_the_days(spark, before, after, admitted):
-    tables = frames(spark, [(1, 1, day(0))], [(1, day(-before), day(after))], [])
-    assert select_cohort(*tables, disease_codes=["D1"]).count() == int(admitted)
-
-
-@pytest.mark.parametrize(
-    "died, within, as_written",
-    [
+def test_observation_must_exceed_the_days(spark):
+    cases = [(360, 361, False), (361, 360, False), (361, 361, True), (2000, 2000, True)]
+    members = [(person, 1, day(0)) for person in range(len(cases))]
+    periods = [(p, day(-before), day(after)) for p, (before, after, _) in enumerate(cases)]
+    cohort = select_cohort(*frames(spark, members, periods, []), disease_codes=["D1"])
+    admitted = {person for person, case in enumerate(cases) if case[2]}
+    assert {row.person_id for row in cohort.collect()} == admitted
+
+
+def test_label_windows(spark):
+    # Days from onset to death, and whether each label attaches it.
+    cases = [
         (-361, False, True),
         (-360, False, False),
         (-1, False, False),
         (0, True, False),
         (360, True, False),
         (361, False, False),
-    ],
-)
-def test_label_windows(spark, died, within, as_written):
-    tables = frames(spark, [(1, 1, day(0))], [(1, day(-900), day(900))], [(1, day(died))])
-    for label, expected in (("within", within), ("as_written", as_written)):
-        row = select_cohort(*tables, disease_codes=["D1"], label=label).first()
-        assert (row.death_date is not None) == expected
+    ]
+    members = [(person, 1, day(0)) for person in range(len(cases))]
+    periods = [(person, day(-900), day(900)) for person in range(len(cases))]
+    deaths = [(person, day(died)) for person, (died, _, _) in enumerate(cases)]
+    tables = frames(spark, members, periods, deaths)
+    for column, label in ((1, "within"), (2, "as_written")):
+        cohort = select_cohort(*tables, disease_codes=["D1"], label=label).collect()
+        assert len(cohort) == len(cases)
+        attached = {row.person_id for row in cohort if row.death_date is not None}
+        assert attached == {person for person, case in enumerate(cases) if case[column]}
 
 
 def test_two_periods_give_two_rows(spark):
