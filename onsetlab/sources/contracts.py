@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from onsetlab.functions.dates import is_date_column, rejected_date
 
+
 def _data_type(column: str, declared: str) -> T.DataType:
     declared = declared.strip().lower()
     text = re.fullmatch(r"varchar\((\d+|max)\)", declared)
