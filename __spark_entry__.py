@@ -330,7 +330,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def register(build: Callable[[Clinic], DataFrame]):
         return lambda spark, folder: build(Clinic(spark, folder))
 
-    return {name: register(build) for name, build in QUERIES.items()}
+    return {name: register(build) for name, build in QUERIES.items()} | _text_queries()[0]
+
+
+def _text_queries() -> tuple[dict, dict]:
+    """Queries and SQL of the text subpackage, where it is installed."""
+    try:
+        import corpus_pipeline
+        from onsetlab.llm import queries as text_queries
+    except ModuleNotFoundError as error:
+        if not str(error.name).startswith(("corpus_pipeline", "onsetlab.llm")):
+            raise
+        return {}, {}
+    registered = {**text_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    oracles = dict(text_queries.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return registered, oracles
 
 
 # The same results in SQL. Each step may use the views and the steps above it.
@@ -553,4 +569,4 @@ def oracle_sql() -> dict[str, str]:
             SELECT person_id, {kind}_category, count(*) AS category_count
             FROM {kind}_common GROUP BY person_id, {kind}_category"""
         oracles[f"{kind}_pivot"] = f"{steps[kind]} SELECT * FROM {kind}_wide"
-    return oracles
+    return oracles | _text_queries()[1]
