@@ -5,10 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from onsetlab.llm import decontaminate, impact_search, token_counts, url_filter
+from onsetlab.llm import (
+    decontaminate,
+    impact_search,
+    quality,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 
 #: The rules of the URL query.
 URL_RULES = (
@@ -30,6 +37,36 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def _remainder(of: str, parts: int) -> Column:
+    """crc32 of a column's text, modulo ``parts``."""
+    return F.pmod(F.crc32(F.coalesce(F.col(of).cast("string"), F.lit(""))), F.lit(parts))
+
+
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    held_out = _remainder("doc_id", 5) == 0
+    model = quality.fit(docs, _table(spark, folder, "labels").where(~held_out))
+    return quality.with_quality(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    held_out = _remainder("doc_id", 4) == 2
+    model = toxicity.fit(docs, _table(spark, folder, "labels").where(~held_out))
+    judged = toxicity.with_toxicity(docs, model).select(
+        "doc_id", held_out.alias("held_out"), F.col("toxicity.score").alias("score"), F.col("toxicity.spans").alias("spans")
+    )
+    return judged.select(
+        "doc_id",
+        "held_out",
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
+
+
 def op5_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "embeddings")
     return impact_search.top_k(rows, rows.where("vec_id % 100 = 0"), 10)
@@ -56,7 +93,9 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_quality": op3_quality,
     "op5_topk_search": op5_topk_search,
+    "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op10_decontamination": op10_decontamination,
 }
