@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from onsetlab.llm import (
     decontaminate,
     impact_search,
+    jaccard_join,
     quality,
     token_counts,
     toxicity,
@@ -77,6 +78,10 @@ def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("strict_terms", "soft_terms")
 
 
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.link_documents(_table(spark, folder, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, _table(spark, folder, "benchmark"))
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_topk_search": op5_topk_search,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_decontamination": op10_decontamination,
 }
 
