@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onsetlab.llm import (
+    byte_bpe,
     decontaminate,
     impact_search,
     jaccard_join,
     quality,
+    repeats,
     token_counts,
     toxicity,
     url_filter,
@@ -38,6 +40,18 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return byte_bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def _remainder(of: str, parts: int) -> Column:
     """crc32 of a column's text, modulo ``parts``."""
     return F.pmod(F.crc32(F.coalesce(F.col(of).cast("string"), F.lit(""))), F.lit(parts))
@@ -82,6 +96,17 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.link_documents(_table(spark, folder, "documents"))
 
 
+def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    length = lambda s: s["last"] - s["first"]
+    return repeats.remove_repeats(_table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + length(s)).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, _table(spark, folder, "benchmark"))
@@ -98,11 +123,13 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_quality": op3_quality,
     "op5_topk_search": op5_topk_search,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_repeats": op9_repeats,
     "op10_decontamination": op10_decontamination,
 }
 
