@@ -13,6 +13,7 @@ from onsetlab.llm import (
     decontaminate,
     impact_search,
     jaccard_join,
+    lm,
     quality,
     repeats,
     token_counts,
@@ -82,6 +83,16 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    held_out = _remainder("doc_id", 10) == 0
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    model = lm.fit(docs.where(~held_out), ranks, public_tokenizers.PATTERN)
+    return lm.score_texts(docs, ~held_out, model, ranks, public_tokenizers.PATTERN).select(
+        "doc_id", (~F.col("taught")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op5_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "embeddings")
     return impact_search.top_k(rows, rows.where("vec_id % 100 = 0"), 10)
@@ -125,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality": op3_quality,
+    "op4_lm_scores": op4_lm_scores,
     "op5_topk_search": op5_topk_search,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
