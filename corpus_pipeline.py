@@ -1,16 +1,83 @@
-"""Documents made ready for training, stage by stage."""
+"""Documents made ready for training, stage by stage.
+
+Each stage takes all that the one before kept. Texts that are too poor go, one
+document of each group of near copies stays, passages that an earlier document
+has are cut out, documents with passages of the benchmark go, and what is left
+becomes token ids.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from onsetlab.llm import byte_bpe, decontaminate, jaccard_join, quality, repeats
+from onsetlab.llm.scratch import cut
+
+#: A document stays if its text is good with this probability or more.
+LEAST_QUALITY = 0.3
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from all labels, does not reject."""
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = quality.with_quality(docs, model, name="_quality")
+    return scored.where(F.col("_quality") >= LEAST_QUALITY).drop("_quality")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id; null ids stay."""
+    linked = jaccard_join.link_documents(docs)
+    others = linked.where("doc_id <> component_id").select("doc_id")
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings that start in an earlier document; whole characters only."""
+    cut = repeats.remove_repeats(docs, characters=True)
+    text = F.when(F.size("removed") > 0, F.decode("kept", "UTF-8"))
+    # A text of which nothing went stays as it was, null included.
+    whole = F.when(F.col("n_bytes") > 0, F.decode("kept", "UTF-8"))
+    changed = cut.withColumn("text", F.coalesce(text, whole)).drop("n_bytes", "removed", "kept")
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return changed.select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.size("found.items") == 0).select(*docs.columns)
+
+
+def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text, their number, and whether they decode to the text."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = byte_bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    decoded = byte_bpe.decode(encoded, ranks)
+    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", good_quality),
+    ("n-gram Jaccard join", one_of_each),
+    ("suffix-array dedup", without_repeats),
+    ("benchmark decontamination", without_benchmark),
+    ("byte-level BPE encoding and decoding", tokenised),
+]
 
-STAGES: list = []
+#: No stage of a learned model or of links over many steps has a plain SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for number, (_, stage) in enumerate(STAGES):
+        # A stage reads its documents more than once, so each result is written down.
+        docs = stage(spark, cut(docs) if number else docs, sf_dir)
     return docs
