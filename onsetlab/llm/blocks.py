@@ -105,11 +105,13 @@ def shard_notes(values: np.ndarray, ids: np.ndarray, block: int, shards: int) ->
     known, first = np.unique(values, return_index=True)
     last = np.append(first[1:], len(values)) - 1
     many = ids[first] != ids[last] if len(known) else np.zeros(0, bool)
-    shard = (known % np.uint64(shards)).astype(np.int64)
+    # Shards are ranges of the 48-bit numbers, so that steps stay small.
+    cuts = np.searchsorted(known, np.array([(s << 48) // shards for s in range(shards)] + [1 << 48], np.uint64))
     rows = []
-    for s in np.unique(shard).tolist():
-        here = shard == s
-        rows.append((s, str(block), pack_sorted(known[here & ~many]), pack_sorted(known[here & many]), b""))
+    for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
+        if b > a:
+            here, several = known[a:b], many[a:b]
+            rows.append((s, str(block), pack_sorted(here[~several]), pack_sorted(here[several]), b""))
     return notes(rows)
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from onsetlab.llm.blocks import (
     NOTES,
@@ -46,8 +47,9 @@ from onsetlab.llm.buffers import slices, span_hashes, utf8
 LENGTH = 50
 GRAM = 24
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 16 << 20
 STRETCH_WINDOWS = 64
+PORTION_BYTES = 1 << 20
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -185,30 +187,32 @@ def marks_in_shard(strings: bytes, sizes: np.ndarray, owner: np.ndarray, least:
 
 
 class Block:
-    """The documents of a block that are no copies, in the order of their ids."""
+    """The documents of a block in the order of their ids; copies have no text of their own."""
 
     def __init__(self, docs: pa.Table, table: pa.Table):
         self.docs = docs.sort_by("id").combine_chunks()
-        self.copies = copies_in(table)
         self.hits, _ = hits_in(table)
         self.ids = self.docs.column("id").to_numpy()
-        self.is_copy = np.isin(self.ids, self.copies)
+        self.is_copy = np.isin(self.ids, copies_in(table))
         texts = self.docs.column("text")
         self.data, self.offsets = utf8(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
+        self.sizes = np.diff(self.offsets)
         if self.is_copy.any():
-            # Copies keep their place with no text of their own.
-            sizes = np.diff(self.offsets)
-            mask = np.repeat(~self.is_copy, sizes)
-            self.sizes = sizes
-            self.data = self.data[mask]
-            self.offsets = np.concatenate([[0], np.cumsum(np.where(self.is_copy, 0, sizes))])
-        else:
-            self.sizes = np.diff(self.offsets)
+            self.data = self.data[np.repeat(~self.is_copy, self.sizes)]
+            self.offsets = np.concatenate([[0], np.cumsum(np.where(self.is_copy, 0, self.sizes))])
 
     def stretches(self, length: int, gram: int) -> Stretches:
         return Stretches.of(self.data, self.offsets, self.hits, length, gram)
 
 
+def whole_characters(gone: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """The bytes of the UTF-8 characters that are gone in all their bytes."""
+    if not len(data):
+        return gone
+    character = np.cumsum((data & 0xC0) != 0x80) - 1
+    return (np.bincount(np.maximum(character, 0), ~gone) == 0)[np.maximum(character, 0)]
+
+
 def remove_repeats(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -216,28 +220,34 @@ def remove_repeats(
     length: int = LENGTH,
     gram: int = GRAM,
     block_bytes: int = BLOCK_BYTES,
+    characters: bool = False,
 ) -> DataFrame:
-    """Per input row: id, ``n_bytes``, ``removed`` and ``kept``.
+    """All columns but the text, and ``n_bytes``, ``removed`` and ``kept``.
 
     Every byte that is covered by a string of ``length`` bytes which also starts
     in a row with a smaller id goes. ``removed`` are the maximal runs of such
     bytes, as sorted byte ranges (end not included), ``kept`` the other bytes.
     Texts are UTF-8 bytes, null is empty; a run may end inside a character, so
-    ``kept`` is binary. Texts shorter than ``length`` stay whole. Ids must be
-    integers; rows of one id are equally small and take nothing from each
-    other; rows with a null id neither take nor lose anything. Other columns
-    are not read.
+    ``kept`` is binary. With ``characters`` a character stays unless all its
+    bytes go, and ``kept`` is UTF-8 again. Texts shorter than ``length`` stay
+    whole. Ids must be integers; rows of one id are equally small and take
+    nothing from each other; rows with a null id neither take nor lose
+    anything. Columns with the names of the new ones are replaced.
     """
     if not 1 <= gram <= length:
         raise ValueError("a string must hold at least one gram")
+    others = [c for c in df.columns if c not in (text_col, "n_bytes", "removed", "kept")]
+    hidden = [f"c{i}" for i in range(len(others))]
     all_texts = df.select(
-        F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+        F.col(id_col).cast("long").alias("id"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        *(df[c].alias(h) for c, h in zip(others, hidden, strict=True)),
     )
     texts = all_texts.where("id IS NOT NULL")
     blocks, shards = blocks_and_shards(texts, "text", block_bytes, SHARD_BYTES)
     keys = texts.where(F.octet_length("text") >= length).select("id", F.md5("text").alias("key"))
     copies = copies_by_block(keys, blocks)
-    docs = texts.select("id", "text", block_of("id", blocks))
+    docs = texts.select("*", block_of("id", blocks))
     by_block = docs.groupBy("block")
 
     def anchors(docs: pa.Table, table: pa.Table) -> pa.Table:
@@ -274,21 +284,38 @@ def remove_repeats(
             shard = (s.anchors[s.first] % np.uint64(blocks)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             sizes = (s.ends - s.starts)[s.first]
+            anchors = s.anchors[s.first].view(np.int64)
             for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
                 text = b"".join(block.data[s.starts[i] : s.ends[i]].tobytes() for i in s.first[part].tolist())
-                meta = np.stack([np.full(len(part), number), part, sizes[part], lowest[part]])
+                meta = np.stack([np.full(len(part), number), part, sizes[part], lowest[part], anchors[part]])
                 rows.append((int(shard[part[0]]), "text", text, meta.astype(np.int64).tobytes(), b""))
         return notes(rows)
 
     def repeats(table: pa.Table) -> pa.Table:
-        strings = b"".join(table.column("first").to_pylist())
-        parts = [numbers(v).reshape(4, -1) for v in table.column("second").to_pylist()]
-        block, number, sizes, owner = np.concatenate([np.zeros((4, 0), np.int64), *parts], axis=1)
-        which, offset, size = marks_in_shard(strings, sizes, owner, length)
-        marked = np.stack([block[which], number[which], offset, size])
+        texts = [np.frombuffer(v, np.uint8) for v in table.column("first").to_pylist()]
+        parts = [numbers(v).reshape(5, -1) for v in table.column("second").to_pylist()]
+        data = np.concatenate([np.zeros(0, np.uint8), *texts])
+        block, number, sizes, owner, anchor = np.concatenate([np.zeros((5, 0), np.int64), *parts], axis=1)
+        begins = np.cumsum(sizes) - sizes
+        marked = [np.zeros((4, 0), np.int64)]
+        # Equal strings have one anchor, so a shard is searched in portions of whole anchors.
+        order = np.argsort(anchor, kind="stable")
+        done = np.cumsum(sizes[order])
+        ends = np.append(np.flatnonzero(np.diff(anchor[order])) + 1, len(order)) if len(order) else order
+        first = 0
+        while first < len(order):
+            wanted = (done[first - 1] if first else 0) + PORTION_BYTES
+            fitting = ends[(ends > first) & (done[ends - 1] <= wanted)]
+            last = int(fitting[-1]) if len(fitting) else int(ends[ends > first][0])
+            own = order[first:last]
+            strings = b"".join(data[begins[i] : begins[i] + sizes[i]].tobytes() for i in own.tolist())
+            which, offset, size = marks_in_shard(strings, sizes[own], owner[own], length)
+            marked.append(np.stack([block[own][which], number[own][which], offset, size]))
+            first = last
+        marked = np.concatenate(marked, axis=1)
         marked = marked[:, np.argsort(marked[0], kind="stable")]
         rows = []
-        for part in np.split(marked, np.flatnonzero(np.diff(marked[0])) + 1, axis=1) if len(which) else []:
+        for part in np.split(marked, np.flatnonzero(np.diff(marked[0])) + 1, axis=1) if marked.size else []:
             rows.append((int(part[0, 0]), "marks", np.ascontiguousarray(part[1:]).tobytes(), b"", b""))
         return notes(rows)
 
@@ -320,6 +347,8 @@ def remove_repeats(
             np.add.at(cover, starts, 1)
             np.add.at(cover, starts + np.repeat(size, counts), -1)
         gone = np.cumsum(cover[:-1]) > 0
+        if characters:
+            gone = whole_characters(gone, block.data)
         removed, kept = [], []
         for i in range(len(block.ids)):
             if block.is_copy[i]:
@@ -331,17 +360,25 @@ def remove_repeats(
             step = np.flatnonzero(np.diff(np.concatenate([[False], here, [False]]).astype(np.int8)))
             removed.append([{"first": int(x), "last": int(y)} for x, y in step.reshape(-1, 2)])
             kept.append(block.data[a:b][~here].tobytes() if len(step) else block.data[a:b].tobytes())
-        span = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-        return pa.table([
-            pa.array(block.ids), pa.array(block.sizes.astype(np.int64)), pa.array(removed, span), pa.array(kept, pa.binary()),
-        ], ["id", "n_bytes", "removed", "kept"])
-
-    schema = "id long, n_bytes long, removed array<struct<first:long,last:long>>, kept binary"
+        spans = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+        return pa.table(
+            [
+                *(block.docs.column(h) for h in hidden), pa.array(block.sizes.astype(np.int64)),
+                pa.array(removed, spans), pa.array(kept, pa.binary()),
+            ],
+            [*hidden, "n_bytes", "removed", "kept"],
+        )
+
+    spans = T.DataType.fromDDL("array<struct<first:long,last:long>>")
+    schema = T.StructType([
+        *(all_texts.schema[h] for h in hidden),
+        T.StructField("n_bytes", T.LongType()), T.StructField("removed", spans), T.StructField("kept", T.BinaryType()),
+    ])
     out = by_block.cogroup(everything.groupBy("block")).applyInArrow(judge, schema)
     alone = all_texts.where("id IS NULL").select(
-        "id",
+        *hidden,
         F.octet_length("text").cast("long").alias("n_bytes"),
-        F.from_json(F.lit("[]"), "array<struct<first:long,last:long>>").alias("removed"),
+        F.array().cast(spans).alias("removed"),
         F.col("text").cast("binary").alias("kept"),
     )
-    return out.unionByName(alone).withColumnRenamed("id", id_col)
+    return out.unionByName(alone).withColumnsRenamed(dict(zip(hidden, others, strict=True)))
