@@ -1,9 +1,11 @@
 """Documents linked by the Jaccard similarity of their word shingles.
 
-The method is a rare-first prefix join. Shingles are ordered by how often they
-occur (counted over all documents in a table of hash buckets of fixed size, then
-by hash), and a pair that is similar enough shares one of the first, rarest
-shingles of both. Sets that are equal are one set from the start.
+The method is a rare-first prefix join. Blocks of documents tell shards of the
+hash space which shingles they hold, and learn which of theirs other documents
+hold too and how many blocks know them. In the order of this count (then by
+hash) a pair that is similar enough shares one of the first, rarest shingles of
+both. A shingle of one document only shares nothing: it takes its place in the
+order and is then forgotten. Sets that are equal are one set from the start.
 
 Sets that share a prefix shingle meet in the cell that is named by the smallest
 of them. In a cell the pairs are found through an index over the prefixes,
@@ -19,7 +21,6 @@ all blocks of the cell, so no link is lost whatever the size.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -29,6 +30,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from onsetlab.llm.blocks import (
+    NOTES,
+    block_of,
+    blocks_and_shards,
+    copies_by_block,
+    copies_in,
+    hits_in,
+    pack,
+    repeated_notes,
+    shard_notes,
+    unpack,
+)
 from onsetlab.llm.buffers import gram_hashes, slices, span_hashes, utf8, word_spans
 from onsetlab.llm.components import components
 from onsetlab.llm.quality import LOWER
@@ -36,11 +49,12 @@ from onsetlab.llm.scratch import cut
 
 SHINGLE_WORDS = 5
 SIMILAR = (75, 100)
-BUCKET_BITS = 20
-CHUNKS = 64
+BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
 CELL_ROWS = 1024
 ANCHORS = 16
 SIGNATURE = 32
+LINKS = "a long, b long"
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -64,44 +78,6 @@ def batched(column: pa.Array, size: int) -> Iterator[np.ndarray]:
         yield from shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
 
 
-def bucket_levels(texts: DataFrame, size: int) -> np.ndarray:
-    """Twice the binary logarithm of the documents that each hash bucket meets."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(1 << BUCKET_BITS, np.int64), 0
-        for batch in batches:
-            for found in batched(batch.column(0), size):
-                total[(found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)] += 1
-                seen += len(found)
-        if seen:
-            parts = [zlib.compress(p.astype(np.uint32).tobytes(), 1) for p in np.split(total, CHUNKS)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], ["chunk", "counts"]
-            )
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros((1 << BUCKET_BITS) // CHUNKS, np.int64)
-        for part in rows["counts"]:
-            total += np.frombuffer(zlib.decompress(part), np.uint32)
-        total = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
-        return pd.DataFrame({"chunk": rows["chunk"][:1], "counts": [zlib.compress(total.tobytes(), 1)]})
-
-    kind = "chunk int, counts binary"
-    parts = texts.mapInArrow(count, kind).withColumn("part", F.spark_partition_id() % 256)
-    summed = parts.groupBy("chunk", "part").applyInPandas(add, kind).groupBy("chunk").applyInPandas(add, kind)
-    levels = np.zeros((CHUNKS, (1 << BUCKET_BITS) // CHUNKS), np.uint8)
-    for row in summed.collect():  # CHUNKS rows, 4 MB in all
-        counts = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
-        levels[row["chunk"]] = np.floor(2 * np.log2(np.maximum(counts, 1)))
-    return levels.ravel()
-
-
-def rare_first(found: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """Shingles as numbers that sort by level and then by hash (56 bits of it)."""
-    level = levels[(found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64)
-    return np.unique((level << np.uint64(56)) | (found >> np.uint64(8)))
-
-
 def prefix_length(n: np.ndarray | int, similar: tuple[int, int]) -> np.ndarray | int:
     num, den = similar
     return n - -(-num * n // den) + 1
@@ -113,55 +89,63 @@ def needed_overlap(n: np.ndarray | int, m: np.ndarray | int, similar: tuple[int,
 
 
 class Cell:
-    """Sets side by side with an index over their prefixes."""
+    """Sets side by side with an index over their prefixes.
+
+    A set is the rare-first list of its shingles that other documents hold, and
+    its full size: the shingles of no other document come before all of them.
+    """
 
-    def __init__(self, sets: list[np.ndarray], similar: tuple[int, int]):
-        self.similar = similar
-        self.sets = sets
-        self.n = np.array([len(s) for s in sets], np.int64)
-        heads = [s[: prefix_length(len(s), similar)] for s in sets]
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, similar: tuple[int, int]):
+        self.similar, self.sets, self.n = similar, sets, sizes
+        self.held = np.array([len(s) for s in sets], np.int64)
+        self.alone = sizes - self.held
+        heads = [self.head(i) for i in range(len(sets))]
         lengths = np.array([len(h) for h in heads], np.int64)
         tokens = np.concatenate(heads)
         owner = np.repeat(np.arange(len(sets)), lengths)
-        place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        place = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + self.alone[owner]
         order = np.argsort(tokens, kind="stable")
         self.tokens, self.owner, self.place = tokens[order], owner[order], place[order]
-        self.signatures = np.stack(
-            [np.bincount((s & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE) for s in sets]
-        ).astype(np.int32)
+        self.signatures = np.stack([signature(s) for s in sets])
 
-    def similar_to(self, s: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """The sets among ``wanted`` (a mask) that are similar enough to ``s``."""
-        head = s[: prefix_length(len(s), self.similar)]
+    def head(self, i: int) -> np.ndarray:
+        return self.sets[i][: max(0, prefix_length(self.n[i], self.similar) - self.alone[i])]
+
+    def similar_to(self, i: int, wanted: np.ndarray) -> np.ndarray:
+        """The sets among ``wanted`` (a mask) that are similar enough to set ``i``."""
+        head, n, alone = self.head(i), self.n[i], self.alone[i]
         first, last = np.searchsorted(self.tokens, head, "left"), np.searchsorted(self.tokens, head, "right")
         counts = last - first
         total = int(counts.sum())
         if not total:
             return np.zeros(0, np.int64)
         at = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(total)
-        here = np.repeat(np.arange(len(head)), counts)
+        here = np.repeat(np.arange(len(head)) + alone, counts)
         owner = self.owner[at]
         keep = wanted[owner]
         owner, here, there = owner[keep], here[keep], self.place[at[keep]]
         # The first shared shingle of each set; those before it are not shared.
         owner, which = np.unique(owner, return_index=True)
         here, there = here[which], there[which]
-        n = self.n[owner]
-        need = needed_overlap(n, len(s), self.similar)
+        m = self.n[owner]
+        need = needed_overlap(m, n, self.similar)
         num, den = self.similar
-        good = (num * np.maximum(n, len(s)) <= den * np.minimum(n, len(s))) & (
-            np.minimum(n - there, len(s) - here) >= need
-        )
+        good = (num * np.maximum(m, n) <= den * np.minimum(m, n)) & (np.minimum(m - there, n - here) >= need)
         owner, need = owner[good], need[good]
-        mine = np.bincount((s & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE)
-        good = np.minimum(self.signatures[owner], mine).sum(1) >= need
+        good = np.minimum(self.signatures[owner], self.signatures[i]).sum(1) >= need
         owner, need = owner[good], need[good]
         if not len(owner):
             return owner
-        joined = np.concatenate([self.sets[i] for i in owner])
-        at = np.minimum(np.searchsorted(s, joined), len(s) - 1)
-        shared = np.add.reduceat((s[at] == joined).astype(np.int64), np.concatenate([[0], np.cumsum(self.n[owner])[:-1]]))
-        return owner[shared >= need]
+        mine = np.sort(self.sets[i])
+        joined = np.concatenate([self.sets[j] for j in owner])
+        at = np.minimum(np.searchsorted(mine, joined), len(mine) - 1)
+        cuts = np.concatenate([[0], np.cumsum(self.held[owner])[:-1]])
+        return owner[np.add.reduceat((mine[at] == joined).astype(np.int64), cuts) >= need]
+
+
+def signature(s: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each part of the hash space."""
+    return np.bincount((s & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=SIGNATURE).astype(np.int32)
 
 
 class Groups:
@@ -175,11 +159,10 @@ class Groups:
         self.label[np.isin(self.label, groups)] = groups[0]
 
 
-def links_in_cell(sets: list[np.ndarray], similar: tuple[int, int], labels: np.ndarray | None = None) -> list[tuple[int, int]]:
+def links_in_cell(cell: Cell) -> list[tuple[int, int]]:
     """Links that join all that is joined in the cell; pairs already joined are skipped."""
-    cell = Cell(sets, similar)
-    groups = Groups(np.arange(len(sets)) if labels is None else labels)
-    undone = np.ones(len(sets), bool)
+    groups = Groups(np.arange(len(cell.sets)))
+    undone = np.ones(len(cell.sets), bool)
     links: list[tuple[int, int]] = []
     while True:
         left = np.flatnonzero(undone)
@@ -187,14 +170,17 @@ def links_in_cell(sets: list[np.ndarray], similar: tuple[int, int], labels: np.n
         if len(names) < 2:
             return links
         # Sets of the largest group need not ask: the others ask for them.
-        outside = left[groups.label[left] != names[np.argmax(sizes)]]
-        asked = int(outside[0])
+        asked = int(left[groups.label[left] != names[np.argmax(sizes)]][0])
         undone[asked] = False
-        found = cell.similar_to(sets[asked], undone & (groups.label != groups.label[asked]))
+        found = cell.similar_to(asked, undone & (groups.label != groups.label[asked]))
         links += [(asked, int(i)) for i in found]
         groups.join(np.append(found, asked))
 
 
+def cell_of(rows: pd.DataFrame, similar: tuple[int, int]) -> Cell:
+    return Cell([np.frombuffer(t, np.uint64) for t in rows["tokens"]], rows["n"].to_numpy(), similar)
+
+
 def link_documents(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -211,104 +197,115 @@ def link_documents(
     linked if ``den * intersection >= num * union`` for ``similar = (num, den)``.
     Rows that repeat an id are one document: what one of them is linked with,
     all are. A row with a null id is linked with nothing and has no component.
-    Shingles are compared by 56 bits of their hash, sets by 128. Other columns
-    are not read.
+    Ids must be integers. Shingles are compared by 48 bits of their hash, equal
+    sets by 128. Other columns are not read.
     """
-    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    kind = df.schema[id_col].dataType.simpleString()
-    levels = bucket_levels(texts.select("text"), shingle_words)
-
-    def describe(with_prefix: bool):
-        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                n, keys, heads = [], [], []
-                for found in batched(batch.column(1), shingle_words):
-                    s = rare_first(found, levels)
-                    n.append(len(s))
-                    keys.append(blake2b(s.tobytes(), digest_size=16).digest())
-                    heads.append(s[: prefix_length(len(s), similar)].astype(np.int64) if with_prefix and len(s) else [])
-                columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary())]
-                names = ["id", "n", "key"]
-                if with_prefix:
-                    columns.append(pa.array(heads, pa.list_(pa.int64())))
-                    names.append("prefix")
-                yield pa.RecordBatch.from_arrays(columns, names)
-
-        return rows
-
-    schema = f"id {kind}, n long, key binary"
-    described = cut(texts.mapInArrow(describe(False), schema))
-    # Equal sets are one: its name is the smallest id.
-    heads = (
+    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, keys = [], []
+            for found in batched(batch.column(1), shingle_words):
+                n.append(len(found))
+                keys.append(blake2b(found.tobytes(), digest_size=16).digest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary())], ["id", "n", "key"]
+            )
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, tokens = [], []
+            for found in batched(batch.column(1), shingle_words):
+                n.append(len(found))
+                tokens.append(pack(found >> np.uint64(16)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(tokens, pa.binary())], ["id", "n", "tokens"]
+            )
+
+    described = cut(texts.mapInArrow(describe, "id long, n long, key binary"))
+    some = described.where("id IS NOT NULL AND n > 0")
+    blocks, shards = blocks_and_shards(texts, "text", BLOCK_BYTES, SHARD_BYTES)
+    copies = copies_by_block(some.select("id", "key"), blocks)
+    by_block = (
         texts.where("id IS NOT NULL")
-        .mapInArrow(describe(True), f"{schema}, prefix array<long>")
+        .mapInArrow(gather, "id long, n long, tokens binary")
         .where("n > 0")
-        .groupBy("key")
-        .agg(F.min("id").alias("id"), F.first("prefix").alias("prefix"))
+        .select("id", "n", "tokens", block_of("id", blocks))
+        .groupBy("block")
+    )
+
+    def hold(docs: pa.Table, table: pa.Table) -> pa.Table:
+        ids, _, sets = _without_copies(docs, table)
+        values = np.concatenate([np.zeros(0, np.uint64), *sets])
+        owner = np.repeat(ids, [len(s) for s in sets])
+        return shard_notes(values, owner, docs.column("block")[0].as_py() if docs.num_rows else -1, shards)
+
+    def order(docs: pa.Table, table: pa.Table) -> pa.Table:
+        ids, sizes, sets = _without_copies(docs, table)
+        hits, levels = hits_in(table)
+        kept: tuple[list, list, list, list] = ([], [], [], [])
+        for own, n, s in zip(ids.tolist(), sizes.tolist(), sets, strict=True):
+            at = np.minimum(np.searchsorted(hits, s), max(len(hits) - 1, 0))
+            known = hits[at] == s if len(hits) else np.zeros(len(s), bool)
+            # By level, then by hash; shingles of this set alone would come first.
+            held = np.sort((levels[at[known]].astype(np.uint64) << np.uint64(48)) | s[known])
+            head = held[: max(0, prefix_length(n, similar) - (n - len(held)))]
+            if len(head):
+                for column, value in zip(kept, (own, n, head.astype(np.int64), held.tobytes()), strict=True):
+                    column.append(value)
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+        return pa.table([pa.array(c, k) for c, k in zip(kept, kinds, strict=True)], ["id", "n", "head", "tokens"])
+
+    hits = (
+        by_block.cogroup(copies.groupBy("block"))
+        .applyInArrow(hold, NOTES)
+        .groupBy("block")
+        .applyInArrow(repeated_notes, NOTES)
+    )
+    sets = cut(
+        by_block.cogroup(hits.unionByName(copies).groupBy("block")).applyInArrow(
+            order, "id long, n long, head array<long>, tokens binary"
+        )
     )
     whole = Window.partitionBy("token")
     met = (
-        heads.select("id", F.explode("prefix").alias("token"))
+        sets.select("id", F.explode("head").alias("token"))
         .select("id", F.count("*").over(whole).alias("sets"), F.min("id").over(whole).alias("cell"))
         .where("sets > 1")
     )
     cells = cut(met.select("id", "cell").distinct())
     size = cells.groupBy("cell").agg(F.count("*").alias("rows"))
-    blocks = F.ceil(F.col("rows") / cell_rows).cast("int")
+    parts = F.ceil(F.col("rows") / cell_rows).cast("int")
     place = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     anchor = F.pmod(F.xxhash64("id", F.lit(1)), F.col("rows")) < ANCHORS
     dealt = cut(
         cells.join(size, "cell")
-        .withColumn("blocks", blocks)
+        .withColumn("blocks", parts)
         .withColumn("block", place)
         .select("id", "cell", "blocks", "block", (anchor & (F.col("blocks") > 1)).alias("anchor"))
     )
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     seats = dealt.withColumn("seat", F.explode(F.when(F.col("anchor"), every).otherwise(F.array("block"))))
 
-    def seated(places: DataFrame, columns: str) -> DataFrame:
-        """The sets of documents at their places (struct fields ``columns``)."""
-        names = [c.split()[0] for c in columns.split(", ")]
-        by_id = places.groupBy("id").agg(F.collect_set(F.struct(*names)).alias("places"))
-
-        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sets = []
-                for found in batched(batch.column(1), shingle_words):
-                    sets.append(rare_first(found, levels).tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(sets, pa.binary()), batch.column(2)], ["id", "tokens", "places"]
-                )
-
-        return (
-            texts.join(by_id, "id")
-            .select("id", "text", "places")
-            .mapInArrow(rows, f"id {kind}, tokens binary, places array<struct<{columns.replace(', ', ',').replace(' ', ':')}>>")
-            .where(F.length("tokens") > 0)
-            .select("id", "tokens", F.explode("places").alias("p"))
-            .select("id", "tokens", *(F.col(f"p.{n}").alias(n) for n in names))
-        )
-
-    link_schema = f"a {kind}, b {kind}"
+    def seated(places: DataFrame) -> DataFrame:
+        """Places (columns ``id`` and more) with the sets of their documents."""
+        return sets.select("id", "n", "tokens").join(places, "id")
 
     def local(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable")
         ids = rows["id"].to_numpy()
-        found = links_in_cell([np.frombuffer(t, np.uint64) for t in rows["tokens"]], similar)
-        return pd.DataFrame({"a": ids[[x for x, _ in found]], "b": ids[[y for _, y in found]]})
+        found = links_in_cell(cell_of(rows, similar))
+        return pd.DataFrame({"a": [ids[x] for x, _ in found], "b": [ids[y] for _, y in found]})
 
     links = cut(
-        seated(seats.select("id", "cell", "seat"), f"cell {kind}, seat int")
-        .groupBy("cell", "seat")
-        .applyInPandas(local, link_schema)
-        .distinct()
+        seated(seats.select("id", "cell", "seat")).groupBy("cell", "seat").applyInPandas(local, LINKS).distinct()
     )
     named = components(links)
     if dealt.where("blocks > 1").limit(1).count():
-        found = _between_blocks(dealt, named, seated, similar, kind, link_schema, cell_rows)
+        found = _between_blocks(dealt, named, seated, similar, cell_rows)
         named = components(links.union(found))
     classes = (
-        described.where("id IS NOT NULL AND n > 0").groupBy("key").agg(F.min("id").alias("first"))
+        some.groupBy("key").agg(F.min("id").alias("first"))
         .join(named.select(F.col("node").alias("first"), "component"), "first", "left")
         .select("key", F.coalesce("component", "first").alias("smallest"))
     )
@@ -322,7 +319,14 @@ def link_documents(
     )
 
 
-def _between_blocks(dealt, named, seated, similar, kind, link_schema, cell_rows) -> DataFrame:
+def _without_copies(docs: pa.Table, table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    ids, sizes = docs.column("id").to_numpy(), docs.column("n").to_numpy()
+    own = np.flatnonzero(~np.isin(ids, copies_in(table)))
+    tokens = docs.column("tokens").to_pylist()
+    return ids[own], sizes[own], [np.unique(unpack(tokens[i])) for i in own]
+
+
+def _between_blocks(dealt, named, seated, similar, cell_rows) -> DataFrame:
     """Links of the sets that are not in the largest component of a large cell."""
     large = dealt.where("blocks > 1").join(named.withColumnRenamed("node", "id"), "id", "left")
     large = cut(large.withColumn("component", F.coalesce("component", "id")))
@@ -348,26 +352,18 @@ def _between_blocks(dealt, named, seated, similar, kind, link_schema, cell_rows)
         .withColumn("seat", F.col("block"))
     )
     fields = ["id", "cell", "seat", "portion", "component"]
-    columns = f"cell {kind}, seat int, portion int, component {kind}"
-    left = seated(blocks.select(*fields), columns)
-    right = seated(askers.select(*fields), columns)
+    places = blocks.select(*fields, F.lit(False).alias("asks")).union(askers.select(*fields, F.lit(True)))
 
-    def across(rows: pd.DataFrame, askers: pd.DataFrame) -> pd.DataFrame:
+    def across(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["asks", "id"], kind="stable")
+        ids, asks = rows["id"].to_numpy(), rows["asks"].to_numpy()
         links: list[tuple] = []
-        if len(rows) and len(askers):
-            rows, askers = rows.sort_values("id", kind="stable"), askers.sort_values("id", kind="stable")
-            cell = Cell([np.frombuffer(t, np.uint64) for t in rows["tokens"]], similar)
-            ids = rows["id"].to_numpy()
-            both = pd.concat([rows["component"], askers["component"]])
-            groups = Groups(both.to_numpy())
-            for i, (own, tokens) in enumerate(zip(askers["id"], askers["tokens"], strict=True)):
-                at = len(rows) + i
-                found = cell.similar_to(
-                    np.frombuffer(tokens, np.uint64), groups.label[: len(rows)] != groups.label[at]
-                )
-                links += [(own, ids[j]) for j in found]
-                groups.join(np.append(found, at))
+        if asks.any() and not asks.all():
+            groups, cell = Groups(rows["component"].to_numpy()), cell_of(rows, similar)
+            for asked in np.flatnonzero(asks).tolist():
+                found = cell.similar_to(asked, ~asks & (groups.label != groups.label[asked]))
+                links += [(ids[asked], ids[j]) for j in found]
+                groups.join(np.append(found, asked))
         return pd.DataFrame(links, columns=["a", "b"])
 
-    keys = ["cell", "seat", "portion"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(across, link_schema)
+    return seated(places).groupBy("cell", "seat", "portion").applyInPandas(across, LINKS)
