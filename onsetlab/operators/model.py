@@ -6,14 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 LABEL = "target"
 KEYS = ("person_id", "disease_start_date")
+RANGES = 256
 
 # Depth, learning rate, row sampling and number of rounds. The
 # lower bound on rows per leaf follows from the bound of 6 on a leaf's summed
@@ -36,54 +37,138 @@ def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != LABEL and c not in KEYS]
 
 
+def with_filled_features(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Features without gaps: a missing number becomes 0, and a column says that it was missing."""
+    cells, names = {}, []
+    for name in features:
+        cells[f"{name}_filled"] = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
+        cells[f"{name}_missing"] = F.col(name).isNull().cast("double")
+        names += [f"{name}_filled", f"{name}_missing"]
+    return df.withColumns(cells), names
+
+
 def train(
     df: DataFrame, features: Sequence[str] | None = None, **parameters
 ) -> PipelineModel:
-    """Fit the model on a training matrix; ``parameters`` override the defaults."""
-    assembler = VectorAssembler(
-        inputCols=list(features or feature_columns(df)), outputCol="features"
-    )
+    """Fit the model on a training matrix; ``parameters`` override the defaults.
+
+    Features may be missing: no row is left out for that, in training or scoring.
+    """
+    filled, names = with_filled_features(df, list(features or feature_columns(df)))
+    assembler = VectorAssembler(inputCols=names, outputCol="features")
     trees = GBTClassifier(labelCol=LABEL, featuresCol="features", **{**PARAMETERS, **parameters})
-    return Pipeline(stages=[assembler, trees]).fit(df)
+    return Pipeline(stages=[assembler, trees]).fit(filled)
+
+
+def model_features(model: PipelineModel) -> list[str]:
+    """The matrix columns that a trained model reads."""
+    return [c.removesuffix("_filled") for c in model.stages[0].getInputCols() if c.endswith("_filled")]
+
+
+def with_risk(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``df`` and each row's ``risk``, the probability of the event."""
+    filled, names = with_filled_features(df, model_features(model))
+    risk = vector_to_array("probability").getItem(1).alias("risk")
+    return model.transform(filled).select(*df.columns, risk)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """The keys of ``df`` and each row's ``risk``, the probability of the event."""
     keys = [c for c in KEYS if c in df.columns]
-    risk = vector_to_array("probability").getItem(1).alias("risk")
-    return model.transform(df).select(*keys, risk)
+    return with_risk(model, df).select(*keys, "risk")
+
+
+CONFUSION = (
+    ("true_positive", 1, 1),
+    ("false_positive", 0, 1),
+    ("false_negative", 1, 0),
+    ("true_negative", 0, 0),
+)
+
+
+def score_metrics(
+    df: DataFrame, score_col: str = "risk", label_col: str = LABEL, threshold: float = 0.5
+) -> DataFrame:
+    """How well scores tell labels apart, as ``metric, name, value`` rows.
+
+    Metrics: the four confusion counts, where a score above ``threshold`` says 1,
+    and the exact areas under the ROC and the precision-recall curve, from the
+    counts per distinct score. Equal scores are one step of either curve; the
+    precision-recall curve begins at recall 0 with its first precision. Areas are
+    NULL unless both labels occur; rows without a label or score do not count.
+
+    No score is binned, whatever their number: running totals over all scores
+    are those within a range of scores plus the totals of the ranges above.
+    """
+    y, x = F.col(label_col).cast("int"), F.col(score_col).cast("double")
+    counts = (
+        df.where(y.isNotNull() & x.isNotNull())
+        .groupBy(x.alias("x"))
+        .agg(F.count_if(y == 1).alias("p"), F.count_if(y == 0).alias("n"))
+    )
+    above = F.col("x") > threshold
+    totals = counts.agg(
+        *[
+            F.coalesce(F.sum(F.when(above if said else ~above, F.col("p" if actual else "n"))), F.lit(0)).alias(name)
+            for name, actual, said in CONFUSION
+        ]
+    )
+    areas = _areas(counts)
+    rows = [F.struct(F.lit("confusion").alias("metric"), F.lit(n).alias("name"), F.col(n).cast("double").alias("value")) for n, _, _ in CONFUSION]
+    rows += [
+        F.struct(F.lit("area").alias("metric"), F.lit(n).alias("name"), F.col(n).alias("value"))
+        for n in ("areaUnderROC", "areaUnderPR")
+    ]
+    return totals.crossJoin(areas).select(F.inline(F.array(*rows)))
+
+
+def _areas(counts: DataFrame) -> DataFrame:
+    """One row with the areas under both curves, from label counts per score.
+
+    Scores are cut into ranges of equal width; running totals need the totals of
+    the ranges above, of which there are RANGES, and a window within a range.
+    """
+    bounds = counts.agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    width = (F.col("high") - F.col("low")) / RANGES
+    place = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("low")) / width), F.lit(RANGES - 1))).otherwise(0)
+    placed = counts.crossJoin(F.broadcast(bounds)).select("x", "p", "n", place.cast("int").alias("part"))
+    sums = placed.groupBy("part").agg(F.sum("p").alias("ps"), F.sum("n").alias("ns"))
+    higher = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
+    before = sums.select(
+        "part",
+        F.coalesce(F.sum("ps").over(higher), F.lit(0)).alias("p_before"),
+        F.coalesce(F.sum("ns").over(higher), F.lit(0)).alias("n_before"),
+        F.sum("ps").over(whole).alias("p_all"),
+        F.sum("ns").over(whole).alias("n_all"),
+    )
+    here = Window.partitionBy("part").orderBy(F.desc("x")).rowsBetween(Window.unboundedPreceding, -1)
+    curve = placed.join(F.broadcast(before), "part").select(
+        "p", "n", "p_all", "n_all",
+        (F.col("p_before") + F.coalesce(F.sum("p").over(here), F.lit(0))).cast("double").alias("tp"),
+        (F.col("n_before") + F.coalesce(F.sum("n").over(here), F.lit(0))).cast("double").alias("fp"),
+    )
+    hit, seen = F.col("tp") + F.col("p"), F.col("tp") + F.col("fp") + F.col("p") + F.col("n")
+    precision = hit / seen
+    earlier = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(precision)
+    roc = F.sum(F.col("n") * (F.col("tp") + F.col("p") / 2)) / F.max(F.col("p_all") * F.col("n_all").cast("double"))
+    pr = F.sum(F.col("p") * (precision + earlier) / 2) / F.max("p_all")
+    both = F.min(F.least("p_all", "n_all")) > 0
+    return curve.agg(F.when(both, roc).alias("areaUnderROC"), F.when(both, pr).alias("areaUnderPR"))
 
 
 def evaluate(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Quality of a model on labelled rows, as ``metric, name, value`` rows.
 
-    Metrics: area under the ROC and the precision-recall curve, the four
-    confusion counts at probability 0.5, and the importance of each feature.
+    The rows of :func:`score_metrics` for the model's risks, and the importance
+    of each feature: that of its number and of its being missing together.
     """
-    spark = df.sparkSession
-    scored = model.transform(df).select(LABEL, "rawPrediction", "prediction").persist()
-    try:
-        confusion = scored.agg(
-            *[
-                F.count_if((F.col(LABEL) == actual) & (F.col("prediction") == predicted)).alias(name)
-                for name, actual, predicted in (
-                    ("true_positive", 1, 1),
-                    ("false_positive", 0, 1),
-                    ("false_negative", 1, 0),
-                    ("true_negative", 0, 0),
-                )
-            ]
-        ).first()
-        rows = [("confusion", name, float(n)) for name, n in confusion.asDict().items()]
-        for area in ("areaUnderROC", "areaUnderPR"):
-            evaluator = BinaryClassificationEvaluator(labelCol=LABEL, metricName=area)
-            rows.append(("area", area, float(evaluator.evaluate(scored))))
-    finally:
-        scored.unpersist()
+    metrics = score_metrics(with_risk(model, df).select(LABEL, "risk"))
     assembler, trees = model.stages
-    importances = trees.featureImportances.toArray()
-    rows += [
-        ("importance", name, float(value))
-        for name, value in zip(assembler.getInputCols(), importances)
-    ]
-    return spark.createDataFrame(rows, "metric string, name string, value double")
+    importances: dict[str, float] = {}
+    for name, value in zip(assembler.getInputCols(), trees.featureImportances.toArray()):
+        feature = name.removesuffix("_filled").removesuffix("_missing")
+        importances[feature] = importances.get(feature, 0.0) + float(value)
+    rows = [("importance", name, value) for name, value in importances.items()]
+    listed = df.sparkSession.createDataFrame(rows, "metric string, name string, value double")
+    return metrics.unionByName(listed)

@@ -23,6 +23,8 @@ def split_number(weights: Sequence[float] = SPLIT_WEIGHTS, key: str = "person_id
     if not weights or any(weight <= 0 for weight in weights):
         raise ValueError("weights must be positive")
     bounds = [round(BUCKETS * part / sum(weights)) for part in accumulate(weights)]
+    if any(last <= first for first, last in zip([0, *bounds], bounds)):
+        raise ValueError(f"a part holds at least one of {BUCKETS} buckets; its weight is too small")
     bucket = key_bucket(key)
     number = F.lit(len(bounds) - 1)
     for i in reversed(range(len(bounds) - 1)):

@@ -165,11 +165,13 @@ def _wide_counts(
         names = top_category_names(rows, category_col, options.top, options.null_takes_slot)
         if columns is None:
             columns = feature_names(prefix, names)
+        if missing := sorted(set(names) - set(columns)):
+            raise ValueError(f"top categories without a column: {', '.join(missing)}")
     elif columns is not None:
         names = list(columns)
     else:
         raise ValueError("give the columns, or the number of top categories")
-    filled = {name: columns[name] for name in names if name in columns}
+    filled = {name: columns[name] for name in names}
     if options.grain == "index":
         wide = pivot_index_counts(cohort, categorised, category_col, filled, options.lookback)
     else:
@@ -218,7 +220,8 @@ def run(
         keys = [c for c in INDEX_GRAIN if c in matrix.columns]
         parts = split(matrix, options.weights)
         for part, path, table in zip(parts, (train_path, test_path), (train_table, test_table)):
-            write_dataset(part.drop(*keys), path, table)
+            # The matrix was staged with even partitions.
+            write_dataset(part.drop(*keys), path, table, even=True)
     model = train(read_dataset(spark, train_path))
     metrics = evaluate(model, read_dataset(spark, test_path))
     return MortalityRun(train_path, test_path, model, metrics, options)

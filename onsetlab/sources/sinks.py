@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_dataset(
-    df: DataFrame, path: str, table: str | None = None, compression: str = "none"
+    df: DataFrame,
+    path: str,
+    table: str | None = None,
+    compression: str = "none",
+    even: bool = False,
 ) -> None:
     """Replace the Parquet dataset at ``path``, and its catalog table if named.
 
     The table is external: the catalog entry follows the schema of ``df``, and
     the files stay where ``path`` says. Files get an even size, whatever the
-    partitioning of ``df``.
+    partitioning of ``df``; say ``even`` if its partitions are of a size already.
     """
-    writer = df.hint("rebalance").write.mode("overwrite").format("parquet").option("compression", compression)
+    rows = df if even else df.hint("rebalance")
+    writer = rows.write.mode("overwrite").format("parquet").option("compression", compression)
     if table is None:
         writer.save(path)
     else:

@@ -62,3 +62,50 @@ def test_model_learns_a_planted_signal(spark):
 def test_jobs_need_two_weights(spark, clinic, tmp_path):
     with pytest.raises(ValueError):
         mortality.run(spark, clinic.tables(), str(tmp_path), mortality.replace(OPTIONS, weights=(1,)))
+
+
+def test_missing_features_lose_no_row(spark):
+    from onsetlab.operators.model import score
+
+    rows = [(int(i % 7 == 0), i % 7 if i % 3 else None, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "target int, signal int, person_id long")
+    assert score(train(df), df).filter("risk IS NOT NULL").count() == 600
+
+
+def test_areas_are_exact_beyond_a_thousand_scores(spark):
+    import random
+
+    from onsetlab.operators.model import score_metrics
+
+    source = random.Random(5)
+    rows = [(source.random() ** 2, source.random()) for _ in range(5000)]
+    rows = [(x, int(u < x)) for x, u in rows] + [(0.5, 1), (0.5, 0), (None, 1), (0.1, None)]
+    df = spark.createDataFrame(rows, "risk double, target int")
+    values = {r.name: r.value for r in score_metrics(df).collect()}
+    known = [(x, y) for x, y in rows if x is not None and y is not None]
+    good = sorted(x for x, y in known if y)
+    wins = sum((x > z) + (x == z) / 2 for x in good for z in (z for z, y in known if not y))
+    assert values["areaUnderROC"] == pytest.approx(wins / (len(good) * (len(known) - len(good))), abs=1e-12)
+    assert values["true_positive"] == sum(1 for x, y in known if y and x > 0.5)
+
+
+@pytest.mark.parametrize("rows", [[], [(0.5, 1), (0.7, 1)], [(0.5, 0)]])
+def test_areas_of_an_empty_or_one_class_part_are_null(spark, rows):
+    from onsetlab.operators.model import score_metrics
+
+    values = {r.name: r.value for r in score_metrics(spark.createDataFrame(rows, "risk double, target int")).collect()}
+    assert values["areaUnderROC"] is None and values["areaUnderPR"] is None
+    assert sum(v for name, v in values.items() if not name.startswith("area")) == len(rows)
+
+
+def test_a_top_category_without_a_column_is_an_error(spark, clinic):
+    options = mortality.replace(OPTIONS, condition_columns={"Brand#1": "cond_brand_1"})
+    with staging.Stages(spark) as stages, pytest.raises(ValueError, match="without a column"):
+        mortality.build_matrix(clinic.tables(), options, stages)
+
+
+def test_a_part_of_no_bucket_is_an_error():
+    from onsetlab.operators.split import split_number
+
+    with pytest.raises(ValueError, match="weight"):
+        split_number([1.0, 0.00001])
