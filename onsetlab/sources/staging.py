@@ -6,9 +6,12 @@ column-pruned, so each consumer pays only for the columns it uses.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterable
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,28 +19,31 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the session names, or a temporary one in local mode."""
-    configured = spark.conf.get(CHECKPOINT_SETTING, None)
+    """The shared folder the session names, or a temporary one in local mode.
+
+    A folder on one machine's disk is refused where executors run elsewhere,
+    unless the setting itself names it with the scheme ``file:``, as for a disk
+    that all machines mount.
+    """
+    context = spark.sparkContext
+    local = context.master.startswith("local")
+    configured = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if configured:
+        if not local and _without_scheme(spark, configured):
+            raise RuntimeError(f"{configured} is on each machine's own disk; {CHECKPOINT_SETTING} names a shared folder")
         return configured.rstrip("/")
-    context = spark.sparkContext
-    existing = context.getCheckpointDir()
-    if existing:
-        return existing.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError(
-            f"set {CHECKPOINT_SETTING} to a folder that all executors share"
-        )
+    if not local:
+        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="onsetlab-"))
     return context.getCheckpointDir().rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the scratch folder and read it back."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def _without_scheme(spark: SparkSession, path: str) -> bool:
+    """Whether a path names no file system and the default one is the local disk."""
+    if urlparse(path).scheme:
+        return False
+    default = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return default.startswith("file:")
 
 
 class Stages:
@@ -51,11 +57,19 @@ class Stages:
         return self
 
     def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
         remove_folders(self.spark, [self.root])
 
+    def path(self, name: str) -> str:
+        """A path of its own, whatever else has the name."""
+        return f"{self.root}/{name}-{uuid.uuid4().hex}"
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        """Write ``df`` as Parquet under a path of its own and read it back."""
+        path = self.path(name)
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
@@ -65,3 +79,33 @@ def remove_folders(spark: SparkSession, paths: Iterable[str]) -> None:
     for text in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(text)
         path.getFileSystem(hadoop_conf).delete(path, True)
+
+
+def session_stages(spark: SparkSession) -> Stages:
+    """The one ``Stages`` of a session, for frames that are read after the call returns.
+
+    What it holds goes when the session stops, or when the process ends.
+    """
+    key = spark.sparkContext.applicationId
+    if key not in _OF_SESSION:
+        stages = _OF_SESSION[key] = Stages(spark)
+        stop = spark.stop
+
+        def stop_clean() -> None:
+            if _OF_SESSION.pop(key, None) is not None:
+                stages.close()
+            stop()
+
+        spark.stop = stop_clean  # type: ignore[method-assign]
+        atexit.register(_close_if_open, key)
+    return _OF_SESSION[key]
+
+
+def _close_if_open(key: str) -> None:
+    stages = _OF_SESSION.pop(key, None)
+    if stages is not None:
+        with contextlib.suppress(Exception):  # the session may be gone
+            stages.close()
+
+
+_OF_SESSION: dict[str, Stages] = {}
