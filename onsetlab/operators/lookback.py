@@ -40,7 +40,8 @@ def lookback_events(
     meets at most two of them, and a person with very many events is divided
     between tasks by bucket.
 
-    ``cohort`` is read twice; stage it if it is costly.
+    ``cohort`` is read three times (its size, merged windows, windows); stage it
+    if it is costly.
     """
     nearest, farthest = lookback
     if farthest < nearest:
@@ -110,35 +111,41 @@ def lookback_events(
         F.sum("step").over(until_here).alias("covering"),
         (F.max(event_day).over(until_here) >= F.col("since")).alias("met"),
     )
-    is_event = F.col("event_date").isNotNull()
-    # An event day has one row here; an onset has one per bucket it meets.
-    met = (
-        swept.filter((is_event & (F.col("covering") > 0)) | (F.col("turn") == CLOSES))
-        .groupBy("person_id", "concept_id", "event_date", "disease_start_date")
+    # An event day has one row here and goes on as it is. An onset has one row per
+    # bucket it meets, so only the few closing rows are brought together again.
+    events_met = swept.filter(F.col("event_date").isNotNull() & (F.col("covering") > 0)).select(
+        "person_id", "concept_id", "event_date", "event_rows", F.col("covering").alias("index_rows")
+    )
+    without_event = (
+        swept.filter(F.col("turn") == CLOSES)
+        .groupBy("person_id", "disease_start_date")
         .agg(
-            F.max("event_rows").alias("event_rows"),
-            F.max(F.when(is_event, F.col("covering")).otherwise(F.col("index_rows"))).alias("index_rows"),
+            F.max("index_rows").alias("index_rows"),
             F.bool_or(F.coalesce("met", F.lit(False))).alias("met"),
         )
+        .filter(~F.col("met"))
+        .select(
+            "person_id",
+            F.lit(None).cast(daily.schema["concept_id"].dataType).alias("concept_id"),
+            F.lit(None).cast("date").alias("event_date"),
+            F.lit(1).cast("bigint").alias("event_rows"),
+            "index_rows",
+        )
     )
-    return met.filter(is_event | ~F.col("met")).select(
-        "person_id",
-        "concept_id",
-        "event_date",
-        F.coalesce("event_rows", F.lit(1)).alias("event_rows"),
-        "index_rows",
-    )
+    return events_met.unionByName(without_event)
 
 
 def _in_some_window(
     events: DataFrame, index: DataFrame, lookback: tuple[int, int], max_bytes: int
 ) -> DataFrame:
-    """Drop the events outside all lookback windows, where that costs no shuffle.
+    """Drop the events outside all lookback windows, whatever the number of patients.
 
     Overlapping windows of a person are merged first, so that an event is
-    compared with few spans: they are disjoint and each as long as a window. If
-    the spans of all patients are too large to broadcast the events come back
-    as they are, and the sweep drops the others.
+    compared with few spans: they are disjoint and each as long as a window.
+    Spans that fit are broadcast; otherwise both sides are shuffled on the
+    person, which the count per day that follows then needs no shuffle for. A
+    patient has no more onsets than rows, so more onsets than fit are not merged
+    to be measured.
     """
     nearest, farthest = lookback
     by_day = Window.partitionBy("person_id").orderBy("first")
@@ -160,12 +167,12 @@ def _in_some_window(
         .agg(F.min("first").alias("first"), F.max("last").alias("last"))
         .drop("span")
     )
-    if not fits_broadcast(spans, max_bytes):
-        return events
+    # The onsets are at hand, and there are no fewer of them than spans.
+    fits = fits_broadcast(index.select("person_id", "disease_start_date"), max_bytes)
     inside = (F.col("person_id") == F.col("patient_id")) & F.col("event_date").between(
         F.col("first"), F.col("last")
     )
-    return events.join(F.broadcast(spans), inside, "left_semi")
+    return events.join(F.broadcast(spans) if fits else spans.hint("merge"), inside, "left_semi")
 
 
 def categorise(
@@ -264,16 +271,16 @@ def restrict_to_top(
     category_col: str,
     n: int = 10,
     null_takes_slot: bool = True,
-    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Counts of the top categories only; rows without a category are dropped.
 
     ``counts`` is read more than once; stage it if it is costly.
     """
+    # At most n names, so there is nothing to measure before they are copied.
     top = top_categories(counts, category_col, n, null_takes_slot).select(category_col)
-    return lookup_join(
-        counts, top, on=category_col, how="left_semi", spread=["person_id"], max_bytes=max_bytes
-    ).select("person_id", category_col, CATEGORY_COUNT)
+    return counts.join(F.broadcast(top), category_col, "left_semi").select(
+        "person_id", category_col, CATEGORY_COUNT
+    )
 
 
 def common_categories(

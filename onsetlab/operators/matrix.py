@@ -16,6 +16,7 @@ from onsetlab.operators.sweep import covering_weight
 PERSON_GRAIN = ["person_id"]
 INDEX_GRAIN = ["person_id", "disease_start_date"]
 GRAINS = {"person": PERSON_GRAIN, "index": INDEX_GRAIN}
+# The demographic columns of a person.
 DEMOGRAPHICS = ["gender_concept_id", "year_of_birth", "race_concept_id"]
 
 
@@ -105,12 +106,13 @@ def assemble_features(
         .groupBy("person_id", *DEMOGRAPHICS)
         .agg(F.count("*").alias("person_rows"))
     )
+    # The narrow frames first: wide rows are shuffled on the keys alone.
     wide = (
-        rows.join(condition_counts, keys, "left")
-        .join(drug_counts, keys, "left")
-        .join(demographics, "person_id", "left")
+        rows.join(demographics, "person_id", "left")
         .withColumn(ROW_COUNT, F.col(ROW_COUNT) * F.coalesce("person_rows", F.lit(1)))
         .drop("person_rows")
+        .join(condition_counts, keys, "left")
+        .join(drug_counts, keys, "left")
     )
     count_columns = [
         c for df in (condition_counts, drug_counts) for c in df.columns if c not in keys
