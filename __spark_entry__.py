@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from functools import cached_property
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,8 +51,13 @@ class Clinic:
         self.spark = spark
         self.views = star_fixture.StarFixture(spark, folder)
 
+    @cached_property
+    def stages(self) -> staging.Stages:
+        """The session's: queries return lazy frames that read what they staged."""
+        return staging.session_stages(self.spark)
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        return staging.stage(df, name)
+        return self.stages.stage(df, name)
 
     @cached_property
     def condition_map(self) -> DataFrame:
@@ -105,14 +109,10 @@ class Clinic:
         )
 
     def features(self, **changes) -> DataFrame:
-        """The matrix with its keys; its stages stay until the scratch folder goes."""
-        stages = staging.Stages(self.spark)
-        features, _ = mortality.build_matrix(self.tables(), replace(OPTIONS, **changes), stages)
+        """The matrix with its keys."""
+        features, _ = mortality.build_matrix(self.tables(), replace(OPTIONS, **changes), self.stages)
         return features
 
-    def scratch(self, name: str) -> str:
-        return f"{staging.scratch_dir(self.spark)}/{name}-{uuid4().hex}"
-
 
 def entry(spark: SparkSession) -> DataFrame:
     """The feature matrix of the small test data."""
@@ -130,34 +130,45 @@ def _contract(table: str, df: DataFrame) -> T.StructType:
     return T.StructType([CONTRACTS[table][name] for name in df.columns])
 
 
-def patient_csv(clinic: Clinic) -> DataFrame:
-    """Landed as bzip2 CSV, read back with the table's contract."""
-    landed = clinic.views["landing_condition"]
-    path = clinic.scratch("condition_csv_bz2")
-    landed.write.option("header", "true").option("compression", "bzip2").csv(path)
-    contract = _contract("condition_occurrence", landed)
-    return tables.patient_table(tables.read_landing_csv(clinic.spark, path, contract))
-
-
 def vocabulary_csv(clinic: Clinic) -> DataFrame:
     """Landed as plain CSV, read back with the table's contract."""
     concept = clinic.views["concept"]
-    path = clinic.scratch("concept_csv")
+    path = clinic.stages.path("concept_csv")
     concept.write.option("header", "true").csv(path)
     return tables.read_landing_csv(clinic.spark, path, _contract("concept", concept))
 
 
+def _landed(view: str) -> Callable[[Clinic], DataFrame]:
+    """A patient table landed as bzip2 CSV, read back by its contract, dates cast."""
+    table = LANDED[view]
+
+    def build(clinic: Clinic) -> DataFrame:
+        landed = clinic.views[view]
+        path = clinic.stages.path(f"{view}_csv_bz2")
+        landed.write.option("header", "true").option("compression", "bzip2").csv(path)
+        contract = _contract(table, landed)
+        return tables.patient_table(tables.read_landing_csv(clinic.spark, path, contract))
+
+    return build
+
+
+LANDED = {
+    "landing_condition": "condition_occurrence",
+    "landing_drug": "drug_exposure",
+    "landing_death": "death",
+    "landing_period": "observation_period",
+    "landing_person": "person",
+}
+CHECKED = {**{table: view for view, table in LANDED.items()}, "concept": "concept", "concept_ancestor": "concept_ancestor"}
+
+
 def contract_check(clinic: Clinic) -> DataFrame:
-    landed = {
-        "condition_occurrence": "landing_condition",
-        "person": "person",
-        "concept": "concept",
-    }
-    checks = [
-        check_contract(clinic.views[view], CONTRACTS[table], table)
-        for table, view in landed.items()
-    ]
-    return checks[0].unionByName(checks[1]).unionByName(checks[2])
+    """All seven contracts, on tables with planted faults."""
+    checks = [check_contract(clinic.views[view], CONTRACTS[table], table) for table, view in CHECKED.items()]
+    result = checks[0]
+    for check in checks[1:]:
+        result = result.unionByName(check)
+    return result
 
 
 def query_view(clinic: Clinic) -> DataFrame:
@@ -270,8 +281,8 @@ def split_assignment(clinic: Clinic) -> DataFrame:
 
 
 def dataset_roundtrip(clinic: Clinic) -> DataFrame:
-    path = clinic.scratch("dataset")
-    sinks.write_dataset(features_person(clinic), path)
+    path = clinic.stages.path("dataset")
+    sinks.write_dataset(features_person(clinic), path, even=True)
     return sinks.read_dataset(clinic.spark, path)
 
 
@@ -291,9 +302,30 @@ def model_metrics(clinic: Clinic) -> DataFrame:
     return model.evaluate(fitted, test)
 
 
+# A score of the keys alone, with many ties and more than a thousand values at scale.
+FORMULA_SCORE = "(7919 * person_id + 31 * year(disease_start_date) + 17 * month(disease_start_date)) % 1511 / 1510.0D"
+
+
+def metrics_of_scores(clinic: Clinic) -> DataFrame:
+    """Confusion counts and curve areas of a formula score, against the cohort's labels."""
+    rows = clinic.features(grain="index").select("target", F.expr(FORMULA_SCORE).alias("risk"))
+    return model.score_metrics(rows).select("name", F.round("value", 9).alias("value"))
+
+
+def score_rows(clinic: Clinic) -> DataFrame:
+    """The keys that the trained model scores, and whether each risk is a probability."""
+    return risk_scores(clinic).select(
+        "person_id", "disease_start_date", F.col("risk").between(0, 1).alias("is_probability")
+    )
+
+
 QUERIES: dict[str, Callable[[Clinic], DataFrame]] = {
     "landing_dates": landing_dates,
-    "patient_csv": patient_csv,
+    "patient_csv": _landed("landing_condition"),
+    "drug_csv": _landed("landing_drug"),
+    "death_csv": _landed("landing_death"),
+    "period_csv": _landed("landing_period"),
+    "person_csv": _landed("landing_person"),
     "vocabulary_csv": vocabulary_csv,
     "contract_check": contract_check,
     "query_view": query_view,
@@ -321,6 +353,8 @@ QUERIES: dict[str, Callable[[Clinic], DataFrame]] = {
     "features_first_onset": features_first_onset,
     "split_assignment": split_assignment,
     "dataset_roundtrip": dataset_roundtrip,
+    "metrics_of_scores": metrics_of_scores,
+    "score_rows": score_rows,
     "risk_scores": risk_scores,
     "model_metrics": model_metrics,
 }
@@ -412,7 +446,7 @@ def _with(step: str) -> str:
     """The steps up to and including ``step``, after the views."""
     names = list(STEPS)
     steps = [f"{name} AS ({STEPS[name]})" for name in names[: names.index(step) + 1]]
-    views = [v for v in star_fixture.VIEWS if v != "landing_condition"]
+    views = [v for v in star_fixture.VIEWS if not v.startswith("landing_")]
     return "WITH " + ",\n".join([star_fixture.view_ctes(*views), *steps])
 
 
@@ -470,54 +504,105 @@ def _features_sql(cohort: str, grain: str) -> str:
 
 
 def _contract_sql() -> str:
+    """Every rule of the seven contracts, in words of its own for each kind of fault."""
     checks = []
-    for table, view in (
-        ("condition_occurrence", "landing_condition"),
-        ("person", "person"),
-        ("concept", "concept"),
-    ):
+    for table, view in CHECKED.items():
         for column, rule, broken in CONTRACT_RULES[table]:
+            count = "CAST(1 AS BIGINT)" if rule == "missing_column" else f"count(*) FILTER (WHERE {broken})"
             checks.append(
                 f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{rule}' AS rule, "
-                f"count(*) FILTER (WHERE {broken}) AS violations FROM {view}"
+                f"{count} AS violations" + ("" if rule == "missing_column" else f" FROM {view}")
             )
     return f"WITH {star_fixture.view_ctes(*star_fixture.VIEWS)} " + " UNION ALL ".join(checks)
 
 
+def _required(*columns: str) -> list[tuple[str, str, str]]:
+    return [(column, "required", f"{column} IS NULL") for column in columns]
+
+
+def _missing(*columns: str) -> list[tuple[str, str, str]]:
+    return [(column, "missing_column", "") for column in columns]
+
+
+def _not_a_date(*columns: str) -> list[tuple[str, str, str]]:
+    return [
+        (column, "date_format", f"{column} IS NOT NULL AND try_strptime({column}, '%Y%m%d') IS NULL")
+        for column in columns
+    ]
+
+
+def _too_long(**lengths: int) -> list[tuple[str, str, str]]:
+    return [(column, "max_length", f"length({column}) > {n}") for column, n in lengths.items()]
+
+
+def _not_a_number(*columns: str) -> list[tuple[str, str, str]]:
+    return [
+        (column, "number_format", f"{column} IS NOT NULL AND TRY_CAST({column} AS BIGINT) IS NULL")
+        for column in columns
+    ]
+
+
 CONTRACT_RULES: dict[str, list[tuple[str, str, str]]] = {
-    "condition_occurrence": [
-        ("person_id", "required", "person_id IS NULL"),
-        ("condition_concept_id", "required", "condition_concept_id IS NULL"),
-        ("condition_start_date", "required", "condition_start_date IS NULL"),
-        (
-            "condition_start_date",
-            "date_format",
-            "condition_start_date IS NOT NULL"
-            " AND try_strptime(condition_start_date, '%Y%m%d') IS NULL",
-        ),
-    ],
-    "person": [
-        ("person_id", "required", "person_id IS NULL"),
-        ("gender_concept_id", "required", "gender_concept_id IS NULL"),
-        ("year_of_birth", "required", "year_of_birth IS NULL"),
-        ("race_concept_id", "required", "race_concept_id IS NULL"),
-    ],
-    "concept": [
-        ("concept_id", "required", "concept_id IS NULL"),
-        ("concept_name", "required", "concept_name IS NULL"),
-        ("concept_name", "max_length", "length(concept_name) > 255"),
-        ("domain_id", "required", "domain_id IS NULL"),
-        ("domain_id", "max_length", "length(domain_id) > 20"),
-        ("vocabulary_id", "required", "vocabulary_id IS NULL"),
-        ("vocabulary_id", "max_length", "length(vocabulary_id) > 20"),
-        ("concept_class_id", "required", "concept_class_id IS NULL"),
-        ("concept_class_id", "max_length", "length(concept_class_id) > 20"),
-        ("concept_code", "required", "concept_code IS NULL"),
-        ("concept_code", "max_length", "length(concept_code) > 50"),
-    ],
+    "condition_occurrence": _required("person_id", "condition_concept_id", "condition_start_date")
+    + _not_a_date("condition_start_date")
+    + _missing("condition_occurrence_id", "condition_type_concept_id"),
+    "drug_exposure": _required("person_id", "drug_concept_id", "drug_exposure_start_date")
+    + _not_a_date("drug_exposure_start_date")
+    + _missing("drug_exposure_id", "drug_exposure_end_date", "drug_type_concept_id"),
+    "death": _required("person_id", "death_date") + _not_a_date("death_date"),
+    "observation_period": _required(
+        "person_id", "observation_period_start_date", "observation_period_end_date"
+    )
+    + _not_a_date("observation_period_start_date", "observation_period_end_date")
+    + _missing("observation_period_id", "period_type_concept_id"),
+    "person": _required("person_id", "gender_concept_id", "year_of_birth", "race_concept_id")
+    + _not_a_number("person_id", "gender_concept_id", "year_of_birth", "race_concept_id")
+    + _missing("ethnicity_concept_id"),
+    "concept": _required(
+        "concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id", "concept_code"
+    )
+    + _too_long(concept_name=255, domain_id=20, vocabulary_id=20, concept_class_id=20, concept_code=50)
+    + _missing("valid_start_date", "valid_end_date"),
+    "concept_ancestor": _required("ancestor_concept_id", "descendant_concept_id")
+    + _missing("min_levels_of_separation", "max_levels_of_separation"),
 }
 
 
+def _landing_sql(view: str, *dates: str, numbers: str = "") -> str:
+    cells = [f"CAST(try_strptime({c}, '%Y%m%d') AS DATE) AS {c}" for c in dates]
+    shown = ", ".join([*filter(None, [numbers]), *cells])
+    return f"WITH {star_fixture.view_ctes(view)} SELECT {shown} FROM {view}"
+
+
+def _metrics_sql() -> str:
+    """Confusion counts, the rank-sum area, and the precision-recall trapezoids."""
+    formula = "(7919 * person_id + 31 * year(disease_start_date) + 17 * month(disease_start_date)) % 1511 / CAST(1510.0 AS DOUBLE)"
+    return f"""
+    {_with('cohort')},
+    scored AS (
+        SELECT CASE WHEN death_date IS NULL THEN 0 ELSE 1 END AS y, {formula} AS x FROM cohort),
+    sizes AS (SELECT sum(y) AS p_all, sum(1 - y) AS n_all FROM scored),
+    ranked AS (
+        SELECT y, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS place FROM scored),
+    roc AS (
+        SELECT (sum(CASE WHEN y = 1 THEN place END) - max(p_all) * (max(p_all) + 1) / 2.0)
+               / (max(p_all) * max(n_all)) AS area FROM ranked, sizes),
+    steps AS (
+        SELECT x, sum(y) AS p, sum(sum(y)) OVER w AS tp, sum(count(*)) OVER w AS seen
+        FROM scored GROUP BY x WINDOW w AS (ORDER BY x DESC)),
+    points AS (
+        SELECT p, tp / seen AS precision_here,
+               coalesce(lag(tp / seen) OVER (ORDER BY x DESC), tp / seen) AS precision_before FROM steps),
+    pr AS (SELECT sum(p * (precision_here + precision_before) / 2) / max(p_all) AS area FROM points, sizes)
+    SELECT name, round(CAST(value AS DOUBLE), 9) AS value FROM (
+        SELECT 'true_positive' AS name, count(*) FILTER (WHERE y = 1 AND x > 0.5) AS value FROM scored
+        UNION ALL SELECT 'false_positive', count(*) FILTER (WHERE y = 0 AND x > 0.5) FROM scored
+        UNION ALL SELECT 'false_negative', count(*) FILTER (WHERE y = 1 AND x <= 0.5) FROM scored
+        UNION ALL SELECT 'true_negative', count(*) FILTER (WHERE y = 0 AND x <= 0.5) FROM scored
+        UNION ALL SELECT 'areaUnderROC', area FROM roc
+        UNION ALL SELECT 'areaUnderPR', area FROM pr)"""
+
+
 def oracle_sql() -> dict[str, str]:
     landing = f"""
     WITH {star_fixture.view_ctes("landing_condition")}
@@ -532,6 +617,21 @@ def oracle_sql() -> dict[str, str]:
     oracles = {
         "landing_dates": landing,
         "patient_csv": landing,
+        "drug_csv": _landing_sql(
+            "landing_drug", "drug_exposure_start_date", numbers="person_id, drug_concept_id"
+        ),
+        "death_csv": _landing_sql("landing_death", "death_date", numbers="person_id"),
+        "period_csv": _landing_sql(
+            "landing_period", "observation_period_start_date", "observation_period_end_date", numbers="person_id"
+        ),
+        "person_csv": _landing_sql(
+            "landing_person",
+            numbers="CAST(person_id AS BIGINT) AS person_id, CAST(gender_concept_id AS INT) AS gender_concept_id,"
+            " TRY_CAST(year_of_birth AS INT) AS year_of_birth, CAST(race_concept_id AS INT) AS race_concept_id",
+        ),
+        "metrics_of_scores": _metrics_sql(),
+        "score_rows": f"""{_with('cohort')}
+            SELECT person_id, disease_start_date, TRUE AS is_probability FROM cohort""",
         "vocabulary_csv": f"WITH {star_fixture.view_ctes('concept')} SELECT * FROM concept",
         "contract_check": _contract_sql(),
         "query_view": f"""{_with('members')}

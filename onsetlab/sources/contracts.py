@@ -12,6 +12,16 @@ from pyspark.sql import types as T
 from onsetlab.functions.dates import is_date_column, rejected_date
 
 
+# The concept columns that the job joins on.
+JOINED_CONCEPTS = (
+    "concept_id",
+    "condition_concept_id",
+    "drug_concept_id",
+    "ancestor_concept_id",
+    "descendant_concept_id",
+)
+
+
 def _data_type(column: str, declared: str) -> T.DataType:
     declared = declared.strip().lower()
     text = re.fullmatch(r"varchar\((\d+|max)\)", declared)
@@ -19,8 +29,8 @@ def _data_type(column: str, declared: str) -> T.DataType:
         length = text.group(1)
         return T.StringType() if length == "max" else T.VarcharType(int(length))
     if declared == "integer":
-        # Identifiers outgrow 32 bits on large sites; codes and counts do not.
-        is_key = column.endswith("_id") and not column.endswith("_concept_id")
+        # Identifiers and the concepts that events are joined on outgrow 32 bits.
+        is_key = column.endswith("_id") and (column in JOINED_CONCEPTS or not column.endswith("_concept_id"))
         return T.LongType() if is_key else T.IntegerType()
     simple: dict[str, T.DataType] = {
         "bigint": T.LongType(),
@@ -182,40 +192,77 @@ def landing_schema(contract: T.StructType) -> T.StructType:
     return T.StructType([landed(field) for field in contract.fields])
 
 
+def text_schema(contract: T.StructType) -> T.StructType:
+    """All columns as text, so that malformed numbers can be told from missing ones."""
+    return T.StructType([T.StructField(field.name, T.StringType(), True) for field in contract.fields])
+
+
+def typed(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """Columns read as text with the types they land with; what is malformed becomes NULL."""
+    landed = {field.name: field.dataType for field in landing_schema(contract).fields}
+    return df.select(
+        *[F.col(c).try_cast(landed[c]).alias(c) if c in landed else F.col(c) for c in df.columns]
+    )
+
+
+def _holds(found: T.DataType, wanted: T.DataType) -> bool:
+    """Whether a column of type ``found`` can carry the values of a contract's column."""
+    if isinstance(found, T.StringType) or found == wanted:
+        return True
+    if isinstance(wanted, T.NumericType):
+        return isinstance(found, T.IntegralType) or isinstance(wanted, T.FractionalType) and isinstance(found, T.NumericType)
+    days = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    return isinstance(wanted, days) and isinstance(found, days)
+
+
 def check_contract(df: DataFrame, contract: T.StructType, table: str) -> DataFrame:
     """Count the values of ``df`` that break a table's contract.
 
     Give the table as landed, so that malformed dates can be told from missing
-    ones. One aggregate pass covers all rules; the result has one row per rule:
+    ones, and read as text (:func:`text_schema`) for malformed numbers too. One
+    aggregate pass covers all rules; the result has one row per rule:
     ``table_name, column_name, rule, violations``, where the rule is
-    ``required``, ``max_length`` or ``date_format``. Columns that ``df`` lacks
-    are not checked.
+    ``required``, ``max_length``, ``date_format`` or ``number_format``. A
+    required column that ``df`` lacks gives a row ``missing_column`` and a
+    column of an unfit type a row ``type``, each with one violation; other
+    columns that ``df`` lacks are not checked.
     """
     rules: list[tuple[str, str, Column]] = []
+    broken_columns: list[tuple[str, str]] = []
     types = {field.name: field.dataType for field in df.schema.fields}
     for field in contract.fields:
         if field.name not in types:
+            if not field.nullable:
+                broken_columns.append((field.name, "missing_column"))
             continue
-        value = F.col(field.name)
+        value, found = F.col(field.name), types[field.name]
+        if not _holds(found, field.dataType):
+            broken_columns.append((field.name, "type"))
         if not field.nullable:
             rules.append((field.name, "required", value.isNull()))
         if isinstance(field.dataType, T.VarcharType):
             too_long = F.length(value) > field.dataType.length
             rules.append((field.name, "max_length", too_long))
-        if is_date_column(field.name) and isinstance(types[field.name], T.StringType):
+        if is_date_column(field.name) and isinstance(found, T.StringType):
             rules.append((field.name, "date_format", rejected_date(field.name)))
-    if not rules:
+        if isinstance(field.dataType, T.NumericType) and isinstance(found, T.StringType):
+            malformed = value.isNotNull() & value.try_cast(field.dataType).isNull()
+            rules.append((field.name, "number_format", malformed))
+    if not rules and not broken_columns:
         raise ValueError(f"the contract of {table} has no rule for the given columns")
     counts = df.agg(
-        *[F.count_if(broken).alias(f"rule_{i}") for i, (_, _, broken) in enumerate(rules)]
+        F.lit(1).cast("bigint").alias("broken_column"),
+        *[F.count_if(broken).alias(f"rule_{i}") for i, (_, _, broken) in enumerate(rules)],
     )
-    lines = [
-        F.struct(
+
+    def line(column: str, rule: str, violations: str) -> Column:
+        return F.struct(
             F.lit(table).alias("table_name"),
             F.lit(column).alias("column_name"),
             F.lit(rule).alias("rule"),
-            F.col(f"rule_{i}").alias("violations"),
+            F.col(violations).alias("violations"),
         )
-        for i, (column, rule, _) in enumerate(rules)
-    ]
+
+    lines = [line(column, rule, f"rule_{i}") for i, (column, rule, _) in enumerate(rules)]
+    lines += [line(column, rule, "broken_column") for column, rule in broken_columns]
     return counts.select(F.inline(F.array(*lines)))

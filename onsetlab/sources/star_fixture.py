@@ -85,6 +85,33 @@ VIEWS: dict[str, str] = {
                END AS condition_start_date
         FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey
         WHERE l_returnflag <> 'R'""",
+    "landing_drug": """
+        SELECT o_custkey AS person_id, 2000000 + l_suppkey AS drug_concept_id,
+               CASE WHEN l_linenumber = 7 THEN '1998-1-1'
+                    ELSE replace(substr(CAST(l_shipdate AS STRING), 1, 10), '-', '')
+               END AS drug_exposure_start_date
+        FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey
+        WHERE l_returnflag = 'R'""",
+    "landing_death": """
+        SELECT person_id, CASE WHEN person_id % 50 = 0 THEN '19981301'
+                    ELSE replace(substr(CAST(death_date AS STRING), 1, 10), '-', '')
+               END AS death_date
+        FROM {death}""",
+    "landing_period": """
+        SELECT person_id,
+               replace(substr(CAST(observation_period_start_date AS STRING), 1, 10), '-', '')
+                   AS observation_period_start_date,
+               CASE WHEN person_id % 70 = 0 THEN ''
+                    ELSE replace(substr(CAST(observation_period_end_date AS STRING), 1, 10), '-', '')
+               END AS observation_period_end_date
+        FROM {observation_period}""",
+    "landing_person": """
+        SELECT CAST(person_id AS STRING) AS person_id,
+               CAST(gender_concept_id AS STRING) AS gender_concept_id,
+               CASE WHEN person_id % 40 = 0 THEN '19x0' ELSE CAST(year_of_birth AS STRING)
+               END AS year_of_birth,
+               CAST(race_concept_id AS STRING) AS race_concept_id
+        FROM {person}""",
 }
 
 

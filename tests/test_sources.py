@@ -134,7 +134,41 @@ def test_contract_finds_planted_violations(spark):
 
 def test_contract_without_a_rule_is_an_error(spark):
     with pytest.raises(ValueError):
-        contracts.check_contract(spark.range(1), contracts.CONTRACTS["death"], "death")
+        optional = T.StructType([T.StructField("note", T.StringType())])
+        contracts.check_contract(spark.range(1), optional, "notes")
+
+
+def test_contract_finds_absent_columns_unfit_types_and_malformed_numbers(spark):
+    df = spark.createDataFrame([("1", 1.5), ("19x0", 2.0), (None, 3.0)], "person_id string, death_date double")
+    report = plain(contracts.check_contract(df, contracts.CONTRACTS["death"], "death"))
+    assert report[("death", "person_id", "number_format", 1)] == 1
+    assert report[("death", "person_id", "required", 1)] == 1
+    assert report[("death", "death_date", "type", 1)] == 1
+    missing = contracts.check_contract(df.drop("death_date"), contracts.CONTRACTS["death"], "death")
+    assert plain(missing)[("death", "death_date", "missing_column", 1)] == 1
+
+
+def test_text_is_typed_by_the_contract(spark):
+    contract = T.StructType(contracts.CONTRACTS["death"].fields[:2])
+    df = spark.createDataFrame([("7", "20200101"), ("x", None)], contracts.text_schema(contract))
+    assert plain(contracts.typed(df, contract)) == {(7, "20200101"): 1, (None, None): 1}
+
+
+def test_one_name_may_be_staged_twice(spark):
+    with staging.Stages(spark) as stages:
+        first = stages.stage(spark.range(2), "numbers")
+        second = stages.stage(spark.range(3), "numbers")
+        assert (first.count(), second.count()) == (2, 3)
+
+
+def test_a_machine_local_folder_is_refused_on_a_cluster(spark, monkeypatch):
+    class Cluster:
+        sparkContext = type("C", (), {"master": "yarn", "getCheckpointDir": staticmethod(lambda: None)})
+        conf = type("F", (), {"get": staticmethod(lambda key, default=None: "/tmp/here")})
+        _jsc = spark._jsc
+
+    with pytest.raises(RuntimeError, match="own disk"):
+        staging.scratch_dir(Cluster())
 
 
 def test_contracts_from_a_field_list():
@@ -211,7 +245,7 @@ class FakeSession:
 
 def test_scratch_folder_is_the_sessions_own():
     assert staging.scratch_dir(FakeSession("hdfs:///scratch/", FakeContext("yarn"))) == "hdfs:///scratch"
-    assert staging.scratch_dir(FakeSession(None, FakeContext("yarn", "/shared/a"))) == "/shared/a"
+    assert staging.scratch_dir(FakeSession(None, FakeContext("yarn", "s3a://shared/a"))) == "s3a://shared/a"
     with pytest.raises(RuntimeError):
         staging.scratch_dir(FakeSession(None, FakeContext("yarn")))
     local = FakeSession(None, FakeContext("local[2]"))
