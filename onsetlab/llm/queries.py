@@ -109,7 +109,8 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
     length = lambda s: s["last"] - s["first"]
-    return repeats.remove_repeats(_table(spark, folder, "documents")).select(
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).select(
         "doc_id",
         "n_bytes",
         F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + length(s)).alias("n_removed"),
