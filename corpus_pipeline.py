@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from onsetlab.llm import byte_bpe, decontaminate, jaccard_join, quality, repeats
 from onsetlab.llm.scratch import cut
+from onsetlab.llm.shipping import ship
 
 #: A document stays if its text is good with this probability or more.
 LEAST_QUALITY = 0.3
@@ -23,6 +24,7 @@ LEAST_QUALITY = 0.3
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from all labels, does not reject."""
+    ship(spark)
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = quality.with_quality(docs, model, name="_quality")
     return scored.where(F.col("_quality") >= LEAST_QUALITY).drop("_quality")
@@ -30,6 +32,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id; null ids stay."""
+    ship(spark)
     linked = jaccard_join.link_documents(docs)
     others = linked.where("doc_id <> component_id").select("doc_id")
     return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
@@ -37,6 +40,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings that start in an earlier document; whole characters only."""
+    ship(spark)
     cut = repeats.remove_repeats(docs, characters=True)
     text = F.when(F.size("removed") > 0, F.decode("kept", "UTF-8"))
     # A text of which nothing went stays as it was, null included.
@@ -49,12 +53,14 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
+    ship(spark)
     found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.where(F.size("found.items") == 0).select(*docs.columns)
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, their number, and whether they decode to the text."""
+    ship(spark)
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     encoded = byte_bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
     decoded = byte_bpe.decode(encoded, ranks)

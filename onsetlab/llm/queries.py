@@ -20,6 +20,7 @@ from onsetlab.llm import (
     toxicity,
     url_filter,
 )
+from onsetlab.llm.shipping import ship
 
 #: The rules of the URL query.
 URL_RULES = (
@@ -32,6 +33,7 @@ URL_RULES = (
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
