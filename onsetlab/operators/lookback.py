@@ -59,7 +59,7 @@ def lookback_events(
         F.col(date_col).alias("event_date"),
     ).filter(F.col("person_id").isNotNull() & F.col("event_date").isNotNull())
     daily = (
-        _in_some_window(narrow, index, lookback, max_bytes)
+        _in_some_window(narrow, index, cohort.select("person_id", "disease_start_date"), lookback, max_bytes)
         .groupBy("person_id", "concept_id", "event_date")
         .agg(F.count("*").alias("event_rows"))
         .withColumn("day", day_number("event_date"))
@@ -136,16 +136,16 @@ def lookback_events(
 
 
 def _in_some_window(
-    events: DataFrame, index: DataFrame, lookback: tuple[int, int], max_bytes: int
+    events: DataFrame, index: DataFrame, onsets: DataFrame, lookback: tuple[int, int], max_bytes: int
 ) -> DataFrame:
     """Drop the events outside all lookback windows, whatever the number of patients.
 
     Overlapping windows of a person are merged first, so that an event is
     compared with few spans: they are disjoint and each as long as a window.
     Spans that fit are broadcast; otherwise both sides are shuffled on the
-    person, which the count per day that follows then needs no shuffle for. A
-    patient has no more onsets than rows, so more onsets than fit are not merged
-    to be measured.
+    person, which the count per day that follows then needs no shuffle for.
+    What is measured are the rows of the cohort, of which there are no fewer than
+    spans.
     """
     nearest, farthest = lookback
     by_day = Window.partitionBy("person_id").orderBy("first")
@@ -167,8 +167,7 @@ def _in_some_window(
         .agg(F.min("first").alias("first"), F.max("last").alias("last"))
         .drop("span")
     )
-    # The onsets are at hand, and there are no fewer of them than spans.
-    fits = fits_broadcast(index.select("person_id", "disease_start_date"), max_bytes)
+    fits = fits_broadcast(onsets, max_bytes)
     inside = (F.col("person_id") == F.col("patient_id")) & F.col("event_date").between(
         F.col("first"), F.col("last")
     )
@@ -198,6 +197,8 @@ def categorise(
         how="left",
         spread=["person_id", "event_date"],
         max_bytes=max_bytes,
+        # Two columns and a count stand for rows of the map, so the map is no smaller.
+        at_most=categories.select("descendant_concept_id", "ancestor_concept_name", "ancestor_concept_id"),
     )
     return joined.select(
         "person_id",

@@ -37,17 +37,19 @@ def lookup_join(
     how: str,
     spread: Sequence[str],
     max_bytes: int = BROADCAST_BYTES,
+    at_most: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to a lookup table on one key (inner, left or left_semi).
 
     Up to ``max_bytes`` the table is broadcast and ``rows`` is not shuffled.
     Beyond that both sides are shuffled on the key and a salt taken from the
     ``spread`` columns, so that a key which holds a large part of ``rows`` is
-    divided between tasks; the table is repeated once per salt.
+    divided between tasks; the table is repeated once per salt. ``at_most`` is a
+    frame that is no smaller than the table and cheaper to measure.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
-    if fits_broadcast(table, max_bytes):
+    if fits_broadcast(table if at_most is None else at_most, max_bytes):
         return rows.join(F.broadcast(table), on, how)
     salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS).cast("bigint")).cast("int")
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))

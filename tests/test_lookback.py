@@ -122,3 +122,19 @@ def test_common_rows_from_long_rows(spark):
     assert rows(lb.common_categories(long, "category", 2)) == {(1, "A"): 3, (2, "A"): 1}
     both = lb.common_categories(long, "category", 2, null_takes_slot=False)
     assert rows(both) == {(1, "A"): 3, (2, "A"): 1, (2, "B"): 1}
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, -1])
+def test_events_are_filtered_first_and_met_ones_go_on_as_they_are(spark, max_bytes):
+    cohort = spark.createDataFrame(
+        [(1, 5, day(400), None)], "person_id long, disease_concept_id long, disease_start_date date, death_date date"
+    )
+    events = spark.createDataFrame([(1, 7, day(390)), (2, 7, day(390))], "person_id long, c long, d date")
+    met = lb.lookback_events(cohort, events, "c", "d", max_bytes=max_bytes)
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    # Whatever the size, only persons with an onset reach the count per day.
+    assert "Join LeftSemi" in plan
+    assert [tuple(row) for row in met.collect()] == [(1, 7, day(390), 1, 1)]
+    # No aggregate over events stands above the sweep: the one left there sees closing rows only.
+    above = plan[: plan.index("Window")]
+    assert above.count("Aggregate") <= 1
