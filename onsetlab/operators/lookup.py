@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD_BYTES = 32
 SALTS = 32
+HOT_SHARE = 128
 
 
 def fits_broadcast(table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -42,24 +43,36 @@ def lookup_join(
     """Join ``rows`` to a lookup table on one key (inner, left or left_semi).
 
     Up to ``max_bytes`` the table is broadcast and ``rows`` is not shuffled.
-    Beyond that both sides are shuffled on the key and a salt taken from the
-    ``spread`` columns, so that a key which holds a large part of ``rows`` is
-    divided between tasks; the table is repeated once per salt. ``at_most`` is a
-    frame that is no smaller than the table and cheaper to measure.
+    Beyond that both sides are shuffled on the key, the table cut down to the keys
+    that occur in ``rows``. A key that holds a large part of ``rows`` is divided
+    between tasks by a salt taken from the ``spread`` columns, and its entries
+    alone are repeated once per salt. That reads the key column of ``rows`` once
+    more. ``at_most`` is a frame that is no smaller than the table and cheaper to
+    measure.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type {how}")
     if fits_broadcast(table if at_most is None else at_most, max_bytes):
         return rows.join(F.broadcast(table), on, how)
+    occurring = rows.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_rows"))
+    table = table.join(occurring.hint("merge"), on, "left_semi")
+    hot = F.col(on).isin(_hot_keys(occurring, on))
     salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS).cast("bigint")).cast("int")
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    every_salt = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
     return (
-        rows.withColumn("_salt", salt)
+        rows.withColumn("_salt", F.when(hot, salt).otherwise(0))
         .join(table.withColumn("_salt", every_salt), [on, "_salt"], how)
         .drop("_salt")
     )
 
 
+def _hot_keys(occurring: DataFrame, on: str) -> list:
+    """The keys with more than one in HOT_SHARE rows: fewer than HOT_SHARE keys."""
+    total = occurring.agg(F.sum("_rows")).first()[0] or 0
+    hot = occurring.where(F.col("_rows") * HOT_SHARE > total)
+    return [row[on] for row in hot.select(on).collect()]
+
+
 def prefilter_keys(
     rows: DataFrame, keys: DataFrame, on: str, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
