@@ -14,7 +14,7 @@ many texts at once, one step per token position.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -28,7 +28,7 @@ from onsetlab.llm.quality import bounded_sample, one_label
 
 WORD = re.compile(r"\w+")
 FEATURE_BITS = 18
-FIT_ROWS = 8192
+FIT_ROWS = 4096
 FIT_CHARS = 32768
 SEQUENCE = 256
 CACHE_WORDS = 400_000
@@ -107,18 +107,19 @@ class ToxicityModel:
     def emission(self, word: str) -> float:
         return float(np.clip(self.weight[features(word)].sum() + self.weight[-1], -30, 30))
 
-    def marginals(self, texts: list[list[str]], known: dict[str, float]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Per text the probability of each token to be toxic; log P(all clean)."""
-        lengths = np.array([len(t) for t in texts], np.int64)
+    def marginals(self, emissions: np.ndarray, lengths: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Per text the probability of each token to be toxic; log P(all clean).
+
+        ``emissions`` are those of the tokens of all texts, one after another.
+        """
         lanes = Lanes(lengths)
-        flat = np.fromiter((known[w] for t in texts for w in t), np.float64, lengths.sum())
-        odds = np.exp(flat[lanes.source])
+        odds = np.exp(emissions[lanes.source])
         f, b, clean = forward_backward(lanes, odds, np.exp(self.start), np.exp(self.moves))
-        p = np.empty(len(flat))
+        p = np.empty(len(emissions))
         p[lanes.source] = f * b / (1 + f * b)
-        back = np.empty(len(texts))
+        back = np.empty(len(lengths))
         back[lanes.order] = clean
-        return np.split(p, np.cumsum(lengths)[:-1]) if len(texts) else [], back
+        return np.split(p, np.cumsum(lengths)[:-1]) if len(lengths) else [], back
 
     def score(self, marginals: np.ndarray, clean: float) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.curve @ summary(marginals, clean), -60, 60))))
@@ -147,88 +148,120 @@ def summary(marginals: np.ndarray, clean: float) -> np.ndarray:
     ])
 
 
-def toxic_words(
-    texts: list[list[str]], toxic: np.ndarray, least: int = 3, share: float = 0.02, odds: float = 3.0, most: int = 10
-) -> set[int]:
-    """Features that mark toxic tokens.
+class Vocabulary:
+    """Numbers of words, and the hashed features of each."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.flat, self.ends = array("i"), array("q", [0])
+
+    def read(self, text: str) -> np.ndarray:
+        """The numbers of the words of a text."""
+        out = array("i")
+        for word in tokens(text):
+            number = self.numbers.get(word)
+            if number is None:
+                number = self.numbers[word] = len(self.numbers)
+                self.flat.extend(features(word))
+                self.ends.append(len(self.flat))
+            out.append(number)
+        return np.frombuffer(out, np.int32) if out else np.zeros(0, np.int32)
+
+    def close(self) -> None:
+        self.feature = np.array(self.flat, np.int64)
+        self.sizes = np.diff(np.array(self.ends, np.int64))
+        self.word = np.repeat(np.arange(len(self.numbers)), self.sizes)
+
+    def features_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The features of some words, and the place of the word of each."""
+        sizes = self.sizes[words]
+        ends = np.cumsum(sizes)
+        first = np.cumsum(self.sizes)[words] - sizes
+        at = np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.feature[at], np.repeat(np.arange(len(words)), sizes)
+
+
+def toxic_features(
+    vocabulary: Vocabulary,
+    texts: list[np.ndarray],
+    toxic: np.ndarray,
+    least: int = 3,
+    share: float = 0.02,
+    odds: float = 3.0,
+    most: int = 10,
+) -> np.ndarray:
+    """A mask of the features that mark toxic tokens.
 
     They occur in at least ``least`` toxic documents and a ``share`` of them,
     e**(odds / 2) times as often as in others counted by document, and e**odds
     times as often counted by token, of which a document gives ``most``.
     """
-    docs, occurrences = (Counter(), Counter()), (Counter(), Counter())
-    known: dict[str, list[int]] = {}
+    docs, occurrences = np.zeros((2, 1 << FEATURE_BITS)), np.zeros((2, 1 << FEATURE_BITS))
     for words, label in zip(texts, toxic.tolist(), strict=True):
-        here: Counter = Counter()
-        for word, n in Counter(words).items():
-            if word not in known:
-                known[word] = features(word)
-            for f in known[word]:
-                here[f] += n
-        docs[label].update(here.keys())
-        for f, n in here.items():
-            occurrences[label][f] += min(n, most)
-    n = len(toxic) - toxic.sum(), toxic.sum()
-
-    def ratio(counts: tuple[Counter, Counter], f: int) -> float:
-        return np.log((counts[1][f] + 0.5) / (n[1] + 1)) - np.log((counts[0][f] + 0.5) / (n[0] + 1))
-
-    enough = max(least, share * n[1])
-    return {
-        f
-        for f, c in docs[1].items()
-        if c >= enough and ratio(docs, f) >= odds / 2 and ratio(occurrences, f) >= odds
-    }
+        known, counts = np.unique(words, return_counts=True)
+        found, place = vocabulary.features_of(known)
+        met, which = np.unique(found, return_inverse=True)
+        docs[label][met] += 1
+        occurrences[label][met] += np.minimum(np.bincount(which, counts[place], len(met)), most)
+    n = np.array([[len(toxic) - toxic.sum()], [toxic.sum()]])
+
+    def ratio(counts: np.ndarray) -> np.ndarray:
+        clean, bad = np.log((counts + 0.5) / (n + 1))
+        return bad - clean
+
+    enough = docs[1] >= max(least, share * n[1, 0])
+    return enough & (ratio(docs) >= odds / 2) & (ratio(occurrences) >= odds)
 
 
 def train_chain(
-    texts: list[list[str]], labels: list[np.ndarray], rounds: int = 60, rate: float = 0.25, decay: float = 1e-3
-) -> ToxicityModel:
+    vocabulary: Vocabulary, texts: list[np.ndarray], labels: list[np.ndarray],
+    rounds: int = 60, rate: float = 0.25, decay: float = 1e-3,
+) -> ToxicityModel:
     """Maximise the penalised likelihood of the labelled tokens with Adam."""
-    vocabulary: dict[str, int] = {}
-    flat = np.array([vocabulary.setdefault(w, len(vocabulary)) for t in texts for w in t], np.int64)
+    flat = np.concatenate([np.zeros(0, np.int32), *texts])
     y = np.concatenate([np.zeros(0), *labels])
-    lists = [[*features(w), 1 << FEATURE_BITS] for w in vocabulary]
-    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    feature = np.array([f for x in lists for f in x], np.int64)
-    used, feature = np.unique(feature, return_inverse=True)
+    used, feature = np.unique(vocabulary.feature, return_inverse=True)
+    owner, n_words = vocabulary.word, len(vocabulary.numbers)
     lengths = []
     for t in texts:
         lengths += [SEQUENCE] * (len(t) // SEQUENCE) + [len(t) % SEQUENCE] * bool(len(t) % SEQUENCE)
     lanes = Lanes(np.array(lengths, np.int64))
     words, y = flat[lanes.source], y[lanes.source]
     # Gold counts of the chain: first states, and moves between neighbours.
-    after = np.arange(lanes.active[0] if len(lanes.active) else 0, len(words))
+    opening = int(lanes.active[0]) if len(lanes.active) else 0
+    after = np.arange(opening, len(words))
     before = after - lanes.active[np.searchsorted(lanes.steps, after, "right") - 2] if len(after) else after
-    pairs = np.zeros((2, 2))
-    np.add.at(pairs, (y[before].astype(int), y[after].astype(int)), 1)
-    first = y[: lanes.active[0]].sum() if len(lanes.active) else 0.0
-    theta = np.zeros(len(used) + 4)
-    theta[np.searchsorted(used, 1 << FEATURE_BITS)] = -2.0
+    pairs = np.bincount((2 * y[before] + y[after]).astype(np.int64), minlength=4).reshape(2, 2)
+    first = y[:opening].sum()
+    theta = np.zeros(len(used) + 5)  # features, constant, start, three moves
+    theta[-5] = -2.0
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     total = max(len(words), 1)
     for step in range(1, rounds + 1):
         moves = np.exp(np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]]))
-        emission = np.bincount(owner, theta[:-4][feature], len(vocabulary))
+        emission = np.bincount(owner, theta[:-5][feature], n_words) + theta[-5]
         odds = np.exp(np.clip(emission, -30, 30))[words]
         f, b, _ = forward_backward(lanes, odds, np.exp(theta[-4]), moves)
         p = f * b / (1 + f * b)
-        x = odds[after] * b[after]
-        joint = np.array([[moves[0, 0] + 0 * x, moves[0, 1] * x], [f[before] * moves[1, 0], f[before] * moves[1, 1] * x]])
-        expected = (joint / joint.sum((0, 1))).sum(2) if len(after) else pairs
-        by_word = np.bincount(words, y - p, len(vocabulary))
+        x, g = odds[after] * b[after], f[before]
+        joint = [moves[0, 0] * np.ones_like(x), moves[0, 1] * x, moves[1, 0] * g, moves[1, 1] * g * x]
+        whole = joint[0] + joint[1] + joint[2] + joint[3]
+        expected = np.array([(j / whole).sum() for j in joint])
+        miss = y - p
+        by_word = np.bincount(words, miss, n_words)
         gradient = np.concatenate([
             np.bincount(feature, by_word[owner], len(used)),
-            [first - p[: lanes.active[0]].sum() if len(lanes.active) else 0.0],
-            (pairs - expected).ravel()[1:],
+            [miss.sum(), first - p[:opening].sum()],
+            (pairs.ravel() - expected)[1:],
         ])
         gradient = gradient / np.sqrt(total) - decay * theta
         mean = 0.9 * mean + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient * gradient
         theta += rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-4)
     weight = np.zeros((1 << FEATURE_BITS) + 1)
-    weight[used] = theta[:-4]
-    return ToxicityModel(weight, float(theta[-4]), np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]]), np.array([1.0, 0.0, 0.0, 0.0]))
+    weight[used], weight[-1] = theta[:-5], theta[-5]
+    moves = np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]])
+    return ToxicityModel(weight, float(theta[-4]), moves, np.array([1.0, 0.0, 0.0, 0.0]))
 
 
 def _curve(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -266,12 +299,12 @@ def fit(
         .join(F.broadcast(sample), "id")
         .select("label", "text")
         .toArrow()
+        .sort_by([("label", "ascending"), ("text", "ascending")])
     )
     y = np.array(rows.column("label").to_pylist(), np.int64)
-    words = [tokens(t) for t in rows.column("text").to_pylist()]
-    order = sorted(range(len(y)), key=lambda i: (y[i], words[i]))
-    order = np.random.default_rng(1).permutation(np.array(order, np.int64)) if order else np.zeros(0, np.int64)
-    y, words = y[order], [words[i] for i in order]
+    # The same order whatever the tasks were.
+    order = np.random.default_rng(1).permutation(len(y))
+    y = y[order]
     if not len(y) or y.min() == y.max():
         share = (y.sum() + 1) / (len(y) + 2)
         return ToxicityModel(
@@ -280,13 +313,20 @@ def fit(
     held = np.arange(len(y)) % 4 == 0
     if len(np.unique(y[~held])) < 2 or len(np.unique(y[held])) < 2:
         held[:] = False
+    vocabulary = Vocabulary()
+    words = [vocabulary.read(rows.column("text")[int(i)].as_py()) for i in order]
+    del rows
+    vocabulary.close()
     taught = np.flatnonzero(~held)
-    marks = toxic_words([words[i] for i in taught], y[taught])
-    marked = {w: float(not marks.isdisjoint(features(w))) for i in taught if y[i] for w in words[i]}
-    gold = [np.array([marked[w] for w in words[i]] if y[i] else np.zeros(len(words[i]))) for i in taught]
-    model = train_chain([words[i] for i in taught], gold)
+    marks = toxic_features(vocabulary, [words[i] for i in taught], y[taught])
+    marked = np.bincount(vocabulary.word, marks[vocabulary.feature], len(vocabulary.numbers)) > 0
+    gold = [marked[words[i]] * float(y[i]) for i in taught]
+    model = train_chain(vocabulary, [words[i] for i in taught], gold)
     seen = np.flatnonzero(held) if held.any() else taught
-    p, clean = model.marginals([words[i] for i in seen], Emissions(model))
+    emission = np.bincount(vocabulary.word, model.weight[vocabulary.feature], len(vocabulary.numbers)) + model.weight[-1]
+    lengths = np.array([len(words[i]) for i in seen], np.int64)
+    flat = np.concatenate([words[i] for i in seen])
+    p, clean = model.marginals(np.clip(emission, -30, 30)[flat], lengths)
     model.curve = _curve(np.array([summary(a, c) for a, c in zip(p, clean, strict=True)]), y[seen].astype(float))
     return model
 
@@ -312,7 +352,10 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
                 texts = batch.slice(at, TEXTS_AT_ONCE).to_pylist()
                 if len(known) > CACHE_WORDS:
                     known.clear()
-                found, clean = model.marginals([tokens(t) for t in texts], known)
+                words = [tokens(t) for t in texts]
+                lengths = np.array([len(w) for w in words], np.int64)
+                emissions = np.fromiter((known[w] for t in words for w in t), np.float64, lengths.sum())
+                found, clean = model.marginals(emissions, lengths)
                 for text, p, c in zip(texts, found, clean, strict=True):
                     spans = toxic_spans(text, p, least) if len(p) and p.max() >= least else []
                     out.append({"score": model.score(p, c), "spans": spans})
