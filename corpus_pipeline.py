@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from onsetlab.llm import byte_bpe, decontaminate, jaccard_join, quality, repeats
 from onsetlab.llm.scratch import cut
 from onsetlab.llm.shipping import ship
+from onsetlab.operators.lookup import fits_broadcast
 
 #: A document stays if its text is good with this probability or more.
 LEAST_QUALITY = 0.3
@@ -34,8 +35,10 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id; null ids stay."""
     ship(spark)
     linked = jaccard_join.link_documents(docs)
-    others = linked.where("doc_id <> component_id").select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    others = cut(linked.where("doc_id <> component_id").select("doc_id").distinct())
+    # Only ids that fit are copied to the tasks; beyond that texts are shuffled to them.
+    gone = F.broadcast(others) if fits_broadcast(others) else others
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
