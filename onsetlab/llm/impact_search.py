@@ -10,8 +10,6 @@ nothing else can, and those rows are then scored exactly with integers.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -91,11 +89,11 @@ class ImpactIndex:
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """``id`` and ``v`` = floor(scale * x); rows with null or non-finite parts go."""
     x = F.col("x")
-    usable = F.exists("x", lambda y: y.isNull() | F.isnan(y) | (F.abs(y) == float("inf")))
+    unusable = F.exists("x", lambda y: y.isNull() | F.isnan(y) | (F.abs(y) == float("inf")))
     return (
         df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
         .where(F.col("id").isNotNull() & x.isNotNull())
-        .where(~usable)
+        .where(~unusable)
         .select("id", F.transform("x", lambda y: F.floor(y * scale).cast("long")).alias("v"))
     )
 
