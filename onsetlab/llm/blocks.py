@@ -79,6 +79,8 @@ def copies_by_block(keys: DataFrame, blocks: int) -> DataFrame:
         keys.join(smallest, "key")
         .where("id > smallest")
         .select("id", block_of("id", blocks))
+        # Ends the join's stage, so that a key with very many copies is divided there.
+        .hint("rebalance")
         .groupBy("block")
         .agg(F.collect_set("id").alias("ids"))
         .mapInArrow(_copy_notes, NOTES)

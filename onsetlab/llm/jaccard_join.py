@@ -159,22 +159,25 @@ class Groups:
         self.label[np.isin(self.label, groups)] = groups[0]
 
 
-def links_in_cell(cell: Cell) -> list[tuple[int, int]]:
-    """Links that join all that is joined in the cell; pairs already joined are skipped."""
+def groups_in_cell(cell: Cell) -> np.ndarray:
+    """For each set the first set of its group, by verified links within the cell.
+
+    Pairs that links already join are skipped.
+    """
     groups = Groups(np.arange(len(cell.sets)))
     undone = np.ones(len(cell.sets), bool)
-    links: list[tuple[int, int]] = []
     while True:
         left = np.flatnonzero(undone)
         names, sizes = np.unique(groups.label[left], return_counts=True)
         if len(names) < 2:
-            return links
+            break
         # Sets of the largest group need not ask: the others ask for them.
         asked = int(left[groups.label[left] != names[np.argmax(sizes)]][0])
         undone[asked] = False
         found = cell.similar_to(asked, undone & (groups.label != groups.label[asked]))
-        links += [(asked, int(i)) for i in found]
         groups.join(np.append(found, asked))
+    _, first, which = np.unique(groups.label, return_index=True, return_inverse=True)
+    return first[which]
 
 
 def cell_of(rows: pd.DataFrame, similar: tuple[int, int]) -> Cell:
@@ -294,8 +297,9 @@ def link_documents(
     def local(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable")
         ids = rows["id"].to_numpy()
-        found = links_in_cell(cell_of(rows, similar))
-        return pd.DataFrame({"a": [ids[x] for x, _ in found], "b": [ids[y] for _, y in found]})
+        # A group is a star around its smallest id, the same in whatever cell it is met.
+        links = pd.DataFrame({"a": ids, "b": ids[groups_in_cell(cell_of(rows, similar))]})
+        return links[links["a"] != links["b"]]
 
     links = cut(
         seated(seats.select("id", "cell", "seat")).groupBy("cell", "seat").applyInPandas(local, LINKS).distinct()
@@ -362,7 +366,8 @@ def _between_blocks(dealt, named, seated, similar, cell_rows) -> DataFrame:
             groups, cell = Groups(rows["component"].to_numpy()), cell_of(rows, similar)
             for asked in np.flatnonzero(asks).tolist():
                 found = cell.similar_to(asked, ~asks & (groups.label != groups.label[asked]))
-                links += [(ids[asked], ids[j]) for j in found]
+                _, one = np.unique(groups.label[found], return_index=True)  # one link to each group
+                links += [(ids[asked], ids[j]) for j in found[one]]
                 groups.join(np.append(found, asked))
         return pd.DataFrame(links, columns=["a", "b"])
 
