@@ -42,7 +42,7 @@ from onsetlab.llm.blocks import (
     repeated_notes,
     shard_notes,
 )
-from onsetlab.llm.buffers import slices, span_hashes, utf8
+from onsetlab.llm.buffers import ODD, slices, span_hashes, utf8
 
 LENGTH = 50
 GRAM = 24
@@ -63,7 +63,8 @@ def window_anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int
         step = min(width, wanted - width)
         least = np.minimum(least[: max(len(least) - step, 0)], least[step:])
         width += step
-    out[: len(least)] = least
+    # Minima crowd at the low end; an odd factor spreads them over all shards again.
+    out[: len(least)] = (least * ODD) & np.uint64((1 << 48) - 1)
     # Windows do not cross documents: the last ones of each start none.
     last = np.zeros(len(data) + 1, np.int32)
     short = np.maximum(offsets[1:] - length + 1, offsets[:-1])
