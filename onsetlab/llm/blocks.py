@@ -6,7 +6,7 @@ by a hash of the id, so a document's notes find it without a join on texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -73,16 +73,19 @@ def blocks_and_shards(texts: DataFrame, column: str, block_bytes: int, shard_byt
 
 
 def copies_by_block(keys: DataFrame, blocks: int) -> DataFrame:
-    """Notes ``copies``: ids (64-bit) of rows whose ``key`` a smaller ``id`` has."""
+    """Notes ``copies``: ids (64-bit) and 16-byte keys of rows whose ``key`` a smaller ``id`` has.
+
+    An id may have rows of several keys, of which only some are copies.
+    """
     smallest = keys.groupBy("key").agg(F.min("id").alias("smallest"))
     return (
         keys.join(smallest, "key")
         .where("id > smallest")
-        .select("id", block_of("id", blocks))
+        .select("id", "key", block_of("id", blocks))
         # Ends the join's stage, so that a key with very many copies is divided there.
         .hint("rebalance")
         .groupBy("block")
-        .agg(F.collect_set("id").alias("ids"))
+        .agg(F.collect_set(F.struct("id", "key")).alias("rows"))
         .mapInArrow(_copy_notes, NOTES)
     )
 
@@ -90,14 +93,23 @@ def copies_by_block(keys: DataFrame, blocks: int) -> DataFrame:
 def _copy_notes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [
-            (block, "copies", np.array(ids, np.int64).tobytes(), b"", b"")
-            for block, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+            (block, "copies", np.array([r["id"] for r in found], np.int64).tobytes(), b"".join(r["key"] for r in found), b"")
+            for block, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
         ]
         yield from notes(rows).to_batches()
 
 
-def copies_in(table: pa.Table) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.int64), *(numbers(first) for first, _, _ in of_kind(table, "copies"))])
+def copies_in(table: pa.Table, ids: np.ndarray, key: Callable[[int], bytes]) -> np.ndarray:
+    """Which rows are copies by the notes of their block; ``key`` tells the key of a row."""
+    known = {
+        (int(own), keys[16 * i : 16 * i + 16])
+        for first, keys, _ in of_kind(table, "copies")
+        for i, own in enumerate(numbers(first))
+    }
+    out = np.isin(ids, np.array([own for own, _ in known], np.int64))
+    for i in np.flatnonzero(out).tolist():
+        out[i] = (int(ids[i]), key(i)) in known
+    return out
 
 
 def shard_notes(values: np.ndarray, ids: np.ndarray, block: int, shards: int) -> pa.Table:

@@ -217,12 +217,14 @@ def link_documents(
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, tokens = [], []
+            n, keys, tokens = [], [], []
             for found in batched(batch.column(1), shingle_words):
                 n.append(len(found))
+                keys.append(blake2b(found.tobytes(), digest_size=16).digest())
                 tokens.append(pack(found >> np.uint64(16)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(tokens, pa.binary())], ["id", "n", "tokens"]
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(tokens, pa.binary())],
+                ["id", "n", "key", "tokens"],
             )
 
     described = cut(texts.mapInArrow(describe, "id long, n long, key binary"))
@@ -231,9 +233,9 @@ def link_documents(
     copies = copies_by_block(some.select("id", "key"), blocks)
     by_block = (
         texts.where("id IS NOT NULL")
-        .mapInArrow(gather, "id long, n long, tokens binary")
+        .mapInArrow(gather, "id long, n long, key binary, tokens binary")
         .where("n > 0")
-        .select("id", "n", "tokens", block_of("id", blocks))
+        .select("id", "n", "key", "tokens", block_of("id", blocks))
         .groupBy("block")
     )
 
@@ -301,8 +303,16 @@ def link_documents(
         links = pd.DataFrame({"a": ids, "b": ids[groups_in_cell(cell_of(rows, similar))]})
         return links[links["a"] != links["b"]]
 
+    # Rows of one id are one document, whatever their sets: the id joins the smallest ids that have these.
+    several = some.groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("id")
+    firsts = some.groupBy("key").agg(F.min("id").alias("b"))
+    bridges = some.join(several, "id").join(firsts, "key").where("id <> b").select(F.col("id").alias("a"), "b")
     links = cut(
-        seated(seats.select("id", "cell", "seat")).groupBy("cell", "seat").applyInPandas(local, LINKS).distinct()
+        seated(seats.select("id", "cell", "seat"))
+        .groupBy("cell", "seat")
+        .applyInPandas(local, LINKS)
+        .union(bridges)
+        .distinct()
     )
     named = components(links)
     if dealt.where("blocks > 1").limit(1).count():
@@ -325,7 +335,8 @@ def link_documents(
 
 def _without_copies(docs: pa.Table, table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     ids, sizes = docs.column("id").to_numpy(), docs.column("n").to_numpy()
-    own = np.flatnonzero(~np.isin(ids, copies_in(table)))
+    keys = docs.column("key")
+    own = np.flatnonzero(~copies_in(table, ids, lambda i: keys[i].as_py()))
     tokens = docs.column("tokens").to_pylist()
     return ids[own], sizes[own], [np.unique(unpack(tokens[i])) for i in own]
 

@@ -22,6 +22,7 @@ before, so a group of copies weighs as one text.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -194,8 +195,8 @@ class Block:
         self.docs = docs.sort_by("id").combine_chunks()
         self.hits, _ = hits_in(table)
         self.ids = self.docs.column("id").to_numpy()
-        self.is_copy = np.isin(self.ids, copies_in(table))
         texts = self.docs.column("text")
+        self.is_copy = copies_in(table, self.ids, lambda i: md5(texts[i].as_py().encode()).digest())
         self.data, self.offsets = utf8(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
         self.sizes = np.diff(self.offsets)
         if self.is_copy.any():
@@ -246,7 +247,7 @@ def remove_repeats(
     )
     texts = all_texts.where("id IS NOT NULL")
     blocks, shards = blocks_and_shards(texts, "text", block_bytes, SHARD_BYTES)
-    keys = texts.where(F.octet_length("text") >= length).select("id", F.md5("text").alias("key"))
+    keys = texts.where(F.octet_length("text") >= length).select("id", F.unhex(F.md5("text")).alias("key"))
     copies = copies_by_block(keys, blocks)
     docs = texts.select("*", block_of("id", blocks))
     by_block = docs.groupBy("block")

@@ -343,6 +343,22 @@ def test_linked_documents(spark, docs, cell_rows):
         assert row["component_id"] == (None if row["doc_id"] is None else find(row["doc_id"]))
 
 
+def two_texts_of_an_id():
+    """Id 7 has a copy of the text of id 3 and a text of its own, which 9 nearly has."""
+    source = random.Random(21)
+    a, b = (" ".join(f"w{source.randint(0, 9000)}" for _ in range(60)) for _ in range(2))
+    return [(3, a), (7, a), (7, b), (9, b + " more"), (11, "something else")]
+
+
+def test_linked_documents_of_an_id_with_two_texts(spark):
+    rows = two_texts_of_an_id()
+    _, find = brute_components(rows)
+    found = jaccard_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["component_id"] for r in found if r["doc_id"] == 7} == {3}
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == sorted((i, 3 if i < 11 else 11) for i, _ in rows)
+    assert all(find(r["doc_id"]) == r["component_id"] for r in found)
+
+
 def test_linking_nothing(nothing):
     assert jaccard_join.link_documents(nothing).count() == 0
 
@@ -393,6 +409,16 @@ def test_removed_repeats(spark, docs, length, gram, block_bytes):
     assert all(bytes(r["kept"]).decode("utf-8") is not None for r in whole.collect())
 
 
+def test_removed_repeats_of_an_id_with_two_texts(spark):
+    rows = two_texts_of_an_id()
+    cut = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = Counter()
+    for r in cut:
+        found[r["doc_id"], r["n_bytes"], sum(s["last"] - s["first"] for s in r["removed"]), len(r["removed"]), bytes(r["kept"])] += 1
+    assert found == brute_repeats(rows, 50)
+    assert (7, len(rows[2][1]), 0, 0, rows[2][1].encode()) in found
+
+
 def test_removing_from_nothing(nothing):
     cut = repeats.remove_repeats(nothing)
     assert cut.columns == ["doc_id", "lang", "id", "block", "score", "n_bytes", "removed", "kept"] and cut.count() == 0
