@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 NOTES = "block long, kind string, first binary, second binary, third binary"
 LEAST_SHARDS = 16
+#: Weights below this are not sent, and count as this.
+LEAST_WEIGHT = 64
+#: Set in the level of a number that is heavier than wanted.
+HEAVY = 128
 _KINDS = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
 _NAMES = ["block", "kind", "first", "second", "third"]
 
@@ -112,28 +116,35 @@ def copies_in(table: pa.Table, ids: np.ndarray, key: Callable[[int], bytes]) ->
     return out
 
 
-def shard_notes(values: np.ndarray, ids: np.ndarray, block: int, shards: int) -> pa.Table:
-    """What a block holds, by shard: numbers of one id, and of several ids."""
+def shard_notes(
+    values: np.ndarray, ids: np.ndarray, block: int, shards: int, weights: np.ndarray | None = None
+) -> pa.Table:
+    """What a block holds, by shard: numbers of one id, and of several ids; which of them are heavy."""
     order = np.lexsort((ids, values))
+    own = weights[order] if weights is not None else None
     values, ids = values[order], ids[order]
     known, first = np.unique(values, return_index=True)
     last = np.append(first[1:], len(values)) - 1
     many = ids[first] != ids[last] if len(known) else np.zeros(0, bool)
+    weight = np.add.reduceat(own, first) if own is not None and len(known) else np.zeros(len(known), np.int64)
     # Shards are ranges of the 48-bit numbers, so that steps stay small.
     cuts = np.searchsorted(known, np.array([(s << 48) // shards for s in range(shards)] + [1 << 48], np.uint64))
     rows = []
     for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
         if b > a:
             here, several = known[a:b], many[a:b]
-            rows.append((s, str(block), pack_sorted(here[~several]), pack_sorted(here[several]), b""))
+            heavy = np.flatnonzero(weight[a:b] >= LEAST_WEIGHT)
+            third = np.stack([here[heavy].view(np.int64), weight[a:b][heavy]]).tobytes() if len(heavy) else b""
+            rows.append((s, str(block), pack_sorted(here[~several]), pack_sorted(here[several]), third))
     return notes(rows)
 
 
-def repeated_notes(table: pa.Table) -> pa.Table:
+def repeated_notes(table: pa.Table, most: int | None = None) -> pa.Table:
     """For each block its numbers that several ids hold, in notes ``hits``.
 
     Numbers are told apart by level: the binary logarithm of the blocks that
-    hold them, in ``second``.
+    hold them, in ``second``, and HEAVY more where all blocks together give a
+    number a weight over ``most``.
     """
     blocks = table.column("kind").to_pylist()
     ones = [unpack_sorted(v) for v in table.column("first").to_pylist()]
@@ -142,6 +153,13 @@ def repeated_notes(table: pa.Table) -> pa.Table:
     known, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *ones, *many, *many]), return_counts=True)
     repeated = counts > 1
     known, levels = known[repeated], np.log2(counts[repeated]).astype(np.uint8)
+    if most is not None and len(known):
+        weight = counts[repeated] * LEAST_WEIGHT
+        for value, more in (numbers(v).reshape(2, -1) for v in table.column("third").to_pylist() if v):
+            at = np.minimum(np.searchsorted(known, value.view(np.uint64)), len(known) - 1)
+            met = known[at] == value.view(np.uint64)
+            weight[at[met]] += more[met]
+        levels[weight > most] |= HEAVY
     rows = []
     for block, one, several in zip(blocks, ones, many, strict=True):
         own = np.concatenate([one, several])

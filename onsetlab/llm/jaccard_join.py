@@ -265,7 +265,7 @@ def link_documents(
         by_block.cogroup(copies.groupBy("block"))
         .applyInArrow(hold, NOTES)
         .groupBy("block")
-        .applyInArrow(repeated_notes, NOTES)
+        .applyInArrow(lambda table: repeated_notes(table), NOTES)
     )
     sets = cut(
         by_block.cogroup(hits.unionByName(copies).groupBy("block")).applyInArrow(

@@ -12,7 +12,9 @@ be found anchor by anchor:
    neighbours and walks the tree of common-prefix intervals with a stack. An
    interval whose suffixes differ in the byte to their left is a maximal repeat;
    its occurrences are all suffixes of the interval, and the smallest document
-   among them owns it.
+   among them owns it. Where an anchor has more windows than a shard should
+   sort at once, each different window of a block goes alone to the shard of its
+   own hash, so that equal windows still meet.
 4. Back in its block, every occurrence outside the owner is marked.
 
 Texts are shuffled once, to their blocks; equal texts are told apart by hash
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from onsetlab.llm.blocks import (
+    HEAVY,
     NOTES,
     block_of,
     blocks_and_shards,
@@ -51,6 +54,7 @@ BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 16 << 20
 STRETCH_WINDOWS = 64
 PORTION_BYTES = 1 << 20
+ANCHOR_WINDOWS = 1 << 17
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -77,7 +81,11 @@ def window_anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int
 
 @dataclass
 class Stretches:
-    """Runs of windows with one anchor: where they lie, whose they are, which are equal."""
+    """Runs of windows with one anchor: where they lie, whose they are, which are equal.
+
+    Those of a heavy anchor are divided into single windows, with the hash of
+    the window in place of the anchor.
+    """
 
     starts: np.ndarray
     ends: np.ndarray
@@ -87,8 +95,11 @@ class Stretches:
     first: np.ndarray
 
     @classmethod
-    def of(cls, data: np.ndarray, offsets: np.ndarray, hits: np.ndarray, length: int, gram: int) -> Stretches:
+    def of(
+        cls, data: np.ndarray, offsets: np.ndarray, hits: np.ndarray, length: int, gram: int, heavy: np.ndarray | None = None
+    ) -> Stretches:
         """Stretches around the anchors in the sorted ``hits``, equal ones with one number."""
+        heavy = np.zeros(len(hits), bool) if heavy is None else heavy
         parts = []
         for a, b in slices(offsets):
             base, here = offsets[a], data[offsets[a] : offsets[b]]
@@ -103,14 +114,18 @@ class Stretches:
             at = np.minimum(np.searchsorted(hits, known), max(len(hits) - 1, 0))
             keep = (hits[at] == known) & (known != _NONE) if len(hits) else np.zeros(len(known), bool)
             starts, ends, known = starts[keep], ends[keep], known[keep]
+            alone = heavy[at[keep]] if len(hits) else keep[:0]
             # Long runs, as in "aaaa", are cut; windows stay whole.
-            pieces = -(-(ends - starts) // STRETCH_WINDOWS)
+            step = np.where(alone, 1, STRETCH_WINDOWS)
+            pieces = -(-(ends - starts) // step)
             nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            starts = np.repeat(starts, pieces) + nth * STRETCH_WINDOWS
-            ends = np.minimum(starts + STRETCH_WINDOWS, np.repeat(ends, pieces)) + length - 1
-            known = np.repeat(known, pieces)
+            step = np.repeat(step, pieces)
+            starts = np.repeat(starts, pieces) + nth * step
+            ends = np.minimum(starts + step, np.repeat(ends, pieces)) + length - 1
             rows = np.searchsorted(offsets, starts + base, "right") - 1
-            parts.append((starts + base, ends + base, rows, known, span_hashes(here, starts, ends)))
+            hashes = span_hashes(here, starts, ends)
+            known = np.where(np.repeat(alone, pieces), hashes >> np.uint64(16), np.repeat(known, pieces))
+            parts.append((starts + base, ends + base, rows, known, hashes))
         none = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
         starts, ends, rows, known, hashes = map(np.concatenate, zip(none, *parts, strict=True))
         _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
@@ -193,7 +208,8 @@ class Block:
 
     def __init__(self, docs: pa.Table, table: pa.Table):
         self.docs = docs.sort_by("id").combine_chunks()
-        self.hits, _ = hits_in(table)
+        self.hits, levels = hits_in(table)
+        self.heavy = levels >= HEAVY
         self.ids = self.docs.column("id").to_numpy()
         texts = self.docs.column("text")
         self.is_copy = copies_in(table, self.ids, lambda i: md5(texts[i].as_py().encode()).digest())
@@ -204,7 +220,7 @@ class Block:
             self.offsets = np.concatenate([[0], np.cumsum(np.where(self.is_copy, 0, self.sizes))])
 
     def stretches(self, length: int, gram: int) -> Stretches:
-        return Stretches.of(self.data, self.offsets, self.hits, length, gram)
+        return Stretches.of(self.data, self.offsets, self.hits, length, gram, self.heavy)
 
 
 def whole_characters(gone: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -223,6 +239,7 @@ def remove_repeats(
     gram: int = GRAM,
     block_bytes: int = BLOCK_BYTES,
     characters: bool = False,
+    anchor_windows: int = ANCHOR_WINDOWS,
 ) -> DataFrame:
     """All columns but the text, and ``n_bytes``, ``removed`` and ``kept``.
 
@@ -234,7 +251,9 @@ def remove_repeats(
     bytes go, and ``kept`` is UTF-8 again. Texts shorter than ``length`` stay
     whole. Ids must be integers; rows of one id are equally small and take
     nothing from each other; rows with a null id neither take nor lose
-    anything. Columns with the names of the new ones are replaced.
+    anything. Columns with the names of the new ones are replaced. An anchor
+    with more than about ``anchor_windows`` different windows is divided by
+    window; this changes no result.
     """
     if not 1 <= gram <= length:
         raise ValueError("a string must hold at least one gram")
@@ -263,15 +282,24 @@ def remove_repeats(
             edge[(block.offsets[a:b] - base)[block.offsets[a:b] < block.offsets[b]]] = True
             at = np.flatnonzero(edge & (values != _NONE))
             row = np.searchsorted(block.offsets, at + base, "right") - 1
-            found.append(np.stack([values[at], block.ids[row].view(np.uint64)]))
-        values, ids = np.concatenate([np.zeros((2, 0), np.uint64), *found], axis=1)
-        return shard_notes(values, ids, docs.column("block")[0].as_py() if docs.num_rows else -1, shards)
+            windows = np.diff(np.append(np.flatnonzero(edge), len(values)))[np.searchsorted(np.flatnonzero(edge), at)]
+            content = span_hashes(block.data[base : block.offsets[b]], at, at + windows + length - 1)
+            found.append(np.stack([values[at], block.ids[row].view(np.uint64), windows.astype(np.uint64), content]))
+        values, ids, windows, content = np.concatenate([np.zeros((4, 0), np.uint64), *found], axis=1)
+        # Equal stretches of a block are sent once.
+        weights = np.zeros(len(values), np.int64)
+        _, once = np.unique(content, return_index=True)
+        weights[once] = windows[once]
+        return shard_notes(values, ids, docs.column("block")[0].as_py() if docs.num_rows else -1, shards, weights)
+
+    def repeated(table: pa.Table) -> pa.Table:
+        return repeated_notes(table, anchor_windows)
 
     hits = (
         by_block.cogroup(copies.groupBy("block"))
         .applyInArrow(anchors, NOTES)
         .groupBy("block")
-        .applyInArrow(repeated_notes, NOTES)
+        .applyInArrow(repeated, NOTES)
     )
     known = hits.unionByName(copies)
 
@@ -300,7 +328,7 @@ def remove_repeats(
         block, number, sizes, owner, anchor = np.concatenate([np.zeros((5, 0), np.int64), *parts], axis=1)
         begins = np.cumsum(sizes) - sizes
         marked = [np.zeros((4, 0), np.int64)]
-        # Equal strings have one anchor, so a shard is searched in portions of whole anchors.
+        # Equal strings have one anchor, or one window hash if it is heavy, so a shard is searched in portions of these.
         order = np.argsort(anchor, kind="stable")
         done = np.cumsum(sizes[order])
         ends = np.append(np.flatnonzero(np.diff(anchor[order])) + 1, len(order)) if len(order) else order

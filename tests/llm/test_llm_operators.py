@@ -409,6 +409,52 @@ def test_removed_repeats(spark, docs, length, gram, block_bytes):
     assert all(bytes(r["kept"]).decode("utf-8") is not None for r in whole.collect())
 
 
+def common_line(n=300):
+    """A line of 40 bytes that all texts hold, between others of their own."""
+    source = random.Random(31)
+    line = "the one line that all of the pages hold "
+    own = lambda: "".join(source.choices("abcdefgh ", k=90))
+    return [(i, own() + line + own() + (own() + line) * (i % 3)) for i in range(n)]
+
+
+@pytest.mark.parametrize("anchor_windows", [1, 500])
+def test_a_line_between_different_texts_is_divided(spark, anchor_windows):
+    rows = [*common_line(60), *((900 + i, t[20:200] + "x" + t[30:]) for i, t in common_line(20))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter()
+    for r in repeats.remove_repeats(df, block_bytes=4000, anchor_windows=anchor_windows).collect():
+        found[r["doc_id"], r["n_bytes"], sum(s["last"] - s["first"] for s in r["removed"]), len(r["removed"]), bytes(r["kept"])] += 1
+    assert found == brute_repeats(rows, 50)
+
+
+def test_no_shard_key_holds_all_surroundings_of_a_line():
+    texts = [t.encode() for _, t in common_line()]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    anchors = repeats.window_anchors(data, offsets, 50, 24)
+    hits, counts = np.unique(anchors[anchors != repeats._NONE], return_counts=True)
+    assert counts.max() > 3000
+    divided = repeats.Stretches.of(data, offsets, hits, 50, 24, counts > 60)
+    whole = repeats.Stretches.of(data, offsets, hits, 50, 24)
+    # Each different stretch is sent once, by its key.
+    most = lambda s: np.unique(s.anchors[s.first], return_counts=True)[1].max()
+    assert most(whole) > 200 and most(divided) <= 60
+    windows = lambda s: sorted(p for a, b in zip(s.starts, s.ends) for p in range(a, b - 49))
+    assert windows(divided) == windows(whole)
+
+
+def test_heavy_numbers_are_told_to_all_their_blocks():
+    import pyarrow as pa
+
+    from onsetlab.llm import blocks
+
+    values = np.array([5, 5, 9, 11], np.uint64)
+    sent = [blocks.shard_notes(values, np.array([b, b + 9, b, b], np.int64), b, 1, np.array([90, 90, 3, 70])) for b in range(3)]
+    told = blocks.repeated_notes(pa.concat_tables(sent), 600)
+    for block in range(3):
+        known, levels = blocks.hits_in(told.filter(pa.array([v == block for v in told.column("block").to_pylist()])))
+        assert known.tolist() == [5, 9, 11] and (levels >= blocks.HEAVY).tolist() == [True, False, False]
+
+
 def test_removed_repeats_of_an_id_with_two_texts(spark):
     rows = two_texts_of_an_id()
     cut = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
