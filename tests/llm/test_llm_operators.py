@@ -224,6 +224,43 @@ def test_language_model_counts_and_scores(docs, nothing):
     assert lm.fit(nothing, RANKS, PATTERN) is not None
 
 
+def test_language_model_gathers_from_all_documents(spark):
+    source = random.Random(13)
+    words = [w for w in ("unhappily", "rewriting", "zymurgical", "quixotically", "the", "of", "xylophonist")]
+    rows = [(i, " ".join(source.choices(words[:6], k=12))) for i in range(2300)]
+    rows += [(9000, " ".join(source.choices(words, k=4000)))]  # over 20,000 characters, and one word only here
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    model = lm.fit(df, RANKS, PATTERN, steps=4)
+    subwords = lm.Subwords(RANKS, PATTERN)
+    pairs, ids = Counter(), Counter()
+    for _, text in rows:
+        for word in text.encode().split():
+            own = subwords.ids(word)
+            ids.update(own)
+            pairs.update(zip(own, own[1:]))
+    space = len(model.number)
+    assert {(p // space, p % space): n for p, n in zip(model.pairs.tolist(), model.pair_counts.tolist())} == pairs
+    gathered = lm.gather(df.select("text"), RANKS, PATTERN)
+    assert {i: n for i, n in enumerate(gathered.by_id[:, -3].tolist()) if n and i != subwords.end} == ids
+    assert gathered.by_id[subwords.end, -3] == len(rows)
+    first = attention.untrained(gathered)
+    moved = np.abs(model.embedding - first.embedding).max(1) > 0
+    assert all(moved[model.number[i]] for i in subwords.ids(b"xylophonist"))
+
+
+def test_steps_of_tasks_teach(spark):
+    # Each word has one follower, so the class of the next word can be learned.
+    ring = ["stone", "river", "cloud", "green", "walks", "under", "light", "paper"]
+    rows = [(i, " ".join(ring[(i + k) % 8] for k in range(40))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    scores = []
+    for steps in (1, 400):
+        model = lm.fit(df, RANKS, PATTERN, steps=steps)
+        scored = lm.score_texts(df, df.doc_id >= 0, model, RANKS, PATTERN).agg({"score": "avg"})
+        scores.append(scored.first()[0])
+    assert scores[1] > 0.5 * scores[0]
+
+
 def test_class_probabilities_are_causal_and_sum_to_one():
     source = np.random.default_rng(5)
     sizes = source.integers(1, 4, 50)
