@@ -28,7 +28,7 @@ from onsetlab.llm.quality import bounded_sample, one_label
 
 WORD = re.compile(r"\w+")
 FEATURE_BITS = 18
-FIT_ROWS = 4096
+FIT_ROWS = 8192
 FIT_CHARS = 32768
 SEQUENCE = 256
 CACHE_WORDS = 400_000
@@ -285,19 +285,21 @@ def fit(
     fit_rows: int = FIT_ROWS,
     fit_chars: int = FIT_CHARS,
 ) -> ToxicityModel:
-    """Learn from at most ``fit_rows`` labelled documents of at most ``fit_chars``.
+    """Learn from at most ``fit_rows`` labelled documents, of a longer one a window of ``fit_chars``.
 
-    Both bounds are documented parameters: they limit what the driver holds.
+    The window's place follows from the id. Both bounds are documented parameters: they limit what the driver holds.
     Null labels, ids with both labels and labels without a document teach
     nothing. Without toxic or without other documents every text gets the same
     score. One in four of the documents sets the curve and not the chain.
     """
     sample = bounded_sample(one_label(labels, id_col, label_col), fit_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    room = F.greatest(F.length("text") - F.lit(fit_chars), F.lit(0))
+    window = F.substring("text", F.pmod(F.xxhash64("id"), room + 1).cast("int") + 1, F.lit(fit_chars))
     rows = (
-        texts.where(F.length("text") <= fit_chars)
+        texts.where("text IS NOT NULL")
         .join(F.broadcast(sample), "id")
-        .select("label", "text")
+        .select("label", window.alias("text"))
         .toArrow()
         .sort_by([("label", "ascending"), ("text", "ascending")])
     )

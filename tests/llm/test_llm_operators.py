@@ -179,6 +179,16 @@ def test_toxicity_of_held_out_texts(spark, docs, nothing):
     assert toxicity.with_toxicity(docs, one_sided).select("toxicity.score").distinct().count() == 1
 
 
+def test_long_texts_teach_toxicity(spark):
+    known, labels = labelled(spark)
+    # All texts are longer, and the last word of a toxic one is not its only toxic word.
+    model = toxicity.fit(known, labels.where("doc_id % 3 <> 0"), fit_chars=120)
+    judged = toxicity.with_toxicity(known, model).where("doc_id % 3 = 0").collect()
+    right = sum((r["toxicity"]["score"] >= 0.3) == (r["doc_id"] % 5 == 0) for r in judged)
+    assert right >= 0.95 * len(judged)
+    assert toxicity.FIT_ROWS == 8192
+
+
 def test_marginals_equal_sums_over_all_taggings():
     source = np.random.default_rng(3)
     lengths = np.array([4, 0, 1, 6], np.int64)
