@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from onsetlab.functions.naming import feature_names
 from onsetlab.operators import cohort as cohorts
 from onsetlab.operators import lookback as lookbacks
-from onsetlab.operators import matrix, model, split, vocabulary
+from onsetlab.operators import boosting, matrix, model, split, vocabulary
+from onsetlab.operators.boosting import BoostingOptions
 from onsetlab.plans import mortality
 from onsetlab.sources import sinks, staging, star_fixture, tables
 from onsetlab.sources.contracts import CONTRACTS, check_contract
@@ -286,6 +287,35 @@ def dataset_roundtrip(clinic: Clinic) -> DataFrame:
     return sinks.read_dataset(clinic.spark, path)
 
 
+def replaced_dataset(clinic: Clinic) -> DataFrame:
+    """A dataset after a write that failed half way: its rows are those from before."""
+    path = clinic.stages.path("replaced")
+    rows = features_person(clinic)
+    sinks.write_dataset(rows, path, even=True)
+    broken = rows.withColumn("target", F.expr("CASE WHEN target = 1 THEN raise_error('broken row') ELSE target END").cast("int"))
+    try:
+        sinks.write_dataset(broken, path, even=True)
+    except Exception as e:  # noqa: BLE001  the engine's own error, which class it is depends on where it arises
+        if "broken row" not in str(e):
+            raise
+    return sinks.read_dataset(clinic.spark, path)
+
+
+#: Two stumps: what their SQL says in one step each.
+STUMPS = BoostingOptions(rounds=2, max_depth=1, subsample=1.0, gamma=0.05, min_child_weight=1.0)
+STUMP_FEATURES = [*CONDITION_COLUMNS.values(), *DRUG_COLUMNS.values(), *matrix.DEMOGRAPHICS]
+
+
+def boosted_scores(clinic: Clinic) -> DataFrame:
+    """Risks by two second-order stumps grown on the whole matrix, after the model was saved and read again."""
+    rows = clinic.stage(clinic.features(grain="index"), "matrix")
+    grown = model.train_second_order(rows, STUMP_FEATURES, STUMPS, clinic.stages)
+    path = clinic.stages.path("model")
+    model.save_model(clinic.spark, grown, path)
+    scored = model.load_model(clinic.spark, path).score(rows)
+    return scored.withColumn("risk", F.round("risk", 9))
+
+
 def _trained(clinic: Clinic) -> tuple[model.PipelineModel, DataFrame, DataFrame]:
     rows = clinic.stage(clinic.features(grain="index"), "matrix")
     training, test = split.split(rows)
@@ -353,6 +383,8 @@ QUERIES: dict[str, Callable[[Clinic], DataFrame]] = {
     "features_first_onset": features_first_onset,
     "split_assignment": split_assignment,
     "dataset_roundtrip": dataset_roundtrip,
+    "replaced_dataset": replaced_dataset,
+    "boosted_scores": boosted_scores,
     "metrics_of_scores": metrics_of_scores,
     "score_rows": score_rows,
     "risk_scores": risk_scores,
@@ -501,6 +533,48 @@ def _features_sql(cohort: str, grain: str) -> str:
     LEFT JOIN person USING (person_id)"""
 
 
+def _stumps_sql() -> str:
+    """Each round: sums by feature and value, the best cut, and what it adds to the margins."""
+    unit, reg, eta = boosting.UNIT, STUMPS.reg_lambda, STUMPS.eta
+    cells = ", ".join(f"{{'f': {i}, 'x': CAST({name} AS DOUBLE)}}" for i, name in enumerate(STUMP_FEATURES))
+    gain = lambda g, h: f"({g} / {unit}.0::DOUBLE) * ({g} / {unit}.0::DOUBLE) / ({h} / {unit}.0::DOUBLE + {reg}::DOUBLE)"
+    value = lambda g, h: f"-{eta}::DOUBLE * ({g} / {unit}.0::DOUBLE) / ({h} / {unit}.0::DOUBLE + {reg}::DOUBLE)"
+    steps = []
+    for number in range(1, STUMPS.rounds + 1):
+        p = f"(1.0::DOUBLE / (1.0::DOUBLE + exp(-margin{number - 1})))"
+        steps.append(f"""
+        g{number} AS (
+            SELECT row_id, CAST(round(({p} - target) * {unit}) AS BIGINT) AS g,
+                   CAST(round({p} * (1.0::DOUBLE - {p}) * {unit}) AS BIGINT) AS h FROM m{number - 1}),
+        sums{number} AS (
+            SELECT f, x, sum(g) AS g, sum(h) AS h FROM cells JOIN g{number} USING (row_id) GROUP BY f, x),
+        sides{number} AS (
+            SELECT f, x, CAST(sum(g) OVER (PARTITION BY f ORDER BY x) AS BIGINT) AS gl,
+                   CAST(sum(h) OVER (PARTITION BY f ORDER BY x) AS BIGINT) AS hl,
+                   CAST(sum(g) OVER (PARTITION BY f) AS BIGINT) AS g, CAST(sum(h) OVER (PARTITION BY f) AS BIGINT) AS h
+            FROM sums{number}),
+        gains{number} AS (
+            SELECT *, {gain("gl", "hl")} + {gain("(g - gl)", "(h - hl)")} - {gain("g", "h")} AS gain FROM sides{number}
+            WHERE hl >= {int(STUMPS.min_child_weight * unit)} AND h - hl >= {int(STUMPS.min_child_weight * unit)}),
+        best{number} AS (
+            SELECT * FROM gains{number} WHERE gain >= {STUMPS.gamma} ORDER BY gain DESC, f, x LIMIT 1),
+        all{number} AS (SELECT CAST(sum(g) AS BIGINT) AS g, CAST(sum(h) AS BIGINT) AS h FROM g{number}),
+        m{number} AS (
+            SELECT m{number - 1}.*, margin{number - 1} + CASE
+                       WHEN b.f IS NULL THEN {value("a.g", "a.h")}
+                       WHEN c.x <= b.x THEN {value("b.gl", "b.hl")}
+                       ELSE {value("(b.g - b.gl)", "(b.h - b.hl)")} END AS margin{number}
+            FROM m{number - 1} CROSS JOIN all{number} a LEFT JOIN best{number} b ON TRUE
+            LEFT JOIN cells c ON c.row_id = m{number - 1}.row_id AND c.f = b.f)""")
+    return f"""
+        WITH features AS ({_features_sql("cohort", "index")}),
+        m0 AS (SELECT *, row_number() OVER () AS row_id, 0.0::DOUBLE AS margin0 FROM features),
+        cells AS (SELECT row_id, cell.f AS f, cell.x AS x FROM (SELECT row_id, unnest([{cells}]) AS cell FROM m0)),
+        {", ".join(steps)}
+        SELECT person_id, disease_start_date, round(1.0::DOUBLE / (1.0::DOUBLE + exp(-margin{STUMPS.rounds})), 9) AS risk
+        FROM m{STUMPS.rounds}"""
+
+
 def _contract_sql() -> str:
     """Every rule of the seven contracts, in words of its own for each kind of fault."""
     checks = []
@@ -653,6 +727,8 @@ def oracle_sql() -> dict[str, str]:
         "features_index": _features_sql("cohort", "index"),
         "features_first_onset": _features_sql("first_or_death", "index"),
         "dataset_roundtrip": features_person_sql,
+        "replaced_dataset": features_person_sql,
+        "boosted_scores": _stumps_sql(),
         "split_assignment": f"""{_with('cohort')}
             SELECT person_id, disease_start_date,
                    CASE WHEN death_date IS NULL THEN 0 ELSE 1 END AS target,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from onsetlab.operators.lookup import BROADCAST_BYTES, lookup_join
 from onsetlab.operators.rows import expand_rows
 from onsetlab.operators.sweep import covering_weight
+from onsetlab.sources.staging import measured
 
 COHORT_COLUMNS = ["person_id", "disease_concept_id", "disease_start_date", "death_date"]
 ROW_COUNT = "row_count"
@@ -48,6 +49,7 @@ def cohort_members(
         how="left_semi",
         spread=["person_id", "condition_start_date"],
         max_bytes=max_bytes,
+        at_most=categories if measured(categories) else None,
     ).select("person_id", "condition_concept_id", "condition_start_date")
 
 

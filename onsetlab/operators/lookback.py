@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from onsetlab.functions.dates import day_number
 from onsetlab.operators.cohort import ROW_COUNT, compact_cohort
-from onsetlab.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup_join
+from onsetlab.operators.lookup import BROADCAST_BYTES, ROW_OVERHEAD_BYTES, fits_broadcast, lookup_join
 from onsetlab.operators.rows import expand_rows
+from onsetlab.sources.staging import measured
 
 LOOKBACK_DAYS = (0, 360)
 CATEGORY_COUNT = "category_count"
-# The order of a day's rows in the sweep over windows and events.
-OPENS, EVENT, CLOSES = 0, 1, 2
+#: A window meets at most one time bucket more than this.
+BUCKETS_IN_WINDOW = 2
+#: Measured bytes of a run of days: five numbers and what a row costs.
+RUN_BYTES = 5 * 8 + ROW_OVERHEAD_BYTES
 
 
 def lookback_events(
@@ -34,144 +37,134 @@ def lookback_events(
     cohort row without any event has ``concept_id`` and ``event_date`` NULL and
     ``event_rows`` 1.
 
-    Onset windows are turned into steps over days (see
-    :func:`~onsetlab.operators.sweep.covering_weight`), so no event is paired
-    with an onset. Time is cut into buckets as long as the window: a window
-    meets at most two of them, and a person with very many events is divided
-    between tasks by bucket.
+    Time is cut into buckets of half the window. Within a bucket the
+    windows of a person become disjoint runs of days that equally many cohort
+    rows look back on (:func:`_covered_runs`), so an event meets one run at most
+    and is compared with no more runs than a bucket has days. Runs are joined to
+    the events on person and bucket: broadcast up to ``max_bytes``, otherwise by
+    a shuffle on both, which the count per day reuses, and which divides a person
+    with very many events by time.
 
-    ``cohort`` is read three times (its size, merged windows, windows); stage it
-    if it is costly.
+    The events are read once, the cohort three times (its size, runs, pieces of
+    windows); stage it if it is costly.
     """
     nearest, farthest = lookback
     if farthest < nearest:
         raise ValueError("lookback is (nearest, farthest) in days before onset")
-    span = farthest - nearest + 1
+    width = -(-(farthest - nearest + 1) // BUCKETS_IN_WINDOW)
 
     index = (
+        # The cohort's one shuffle: counts, runs and their totals all keep to it.
         compact_cohort(cohort)
+        .repartition("person_id")
         .groupBy("person_id", "disease_start_date")
         .agg(F.sum(ROW_COUNT).alias("index_rows"))
     )
-    narrow = events.select(
-        "person_id",
-        F.col(concept_col).alias("concept_id"),
-        F.col(date_col).alias("event_date"),
-    ).filter(F.col("person_id").isNotNull() & F.col("event_date").isNotNull())
-    daily = (
-        _in_some_window(narrow, index, cohort.select("person_id", "disease_start_date"), lookback, max_bytes)
-        .groupBy("person_id", "concept_id", "event_date")
-        .agg(F.count("*").alias("event_rows"))
+    pieces = _window_pieces(index, lookback, width)
+    runs = _covered_runs(pieces, width)
+    narrow = (
+        events.select(
+            "person_id",
+            F.col(concept_col).alias("concept_id"),
+            F.col(date_col).alias("event_date"),
+        )
+        .filter(F.col("person_id").isNotNull() & F.col("event_date").isNotNull())
         .withColumn("day", day_number("event_date"))
-        .withColumn("bucket", F.floor(F.col("day") / span))
+        .withColumn("bucket", _bucket(F.col("day"), width))
     )
-
-    onset_day = day_number("disease_start_date")
-    first = F.greatest("first", F.col("bucket") * span)
-    last = F.least("last", F.col("bucket") * span + span - 1)
-    buckets = F.sequence(F.floor(F.col("first") / span), F.floor(F.col("last") / span))
-    pieces = (
-        index.withColumns({"first": onset_day - farthest, "last": onset_day - nearest})
-        .withColumn("bucket", F.explode_outer(buckets))
-        .withColumns({"first": first, "last": last})
+    # No onset has more runs than two for each bucket that its window meets.
+    onsets = (measured(cohort) or {"rows": None})["rows"]
+    onsets = index.count() if onsets is None else onsets
+    few = onsets * 2 * (BUCKETS_IN_WINDOW + 1) * RUN_BYTES <= max_bytes
+    small = few or fits_broadcast(runs, max_bytes)
+    met = (
+        narrow.join(F.broadcast(runs) if small else runs.hint("merge"), ["person_id", "bucket"])
+        .filter(F.col("day").between(F.col("first"), F.col("last")))
+        .groupBy("person_id", "bucket", "concept_id", "event_date", "index_rows")
+        .agg(F.count("*").alias("event_rows"))
     )
-    # Each piece of a window adds its weight before the events of its first day
-    # and takes it back after those of its last, where it also looks whether
-    # there was an event since its first day.
-    opens = F.struct(
-        F.col("first").alias("day"), F.lit(OPENS).alias("turn"), F.col("index_rows").alias("step")
+    events_met = met.select("person_id", "concept_id", "event_date", "event_rows", "index_rows")
+    return events_met.unionByName(_without_event(pieces, met, events_met))
+
+
+def _bucket(day: Column, width: int) -> Column:
+    return F.floor(day / width)
+
+
+def _window_pieces(index: DataFrame, lookback: tuple[int, int], width: int) -> DataFrame:
+    """The window of each onset, cut at the buckets' borders: ``since`` and ``until`` are days.
+
+    A window is no shorter than a bucket, so a piece begins where its bucket
+    begins or ends where it ends. An onset without person or date has one piece
+    without days.
+    """
+    nearest, farthest = lookback
+    onset = day_number("disease_start_date")
+    buckets = F.sequence(_bucket(onset - farthest, width), _bucket(onset - nearest, width))
+    known = F.col("person_id").isNotNull()
+    return index.withColumn("bucket", F.explode_outer(F.when(known, buckets))).withColumns(
+        {
+            "since": F.greatest(onset - farthest, F.col("bucket") * width),
+            "until": F.least(onset - nearest, F.col("bucket") * width + width - 1),
+        }
     )
-    closes = F.struct(
-        F.col("last").alias("day"), F.lit(CLOSES).alias("turn"), (-F.col("index_rows")).alias("step")
+
+
+def _covered_runs(pieces: DataFrame, width: int) -> DataFrame:
+    """``person_id, bucket, first, last, index_rows``: disjoint days with the same cover above 0.
+
+    A piece is a step up at its first day and a step down after its last; steps
+    of one day are added, and their running total is the cover until the next.
+    """
+    up = F.struct(F.col("since").alias("first"), F.col("index_rows").alias("step"))
+    down = F.struct((F.col("until") + 1).alias("first"), (-F.col("index_rows")).alias("step"))
+    steps = (
+        pieces.filter(F.col("bucket").isNotNull())
+        .select("person_id", "bucket", F.inline(F.array(up, down)))
+        .groupBy("person_id", "bucket", "first")
+        .agg(F.sum("step").alias("step"))
     )
-    windows = pieces.select(
+    by_day = Window.partitionBy("person_id", "bucket").orderBy("first")
+    return steps.select(
         "person_id",
         "bucket",
-        "disease_start_date",
-        "index_rows",
-        F.col("first").alias("since"),
-        F.inline(F.array(opens, closes)),
-    )
-    daily = daily.withColumn("turn", F.lit(EVENT))
+        "first",
+        (F.lead("first").over(by_day) - 1).alias("last"),
+        F.sum("step").over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("index_rows"),
+    ).filter("index_rows > 0")
 
-    until_here = (
-        Window.partitionBy("person_id", "bucket")
-        .orderBy("day", "turn")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    event_day = F.when(F.col("turn") == EVENT, F.col("day"))
-    swept = daily.unionByName(windows, allowMissingColumns=True).select(
-        "person_id",
-        "concept_id",
-        "event_date",
-        "disease_start_date",
-        "event_rows",
-        "index_rows",
-        "turn",
-        F.sum("step").over(until_here).alias("covering"),
-        (F.max(event_day).over(until_here) >= F.col("since")).alias("met"),
+
+def _without_event(pieces: DataFrame, met: DataFrame, like: DataFrame) -> DataFrame:
+    """The onsets whose window no event lies in, as rows of the lookback.
+
+    A piece of a window reaches to one border of its bucket, so the first and
+    the last event day of the person in the bucket tell whether it has one.
+    """
+    # That the count is used here too keeps this branch's shuffle the same as the
+    # other's, which is then not done again.
+    days = met.groupBy("person_id", "bucket").agg(
+        F.min(day_number("event_date")).alias("earliest"),
+        F.max(F.when(F.col("event_rows") > 0, day_number("event_date"))).alias("latest"),
     )
-    # An event day has one row here and goes on as it is. An onset has one row per
-    # bucket it meets, so only the few closing rows are brought together again.
-    events_met = swept.filter(F.col("event_date").isNotNull() & (F.col("covering") > 0)).select(
-        "person_id", "concept_id", "event_date", "event_rows", F.col("covering").alias("index_rows")
+    has_event = F.col("earliest").between(F.col("since"), F.col("until")) | F.col("latest").between(
+        F.col("since"), F.col("until")
     )
-    without_event = (
-        swept.filter(F.col("turn") == CLOSES)
+    return (
+        pieces.join(days, ["person_id", "bucket"], "left")
         .groupBy("person_id", "disease_start_date")
         .agg(
             F.max("index_rows").alias("index_rows"),
-            F.bool_or(F.coalesce("met", F.lit(False))).alias("met"),
+            F.bool_or(F.coalesce(has_event, F.lit(False))).alias("met"),
         )
         .filter(~F.col("met"))
         .select(
             "person_id",
-            F.lit(None).cast(daily.schema["concept_id"].dataType).alias("concept_id"),
+            F.lit(None).cast(like.schema["concept_id"].dataType).alias("concept_id"),
             F.lit(None).cast("date").alias("event_date"),
             F.lit(1).cast("bigint").alias("event_rows"),
             "index_rows",
         )
     )
-    return events_met.unionByName(without_event)
-
-
-def _in_some_window(
-    events: DataFrame, index: DataFrame, onsets: DataFrame, lookback: tuple[int, int], max_bytes: int
-) -> DataFrame:
-    """Drop the events outside all lookback windows, whatever the number of patients.
-
-    Overlapping windows of a person are merged first, so that an event is
-    compared with few spans: they are disjoint and each as long as a window.
-    Spans that fit are broadcast; otherwise both sides are shuffled on the
-    person, which the count per day that follows then needs no shuffle for.
-    What is measured are the rows of the cohort, of which there are no fewer than
-    spans.
-    """
-    nearest, farthest = lookback
-    by_day = Window.partitionBy("person_id").orderBy("first")
-    until_row = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    windows = index.filter(
-        F.col("person_id").isNotNull() & F.col("disease_start_date").isNotNull()
-    ).select(
-        "person_id",
-        F.date_sub("disease_start_date", farthest).alias("first"),
-        F.date_sub("disease_start_date", nearest).alias("last"),
-    )
-    # All windows have the same length, so the latest end so far is the one of
-    # the window before.
-    detached = F.col("first") > F.date_add(F.lag("last").over(by_day), 1)
-    spans = (
-        windows.withColumn("detached", F.coalesce(detached.cast("int"), F.lit(0)))
-        .withColumn("span", F.sum("detached").over(until_row))
-        .groupBy(F.col("person_id").alias("patient_id"), "span")
-        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
-        .drop("span")
-    )
-    fits = fits_broadcast(onsets, max_bytes)
-    inside = (F.col("person_id") == F.col("patient_id")) & F.col("event_date").between(
-        F.col("first"), F.col("last")
-    )
-    return events.join(F.broadcast(spans) if fits else spans.hint("merge"), inside, "left_semi")
 
 
 def categorise(
@@ -198,7 +191,7 @@ def categorise(
         spread=["person_id", "event_date"],
         max_bytes=max_bytes,
         # Two columns and a count stand for rows of the map, so the map is no smaller.
-        at_most=categories.select("descendant_concept_id", "ancestor_concept_name", "ancestor_concept_id"),
+        at_most=categories,
     )
     return joined.select(
         "person_id",

@@ -12,6 +12,7 @@ from onsetlab.operators.lookback import CATEGORY_COUNT, LOOKBACK_DAYS
 from onsetlab.operators.lookup import BROADCAST_BYTES, prefilter_keys
 from onsetlab.operators.rows import expand_rows
 from onsetlab.operators.sweep import covering_weight
+from onsetlab.sources.staging import Stages, measured
 
 PERSON_GRAIN = ["person_id"]
 INDEX_GRAIN = ["person_id", "disease_start_date"]
@@ -79,6 +80,7 @@ def assemble_features(
     fill_cols: Sequence[str] | None = None,
     keep_id: bool = False,
     max_bytes: int = BROADCAST_BYTES,
+    stages: Stages | None = None,
 ) -> DataFrame:
     """Target, category counts and demographics, one row per cohort row.
 
@@ -87,7 +89,9 @@ def assemble_features(
     onsets) or ``"index"`` (each onset day has its own). Missing numbers become
     0 in all numeric columns, or in ``fill_cols`` only. The keys are dropped
     unless ``keep_id``. The frames are joined while equal cohort rows are still
-    counted.
+    counted. With ``stages`` the counted rows are staged first, which tells the
+    largest count: the wide matrix is only shuffled again if some row stands for
+    very many.
     """
     if grain not in GRAINS:
         raise ValueError(f"grain must be one of {', '.join(GRAINS)}, not {grain!r}")
@@ -107,13 +111,16 @@ def assemble_features(
         .agg(F.count("*").alias("person_rows"))
     )
     # The narrow frames first: wide rows are shuffled on the keys alone.
-    wide = (
+    narrow = (
         rows.join(demographics, "person_id", "left")
         .withColumn(ROW_COUNT, F.col(ROW_COUNT) * F.coalesce("person_rows", F.lit(1)))
         .drop("person_rows")
-        .join(condition_counts, keys, "left")
-        .join(drug_counts, keys, "left")
     )
+    most = None
+    if stages is not None:
+        narrow = stages.stage(narrow, "matrix_rows", F.max(ROW_COUNT).alias("most"))
+        most = measured(narrow)["most"] or 0
+    wide = narrow.join(condition_counts, keys, "left").join(drug_counts, keys, "left")
     count_columns = [
         c for df in (condition_counts, drug_counts) for c in df.columns if c not in keys
     ]
@@ -121,7 +128,7 @@ def assemble_features(
     # Keys are not features: a missing one stays missing.
     filled = [*count_columns, *DEMOGRAPHICS] if fill_cols is None else list(fill_cols)
     wide = wide.fillna(0, subset=filled) if filled else wide
-    matrix = expand_rows(wide, ROW_COUNT, spread=[*keys, "target"])
+    matrix = expand_rows(wide, ROW_COUNT, spread=[*keys, "target"], most=most)
     # The label leads, as single-table trainers expect.
     ordered = ["target", *count_columns, *DEMOGRAPHICS]
     return matrix.select(*(keys if keep_id else []), *ordered)

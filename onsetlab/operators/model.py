@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import json
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from onsetlab.operators.boosting import BoostedTrees, BoostingOptions, train_boosted
+from onsetlab.sources import versions
+from onsetlab.sources.staging import Stages
+
 LABEL = "target"
 KEYS = ("person_id", "disease_start_date")
 RANGES = 256
@@ -60,19 +67,43 @@ def train(
     return Pipeline(stages=[assembler, trees]).fit(filled)
 
 
-def model_features(model: PipelineModel) -> list[str]:
+def train_second_order(
+    df: DataFrame,
+    features: Sequence[str] | None = None,
+    options: BoostingOptions = BoostingOptions(),
+    stages: Stages | None = None,
+) -> BoostedTrees:
+    """Grow boosted trees by gradients and Hessians on a training matrix."""
+    return train_boosted(df, list(features or feature_columns(df)), LABEL, options, stages)
+
+
+Model = PipelineModel | BoostedTrees
+
+
+def model_features(model: Model) -> list[str]:
     """The matrix columns that a trained model reads."""
+    if isinstance(model, BoostedTrees):
+        return model.features
     return [c.removesuffix("_filled") for c in model.stages[0].getInputCols() if c.endswith("_filled")]
 
 
-def with_risk(model: PipelineModel, df: DataFrame) -> DataFrame:
+def with_risk(model: Model, df: DataFrame) -> DataFrame:
     """``df`` and each row's ``risk``, the probability of the event."""
+    check_columns(df, model_features(model))
+    if isinstance(model, BoostedTrees):
+        return df.select("*", model.risk().alias("risk"))
     filled, names = with_filled_features(df, model_features(model))
     risk = vector_to_array("probability").getItem(1).alias("risk")
     return model.transform(filled).select(*df.columns, risk)
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def check_columns(df: DataFrame, features: Sequence[str]) -> None:
+    """An error that names the columns a model reads and a matrix does not have."""
+    if missing := [c for c in features if c not in df.columns]:
+        raise ValueError(f"the model reads columns that are not there: {', '.join(missing)}")
+
+
+def score(model: Model, df: DataFrame) -> DataFrame:
     """The keys of ``df`` and each row's ``risk``, the probability of the event."""
     keys = [c for c in KEYS if c in df.columns]
     return with_risk(model, df).select(*keys, "risk")
@@ -157,18 +188,72 @@ def _areas(counts: DataFrame) -> DataFrame:
     return curve.agg(F.when(both, roc).alias("areaUnderROC"), F.when(both, pr).alias("areaUnderPR"))
 
 
-def evaluate(model: PipelineModel, df: DataFrame) -> DataFrame:
+def evaluate(model: Model, df: DataFrame) -> DataFrame:
     """Quality of a model on labelled rows, as ``metric, name, value`` rows.
 
     The rows of :func:`score_metrics` for the model's risks, and the importance
     of each feature: that of its number and of its being missing together.
     """
     metrics = score_metrics(with_risk(model, df).select(LABEL, "risk"))
-    assembler, trees = model.stages
     importances: dict[str, float] = {}
-    for name, value in zip(assembler.getInputCols(), trees.featureImportances.toArray()):
-        feature = name.removesuffix("_filled").removesuffix("_missing")
-        importances[feature] = importances.get(feature, 0.0) + float(value)
+    if isinstance(model, BoostedTrees):
+        importances = model.importances()
+    else:
+        assembler, trees = model.stages
+        for name, value in zip(assembler.getInputCols(), trees.featureImportances.toArray()):
+            feature = name.removesuffix("_filled").removesuffix("_missing")
+            importances[feature] = importances.get(feature, 0.0) + float(value)
     rows = [("importance", name, value) for name, value in importances.items()]
     listed = df.sparkSession.createDataFrame(rows, "metric string, name string, value double")
     return metrics.unionByName(listed)
+
+
+FORMAT = 1
+
+
+@dataclass(frozen=True)
+class SavedModel:
+    """A model read back, the matrix columns it reads and the options of its job."""
+
+    model: Model
+    features: list[str]
+    options: dict
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """:func:`score`, after checking that the matrix has the model's columns."""
+        return score(self.model, df)
+
+
+def save_model(spark: SparkSession, model: Model, path: str, options: dict | None = None, keep: int = 1) -> None:
+    """Write a model with its columns and options as the current version at ``path``.
+
+    The old version stays what is read until the new one is whole, and ``keep``
+    older ones stay after that.
+    """
+    folder = versions.new_folder(path)
+    facts = {"format": FORMAT, "features": model_features(model), "options": options or {}}
+    if isinstance(model, BoostedTrees):
+        facts |= {"kind": "second_order", "trees": json.loads(model.to_json())}
+    else:
+        facts["kind"] = "pipeline"
+        model.write().save(f"{folder}/pipeline")
+    if not versions.write_once(spark, f"{folder}/model.json", json.dumps(facts)):
+        raise RuntimeError(f"{folder} is in use")
+    versions.commit(spark, path, folder, {"features": len(facts["features"])}, keep)
+
+
+def load_model(spark: SparkSession, path: str) -> SavedModel:
+    """The current model at ``path``."""
+    folder = versions.current_folder(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no model at {path}")
+    facts = json.loads(versions.read_text(spark, f"{folder}/model.json"))
+    if facts["format"] != FORMAT:
+        raise ValueError(f"{path} has format {facts['format']}, this reads {FORMAT}")
+    if facts["kind"] == "second_order":
+        model: Model = BoostedTrees.from_json(json.dumps(facts["trees"]))
+    else:
+        model = PipelineModel.load(f"{folder}/pipeline")
+    if model_features(model) != facts["features"]:
+        raise ValueError(f"the model at {path} does not read the columns it was saved with")
+    return SavedModel(model, facts["features"], facts["options"])

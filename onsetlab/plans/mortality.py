@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +25,8 @@ from onsetlab.operators.matrix import (
     pivot_counts,
     pivot_index_counts,
 )
-from onsetlab.operators.model import evaluate, score, train
+from onsetlab.operators.boosting import BoostingOptions
+from onsetlab.operators.model import Model, evaluate, save_model, score, train, train_second_order
 from onsetlab.operators.split import SPLIT_WEIGHTS, split
 from onsetlab.operators.vocabulary import condition_category_map, drug_category_map
 from onsetlab.sources.sinks import read_dataset, write_dataset
@@ -85,6 +85,9 @@ class MortalityOptions:
     # Conditions are scanned for the cohort and again for the lookback. Where a
     # scan is costly (compressed text, a join), write the used columns once.
     stage_conditions: bool = False
+    # Trees grown by gradients and Hessians, or Spark ML's ("spark_ml").
+    trainer: str = "second_order"
+    boosting: BoostingOptions = BoostingOptions()
 
 
 def build_matrix(
@@ -137,6 +140,7 @@ def build_matrix(
         grain=options.grain,
         fill_cols=options.fill_cols,
         keep_id=True,
+        stages=stages,
     )
     return matrix, replace(
         options, condition_columns=condition_columns, drug_columns=drug_columns
@@ -192,7 +196,9 @@ class MortalityRun:
 
     train_path: str
     test_path: str
-    model: PipelineModel
+    model: Model
+    # Where the model is saved, with its columns and these options.
+    model_path: str
     metrics: DataFrame
     # The job's options, with the matrix's columns filled in.
     options: MortalityOptions
@@ -213,6 +219,8 @@ def run(
     """
     if len(options.weights) != 2:
         raise ValueError("a job has two weights, for training and test rows")
+    if options.trainer not in ("second_order", "spark_ml"):
+        raise ValueError(f"trainer must be second_order or spark_ml, not {options.trainer!r}")
     train_path, test_path = f"{output}/train", f"{output}/test"
     with Stages(spark) as stages:
         matrix, options = build_matrix(tables, options, stages)
@@ -222,13 +230,19 @@ def run(
         for part, path, table in zip(parts, (train_path, test_path), (train_table, test_table)):
             # The matrix was staged with even partitions.
             write_dataset(part.drop(*keys), path, table, even=True)
-    model = train(read_dataset(spark, train_path))
+        training = read_dataset(spark, train_path)
+        if options.trainer == "second_order":
+            model = train_second_order(training, options=options.boosting, stages=stages)
+        else:
+            model = train(training)
+    model_path = f"{output}/model"
+    save_model(spark, model, model_path, asdict(options))
     metrics = evaluate(model, read_dataset(spark, test_path))
-    return MortalityRun(train_path, test_path, model, metrics, options)
+    return MortalityRun(train_path, test_path, model, model_path, metrics, options)
 
 
 def score_patients(
-    model: PipelineModel, tables: ClinicalTables, options: MortalityOptions, stages: Stages
+    model: Model, tables: ClinicalTables, options: MortalityOptions, stages: Stages
 ) -> DataFrame:
     """Risk of each cohort row of ``tables``, by its keys.
 

@@ -13,7 +13,10 @@ import uuid
 from collections.abc import Iterable
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from onsetlab.functions.sizes import table_bytes
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -66,11 +69,23 @@ class Stages:
         """A path of its own, whatever else has the name."""
         return f"{self.root}/{name}-{uuid.uuid4().hex}"
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as Parquet under a path of its own and read it back."""
+    def stage(self, df: DataFrame, name: str, *more: Column) -> DataFrame:
+        """Write ``df`` as Parquet under a path of its own and read it back.
+
+        Its rows and bytes are counted on the way, and the aggregates ``more``,
+        which need a name each; :func:`measured` tells them.
+        """
         path = self.path(name)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), table_bytes(df).alias("bytes"), *more).write.parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        staged.measured_when_staged = seen.get
+        return staged
+
+
+def measured(df: DataFrame) -> dict | None:
+    """``rows``, ``bytes`` and other aggregates of a frame that ``stage`` gave, itself and not a query on it."""
+    return getattr(df, "measured_when_staged", None)
 
 
 def remove_folders(spark: SparkSession, paths: Iterable[str]) -> None:

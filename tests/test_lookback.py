@@ -124,17 +124,42 @@ def test_common_rows_from_long_rows(spark):
     assert rows(both) == {(1, "A"): 3, (2, "A"): 1, (2, "B"): 1}
 
 
+def final_plan(df) -> list[str]:
+    """The lines of the plan that ran, after its rows were collected."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0].splitlines()
+
+
 @pytest.mark.parametrize("max_bytes", [1 << 20, -1])
-def test_events_are_filtered_first_and_met_ones_go_on_as_they_are(spark, max_bytes):
-    cohort = spark.createDataFrame(
-        [(1, 5, day(400), None)], "person_id long, disease_concept_id long, disease_start_date date, death_date date"
-    )
-    events = spark.createDataFrame([(1, 7, day(390)), (2, 7, day(390))], "person_id long, c long, d date")
-    met = lb.lookback_events(cohort, events, "c", "d", max_bytes=max_bytes)
-    plan = met._jdf.queryExecution().optimizedPlan().toString()
-    # Whatever the size, only persons with an onset reach the count per day.
-    assert "Join LeftSemi" in plan
-    assert [tuple(row) for row in met.collect()] == [(1, 7, day(390), 1, 1)]
-    # No aggregate over events stands above the sweep: the one left there sees closing rows only.
-    above = plan[: plan.index("Window")]
-    assert above.count("Aggregate") <= 1
+def test_events_are_read_once_and_filtered_before_they_are_counted(spark, tmp_path, max_bytes):
+    path = str(tmp_path / "events")
+    cohort = spark.createDataFrame([(1, 5, day(400), None), (3, 5, day(0), None)], COHORT)
+    spark.createDataFrame([(1, 7, day(390)), (2, 7, day(390)), (1, 7, day(390))], EVENTS).write.parquet(path)
+    met = lb.lookback_events(cohort, spark.read.parquet(path), "drug_concept_id", "drug_exposure_start_date", max_bytes=max_bytes)
+    assert rows(met) == {(1, 7, day(390), 2, 1): 1, (3, None, None, 1, 1): 1}
+    plan = final_plan(met)
+    scans = [i for i, line in enumerate(plan) if "FileScan parquet" in line]
+    # Both the events met and the onsets without any come from one shuffle.
+    assert len(scans) == 1
+    exchange = next(line for line in reversed(plan[: scans[0]]) if "Exchange" in line and "Reused" not in line)
+    assert "hashpartitioning" in exchange and "bucket" in exchange
+    above = plan[: scans[0]]
+    assert any("Join" in line for line in above)
+
+
+def test_a_person_with_most_events_is_divided_by_time(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    events = [(1, concept, day(when)) for when in range(0, 4000, 2) for concept in (1, 2)]
+    spark.createDataFrame(events, EVENTS).write.parquet(path)
+    index = [(1, day(onset)) for onset in range(0, 4000, 97)]
+    cohort = spark.createDataFrame([(p, 1, d, None) for p, d in index], COHORT)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        met = lb.lookback_events(cohort, spark.read.parquet(path), "drug_concept_id", "drug_exposure_start_date", max_bytes=-1)
+        sizes = met.rdd.mapPartitions(lambda part: [sum(r["event_rows"] for r in part)]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) >= 0.9 * len(events)
+    assert sum(size > 0 for size in sizes) >= 8 and max(sizes) < sum(sizes) / 3

@@ -13,6 +13,7 @@ from onsetlab.operators import lookback as lb
 from onsetlab.operators import matrix, rows, split
 from onsetlab.operators.lookup import fits_broadcast, lookup_join, prefilter_keys
 from onsetlab.operators.sweep import covering_weight
+from onsetlab.sources import staging
 
 
 def plain(df) -> Counter:
@@ -64,6 +65,46 @@ def test_lookup_join_is_the_same_at_any_size(spark, how):
     assert "_salt" not in salted.columns
 
 
+def test_lookup_join_computes_the_large_side_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    facts = spark.range(0, 4000, 1, 4).selectExpr("id", "IF(id % 3 = 0, 7, id % 1000) AS key").mapInArrow(count, "id long, key long")
+    table = spark.range(1000).selectExpr("id AS key", "id * 2 AS twice")
+    joined = lookup_join(facts, table, "key", "inner", ["id"], max_bytes=-1)
+    sizes = joined.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert (sum(sizes), seen.value) == (4000, 4000)
+
+
+def test_lookup_join_divides_hot_keys_only(spark):
+    facts = spark.range(3000).selectExpr("id", "IF(id % 3 = 0, 7, id) AS key")
+    table = spark.range(3000).selectExpr("id AS key")
+    joined = lookup_join(facts, table, "key", "inner", ["id"], max_bytes=-1)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan and "7" in plan and joined.count() == 3000
+
+
+def test_matrix_is_not_shuffled_for_small_counts(spark):
+    with staging.Stages(spark) as stages:
+        small = small_matrix(spark, "person", stages=stages)
+        assert plain(small) == plain(small_matrix(spark, "person"))
+        shuffles = [m._jdf.queryExecution().optimizedPlan().toString().count("_chunk") for m in (small, small_matrix(spark, "person"))]
+    assert shuffles[0] == 0 < shuffles[1]
+
+
+@pytest.mark.parametrize("options", [{"most": 100}, {"shuffled": True}])
+def test_expand_rows_where_they_are(spark, options):
+    counts = [0, 1, 2, 99, 100]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(counts)], "id long, n long")
+    assert plain(rows.expand_rows(df, "n", **options)) == Counter({(i,): n for i, n in enumerate(counts) if n})
+    large = spark.createDataFrame([(1, rows.CHUNK + 5), (2, 3)], "id long, n long")
+    assert rows.expand_rows(large, "n", shuffled=True).groupBy("id").count().collect()
+
+
 def test_lookup_join_rejects_other_joins(spark):
     facts = spark.range(3).withColumnRenamed("id", "key")
     with pytest.raises(ValueError):

@@ -4,6 +4,7 @@ from collections import Counter
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from onsetlab.functions.dates import cast_date_columns
@@ -217,6 +218,58 @@ def test_dataset_is_replaced_with_its_table(spark, tmp_path):
     assert sinks.read_dataset(spark, path).count() == 3
 
 
+def failing(df, at):
+    return df.selectExpr(f"CASE WHEN id = {at} THEN CAST(raise_error('broken') AS BIGINT) ELSE id END AS id")
+
+
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "train")
+    sinks.write_dataset(spark.range(10), path, "kept_data")
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_dataset(failing(spark.range(0, 1000, 1, 8), 700), path, "kept_data")
+    expected = {(i,): 1 for i in range(10)}
+    assert plain(spark.table("kept_data")) == plain(sinks.read_dataset(spark, path)) == expected
+    # Nothing is left of the failed version.
+    assert len(list((tmp_path / "train").glob("v*"))) == 1
+    sinks.write_dataset(spark.range(3), path, "kept_data")
+    assert spark.table("kept_data").count() == sinks.read_dataset(spark, path).count() == 3
+    spark.sql("DROP TABLE kept_data")
+
+
+def test_new_columns_reach_the_catalog_and_changed_ones_too(spark, tmp_path):
+    path = str(tmp_path / "train")
+    sinks.write_dataset(spark.range(2), path, "wide_data")
+    sinks.write_dataset(spark.range(2).selectExpr("id", "'x' AS more"), path, "wide_data")
+    assert dict(spark.table("wide_data").dtypes) == {"id": "bigint", "more": "string"}
+    sinks.write_dataset(spark.range(2).selectExpr("CAST(id AS STRING) AS id"), path, "wide_data")
+    assert dict(spark.table("wide_data").dtypes) == {"id": "string"}
+    assert plain(spark.table("wide_data")) == {("0",): 1, ("1",): 1}
+    spark.sql("DROP TABLE wide_data")
+
+
+def test_older_versions_stay_for_their_readers(spark, tmp_path):
+    path = str(tmp_path / "train")
+    sinks.write_dataset(spark.range(5), path)
+    old = sinks.read_dataset(spark, path)
+    sinks.write_dataset(spark.range(7), path)
+    assert (old.count(), sinks.read_dataset(spark, path).count()) == (5, 7)
+    sinks.write_dataset(spark.range(9), path, keep=0)
+    assert len(list((tmp_path / "train").glob("v*"))) == 1
+
+
+def test_plain_files_are_read_too(spark, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "plain"))
+    assert sinks.read_dataset(spark, str(tmp_path / "plain")).count() == 4
+
+
+def test_staged_tables_tell_their_size(spark):
+    with staging.Stages(spark) as stages:
+        staged = stages.stage(spark.range(5).selectExpr("id", "'abc' AS text"), "numbers", F.max("id").alias("top"))
+        assert staging.measured(staged) == {"rows": 5, "bytes": 5 * (32 + 8 + 3), "top": 4}
+        assert staging.measured(staged.where("id > 2")) is None
+        assert staging.measured(stages.stage(staged.where("false"), "none"))["bytes"] == 0
+
+
 def test_staged_tables_are_read_back_and_removed(spark):
     with staging.Stages(spark) as stages:
         staged = stages.stage(spark.range(5), "numbers")
