@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from onsetlab.llm import byte_bpe, decontaminate, jaccard_join, quality, repeats
@@ -23,12 +23,17 @@ from onsetlab.operators.lookup import fits_broadcast
 LEAST_QUALITY = 0.3
 
 
+def _whole_row(docs: DataFrame) -> Column:
+    """All columns in one, where a new column cannot have the name of one of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from all labels, does not reject."""
     ship(spark)
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.with_quality(docs, model, name="_quality")
-    return scored.where(F.col("_quality") >= LEAST_QUALITY).drop("_quality")
+    scored = quality.with_quality(docs.select("text", _whole_row(docs)), model, name="score")
+    return scored.where(F.col("score") >= LEAST_QUALITY).select("row.*")
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,21 +49,24 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings that start in an earlier document; whole characters only."""
     ship(spark)
-    cut = repeats.remove_repeats(docs, characters=True)
-    text = F.when(F.size("removed") > 0, F.decode("kept", "UTF-8"))
-    # A text of which nothing went stays as it was, null included.
-    whole = F.when(F.col("n_bytes") > 0, F.decode("kept", "UTF-8"))
-    changed = cut.withColumn("text", F.coalesce(text, whole)).drop("n_bytes", "removed", "kept")
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return changed.select(*docs.columns)
+    kept = [c for c in docs.columns if c != "text"]
+    parts = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text").isNull().alias("absent"))
+    less = repeats.remove_repeats(parts, characters=True)
+    # A text of which nothing went stays as it was, null or empty included.
+    shorter = less.select("row", F.size("removed").alias("gone"), F.when(~F.col("absent"), F.decode("kept", "UTF-8")).alias("text"))
+    columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    if "n_chars" in kept:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        columns[docs.columns.index("n_chars")] = F.when(F.col("gone") > 0, counted).otherwise(F.col("row.n_chars")).alias("n_chars")
+    return shorter.select(*columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     ship(spark)
-    found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(F.size("found.items") == 0).select(*docs.columns)
+    parts = docs.select("doc_id", "text", _whole_row(docs))
+    found = decontaminate.find_contamination(parts, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.size("found.items") == 0).select("row.*")
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
