@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,12 +64,32 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``codes[start:end]`` for many spans, equal for equal content."""
+#: Longer spans are hashed by a function that no text can be made to fool.
+LONG_SPAN = 64
+
+
+def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, long_span: int = LONG_SPAN) -> np.ndarray:
+    """64-bit hashes of ``codes[start:end]`` for many spans, equal for equal content.
+
+    Sums of powers modulo 2**64 vanish for the difference of some long strings,
+    whatever the base, so spans of more than ``long_span`` go to blake2b.
+    """
     up, down = _powers(len(codes) + 1)
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    out = mix((sums[ends] - sums[starts]) * down[starts])
+    for i in np.flatnonzero(ends - starts > long_span).tolist():
+        digest = hashlib.blake2b(codes[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
+
+
+def release(result: pa.Table) -> pa.Table:
+    """Give memory that a group has used back to the system; workers live on for other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every system's library has it
+        ctypes.CDLL(None).malloc_trim(0)
+    return result
 
 
 def word_spans(

@@ -46,7 +46,7 @@ from onsetlab.llm.blocks import (
     repeated_notes,
     shard_notes,
 )
-from onsetlab.llm.buffers import ODD, slices, span_hashes, utf8
+from onsetlab.llm.buffers import ODD, release, slices, span_hashes, utf8
 
 LENGTH = 50
 GRAM = 24
@@ -55,6 +55,8 @@ SHARD_BYTES = 16 << 20
 STRETCH_WINDOWS = 64
 PORTION_BYTES = 1 << 20
 ANCHOR_WINDOWS = 1 << 17
+#: Stretches are no longer than this, unless windows are: one multiplication a byte tells them apart.
+LONGEST_PLAIN = 128
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -123,7 +125,7 @@ class Stretches:
             starts = np.repeat(starts, pieces) + nth * step
             ends = np.minimum(starts + step, np.repeat(ends, pieces)) + length - 1
             rows = np.searchsorted(offsets, starts + base, "right") - 1
-            hashes = span_hashes(here, starts, ends)
+            hashes = span_hashes(here, starts, ends, LONGEST_PLAIN)
             known = np.where(np.repeat(alone, pieces), hashes >> np.uint64(16), np.repeat(known, pieces))
             parts.append((starts + base, ends + base, rows, known, hashes))
         none = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
@@ -132,23 +134,63 @@ class Stretches:
         return cls(starts, ends, rows, known, number, first)
 
 
-def maximal_repeats(keys: np.ndarray, lengths: np.ndarray, left: np.ndarray, owner: np.ndarray, least: int):
+def sorted_suffixes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of suffixes of strings, and what each shares with the one before it in that order.
+
+    ``data`` holds the strings one after another, ``ends`` where each byte's
+    string ends; a suffix begins at ``starts`` and counts ``lengths`` bytes. Ranks
+    of the first 8 bytes at every place are doubled to 16, 32 and so on, so a
+    suffix is a few numbers and never copied. Past its end a string counts as
+    zeros up to the next such piece and then as less than anything.
+    """
+    n, width = len(data), int(lengths.max(initial=1))
+    left = (ends - np.arange(n)).astype(np.int32)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.zeros(n, np.uint64)
+    for j in range(8):
+        words <<= np.uint64(8)
+        words |= np.where(left > j, padded[j : n + j], 0).astype(np.uint64)
+    levels: list[tuple[int, np.ndarray]] = []
+    size, pairs = 8, words
+    while True:
+        # 0 is for what lies past the end.
+        ranks = np.unique(pairs, return_inverse=True)[1].astype(np.int32) + 1
+        levels.append((size, ranks))
+        second = np.zeros(n, np.int32)
+        second[: max(n - size, 0)] = np.where(left[: max(n - size, 0)] > size, ranks[size:], 0)
+        if 2 * size >= width:
+            break
+        pairs, size = ranks.astype(np.int64) << 32 | second, 2 * size
+    order = np.lexsort((second[starts], ranks[starts]))
+    common = np.zeros(len(starts), np.int32)
+    one, other = starts[order[1:]], starts[order[:-1]]
+    shared = np.zeros(len(one), np.int32)
+    for size, ranks in [*reversed(levels), (0, None)]:
+        a, b = one + shared, other + shared
+        inside = (a < ends[one]) & (b < ends[other])
+        a, b = np.where(inside, a, 0), np.where(inside, b, 0)
+        if size:
+            shared += np.where(inside & (ranks[a] == ranks[b]), size, 0).astype(np.int32)
+        else:
+            differ = words[a] ^ words[b]
+            for j in range(1, 9):
+                shared += inside & (differ >> np.uint64(64 - 8 * j) == 0)
+    if len(order):
+        common[1:] = np.minimum(shared, np.minimum(lengths[order[1:]], lengths[order[:-1]]))
+    return order, common
+
+
+def maximal_repeats(order: np.ndarray, shared: np.ndarray, left: np.ndarray, owner: np.ndarray, least: int):
     """Maximal repeats of a set of suffixes, as intervals of their sorted order.
 
-    ``keys`` are the suffixes as fixed-width bytes, ``lengths`` how much of each
-    counts, ``left`` the byte before it (-1: none, differs from all), ``owner``
-    the number of its document. Returns the order and, per maximal repeat, first
-    and last position in it, length, and smallest owner.
+    ``order`` and ``shared`` are those of :func:`sorted_suffixes`, ``left`` the
+    byte before each suffix (-1: none, differs from all), ``owner`` the number of
+    its document. Returns, per maximal repeat, first and last position in the
+    order, length, and smallest owner.
     """
-    order = np.argsort(keys, kind="stable")
-    text = keys[order].view(np.uint8).reshape(len(keys), -1)
-    common = np.zeros(len(keys) + 1, np.int64)
-    if len(keys) > 1:
-        same = text[1:] == text[:-1]
-        equal = np.where(same.all(1), text.shape[1], np.argmin(same, axis=1))
-        common[1:-1] = np.minimum(equal, np.minimum(lengths[order[1:]], lengths[order[:-1]]))
+    common = np.append(shared.astype(np.int64), 0)
     side, mine = left[order], owner[order]
-    differ = np.zeros(len(keys), np.int64)
+    differ = np.zeros(len(order), np.int64)
     differ[1:] = np.cumsum((side[1:] != side[:-1]) | (side[1:] < 0))
     found: list[tuple[int, int, int, int]] = []
     stack: list[list[int]] = []  # first position, length, smallest owner
@@ -171,7 +213,7 @@ def maximal_repeats(keys: np.ndarray, lengths: np.ndarray, left: np.ndarray, own
                 stack[-1][2] = smallest
         if here >= least and (not stack or stack[-1][1] < here):
             stack.append([first, here, smallest])
-    return order, found
+    return found
 
 
 def marks_in_shard(strings: bytes, sizes: np.ndarray, owner: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
@@ -185,15 +227,9 @@ def marks_in_shard(strings: bytes, sizes: np.ndarray, owner: np.ndarray, least:
     start = begins[number] + offset
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    width = int(sizes.max())
-    padded = np.concatenate([data, np.zeros(width, np.uint8)])
-    view = np.lib.stride_tricks.sliding_window_view(padded, width)
-    lengths = ends[number] - start
-    keys = view[start].copy()
-    keys[np.arange(width) >= lengths[:, None]] = 0
-    keys = keys.view(f"S{width}").ravel()
-    left = np.where(offset > 0, padded[np.maximum(start - 1, 0)].astype(np.int16), np.int16(-1))
-    order, found = maximal_repeats(keys, lengths, left, owner[number], least)
+    order, shared = sorted_suffixes(data, start, ends[number] - start, np.repeat(ends, sizes))
+    left = np.where(offset > 0, data[np.maximum(start - 1, 0)].astype(np.int16), np.int16(-1))
+    found = maximal_repeats(order, shared, left, owner[number], least)
     longest = np.zeros(len(start), np.int64)
     mine = owner[number][order]
     for first, last, size, smallest in sorted(found, key=lambda r: r[2]):
@@ -283,14 +319,15 @@ def remove_repeats(
             at = np.flatnonzero(edge & (values != _NONE))
             row = np.searchsorted(block.offsets, at + base, "right") - 1
             windows = np.diff(np.append(np.flatnonzero(edge), len(values)))[np.searchsorted(np.flatnonzero(edge), at)]
-            content = span_hashes(block.data[base : block.offsets[b]], at, at + windows + length - 1)
+            content = span_hashes(block.data[base : block.offsets[b]], at, at + windows + length - 1, LONGEST_PLAIN)
             found.append(np.stack([values[at], block.ids[row].view(np.uint64), windows.astype(np.uint64), content]))
         values, ids, windows, content = np.concatenate([np.zeros((4, 0), np.uint64), *found], axis=1)
         # Equal stretches of a block are sent once.
         weights = np.zeros(len(values), np.int64)
         _, once = np.unique(content, return_index=True)
         weights[once] = windows[once]
-        return shard_notes(values, ids, docs.column("block")[0].as_py() if docs.num_rows else -1, shards, weights)
+        out = shard_notes(values, ids, docs.column("block")[0].as_py() if docs.num_rows else -1, shards, weights)
+        return release(out)
 
     def repeated(table: pa.Table) -> pa.Table:
         return repeated_notes(table, anchor_windows)
@@ -319,7 +356,7 @@ def remove_repeats(
                 text = b"".join(block.data[s.starts[i] : s.ends[i]].tobytes() for i in s.first[part].tolist())
                 meta = np.stack([np.full(len(part), number), part, sizes[part], lowest[part], anchors[part]])
                 rows.append((int(shard[part[0]]), "text", text, meta.astype(np.int64).tobytes(), b""))
-        return notes(rows)
+        return release(notes(rows))
 
     def repeats(table: pa.Table) -> pa.Table:
         texts = [np.frombuffer(v, np.uint8) for v in table.column("first").to_pylist()]
@@ -347,7 +384,7 @@ def remove_repeats(
         rows = []
         for part in np.split(marked, np.flatnonzero(np.diff(marked[0])) + 1, axis=1) if marked.size else []:
             rows.append((int(part[0, 0]), "marks", np.ascontiguousarray(part[1:]).tobytes(), b"", b""))
-        return notes(rows)
+        return release(notes(rows))
 
     marks = (
         by_block.cogroup(known.groupBy("block"))

@@ -29,8 +29,9 @@ from onsetlab.llm.quality import bounded_sample, one_label
 WORD = re.compile(r"\w+")
 FEATURE_BITS = 18
 FIT_ROWS = 8192
-FIT_CHARS = 32768
 SEQUENCE = 256
+#: Tokens whose marginals are held at once while the chain is trained.
+TOKENS_AT_ONCE = 1 << 20
 CACHE_WORDS = 400_000
 TEXTS_AT_ONCE = 2048
 
@@ -185,16 +186,16 @@ def toxic_features(
     vocabulary: Vocabulary,
     texts: list[np.ndarray],
     toxic: np.ndarray,
-    least: int = 3,
-    share: float = 0.02,
+    least: int = 5,
     odds: float = 3.0,
     most: int = 10,
 ) -> np.ndarray:
     """A mask of the features that mark toxic tokens.
 
-    They occur in at least ``least`` toxic documents and a ``share`` of them,
-    e**(odds / 2) times as often as in others counted by document, and e**odds
-    times as often counted by token, of which a document gives ``most``.
+    They occur in at least ``least`` toxic documents, whatever the number of
+    these, e**(odds / 2) times as often as in others counted by document, and
+    e**odds times as often counted by token. A document speaks for a feature at
+    most ``most`` times, or one that says a word very often would outvote others.
     """
     docs, occurrences = np.zeros((2, 1 << FEATURE_BITS)), np.zeros((2, 1 << FEATURE_BITS))
     for words, label in zip(texts, toxic.tolist(), strict=True):
@@ -209,8 +210,50 @@ def toxic_features(
         clean, bad = np.log((counts + 0.5) / (n + 1))
         return bad - clean
 
-    enough = docs[1] >= max(least, share * n[1, 0])
-    return enough & (ratio(docs) >= odds / 2) & (ratio(occurrences) >= odds)
+    return (docs[1] >= least) & (ratio(docs) >= odds / 2) & (ratio(occurrences) >= odds)
+
+
+class _Group:
+    """Sequences that are trained side by side: word numbers and labels in the order of steps."""
+
+    def __init__(self, words: np.ndarray, y: np.ndarray, lengths: np.ndarray):
+        lanes = Lanes(lengths)
+        self.words, self.y = words[lanes.source].astype(np.int32), y[lanes.source].astype(np.uint8)
+        self.opening = int(lanes.active[0]) if len(lanes.active) else 0
+        after = np.arange(self.opening, len(self.words))
+        self.before = (after - lanes.active[np.searchsorted(lanes.steps, after, "right") - 2]).astype(np.int32)
+        lanes.source = lanes.lane = np.zeros(0, np.int64)
+        self.lanes = lanes
+
+    def pairs(self) -> np.ndarray:
+        return np.bincount(2 * self.y[self.before] + self.y[self.opening :], minlength=4).astype(float)
+
+    def expect(self, odds: np.ndarray, start: float, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Label less marginal of each token, expected moves, and expected toxic first tokens."""
+        own = odds[self.words]
+        f, b, _ = forward_backward(self.lanes, own, start, moves)
+        x, g = own[self.opening :] * b[self.opening :], f[self.before]
+        whole = moves[0, 0] + moves[0, 1] * x + moves[1, 0] * g + moves[1, 1] * g * x
+        joint = [moves[0, 0] / whole, moves[0, 1] * x / whole, moves[1, 0] * g / whole, moves[1, 1] * g * x / whole]
+        f *= b
+        f /= 1 + f
+        return self.y - f, np.array([j.sum() for j in joint]), float(f[: self.opening].sum())
+
+
+def _groups(texts: list[np.ndarray], labels: list[np.ndarray]) -> Iterator[_Group]:
+    """Texts cut into sequences, and these dealt into groups of about TOKENS_AT_ONCE tokens."""
+    words, y, lengths, size = [], [], [], 0
+    for text, label in zip(texts, labels, strict=True):
+        for at in range(0, len(text), SEQUENCE):
+            words.append(text[at : at + SEQUENCE])
+            y.append(label[at : at + SEQUENCE])
+            lengths.append(len(words[-1]))
+            size += lengths[-1]
+            if size >= TOKENS_AT_ONCE:
+                yield _Group(np.concatenate(words), np.concatenate(y), np.array(lengths, np.int64))
+                words, y, lengths, size = [], [], [], 0
+    if words:
+        yield _Group(np.concatenate(words), np.concatenate(y), np.array(lengths, np.int64))
 
 
 def train_chain(
@@ -218,40 +261,31 @@ def train_chain(
     rounds: int = 60, rate: float = 0.25, decay: float = 1e-3,
 ) -> ToxicityModel:
     """Maximise the penalised likelihood of the labelled tokens with Adam."""
-    flat = np.concatenate([np.zeros(0, np.int32), *texts])
-    y = np.concatenate([np.zeros(0), *labels])
     used, feature = np.unique(vocabulary.feature, return_inverse=True)
+    feature = feature.astype(np.int32)
     owner, n_words = vocabulary.word, len(vocabulary.numbers)
-    lengths = []
-    for t in texts:
-        lengths += [SEQUENCE] * (len(t) // SEQUENCE) + [len(t) % SEQUENCE] * bool(len(t) % SEQUENCE)
-    lanes = Lanes(np.array(lengths, np.int64))
-    words, y = flat[lanes.source], y[lanes.source]
+    groups = list(_groups(texts, labels))
+    total = max(sum(len(g.words) for g in groups), 1)
     # Gold counts of the chain: first states, and moves between neighbours.
-    opening = int(lanes.active[0]) if len(lanes.active) else 0
-    after = np.arange(opening, len(words))
-    before = after - lanes.active[np.searchsorted(lanes.steps, after, "right") - 2] if len(after) else after
-    pairs = np.bincount((2 * y[before] + y[after]).astype(np.int64), minlength=4).reshape(2, 2)
-    first = y[:opening].sum()
+    pairs = sum((g.pairs() for g in groups), np.zeros(4)).reshape(2, 2)
+    first = sum(int(g.y[: g.opening].sum()) for g in groups)
     theta = np.zeros(len(used) + 5)  # features, constant, start, three moves
     theta[-5] = -2.0
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
-    total = max(len(words), 1)
     for step in range(1, rounds + 1):
         moves = np.exp(np.array([[0.0, theta[-3]], [theta[-2], theta[-1]]]))
         emission = np.bincount(owner, theta[:-5][feature], n_words) + theta[-5]
-        odds = np.exp(np.clip(emission, -30, 30))[words]
-        f, b, _ = forward_backward(lanes, odds, np.exp(theta[-4]), moves)
-        p = f * b / (1 + f * b)
-        x, g = odds[after] * b[after], f[before]
-        joint = [moves[0, 0] * np.ones_like(x), moves[0, 1] * x, moves[1, 0] * g, moves[1, 1] * g * x]
-        whole = joint[0] + joint[1] + joint[2] + joint[3]
-        expected = np.array([(j / whole).sum() for j in joint])
-        miss = y - p
-        by_word = np.bincount(words, miss, n_words)
+        odds = np.exp(np.clip(emission, -30, 30))
+        by_word, expected, opened = np.zeros(n_words), np.zeros(4), 0.0
+        # What the groups expect adds up, so only one of them is at hand at a time.
+        for group in groups:
+            miss, joint, start = group.expect(odds, np.exp(theta[-4]), moves)
+            by_word += np.bincount(group.words, miss, n_words)
+            expected += joint
+            opened += start
         gradient = np.concatenate([
             np.bincount(feature, by_word[owner], len(used)),
-            [miss.sum(), first - p[:opening].sum()],
+            [by_word.sum(), first - opened],
             (pairs.ravel() - expected)[1:],
         ])
         gradient = gradient / np.sqrt(total) - decay * theta
@@ -283,23 +317,20 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     fit_rows: int = FIT_ROWS,
-    fit_chars: int = FIT_CHARS,
 ) -> ToxicityModel:
-    """Learn from at most ``fit_rows`` labelled documents, of a longer one a window of ``fit_chars``.
+    """Learn from the whole texts of at most ``fit_rows`` labelled documents.
 
-    The window's place follows from the id. Both bounds are documented parameters: they limit what the driver holds.
+    The bound limits what the driver holds: a number and a label for each token of them.
     Null labels, ids with both labels and labels without a document teach
     nothing. Without toxic or without other documents every text gets the same
     score. One in four of the documents sets the curve and not the chain.
     """
     sample = bounded_sample(one_label(labels, id_col, label_col), fit_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    room = F.greatest(F.length("text") - F.lit(fit_chars), F.lit(0))
-    window = F.substring("text", F.pmod(F.xxhash64("id"), room + 1).cast("int") + 1, F.lit(fit_chars))
     rows = (
         texts.where("text IS NOT NULL")
         .join(F.broadcast(sample), "id")
-        .select("label", window.alias("text"))
+        .select("label", "text")
         .toArrow()
         .sort_by([("label", "ascending"), ("text", "ascending")])
     )
@@ -322,14 +353,17 @@ def fit(
     taught = np.flatnonzero(~held)
     marks = toxic_features(vocabulary, [words[i] for i in taught], y[taught])
     marked = np.bincount(vocabulary.word, marks[vocabulary.feature], len(vocabulary.numbers)) > 0
-    gold = [marked[words[i]] * float(y[i]) for i in taught]
+    gold = [marked[words[i]].astype(np.uint8) * np.uint8(y[i]) for i in taught]
     model = train_chain(vocabulary, [words[i] for i in taught], gold)
     seen = np.flatnonzero(held) if held.any() else taught
     emission = np.bincount(vocabulary.word, model.weight[vocabulary.feature], len(vocabulary.numbers)) + model.weight[-1]
-    lengths = np.array([len(words[i]) for i in seen], np.int64)
-    flat = np.concatenate([words[i] for i in seen])
-    p, clean = model.marginals(np.clip(emission, -30, 30)[flat], lengths)
-    model.curve = _curve(np.array([summary(a, c) for a, c in zip(p, clean, strict=True)]), y[seen].astype(float))
+    emission = np.clip(emission, -30, 30)
+    summaries = []
+    for at in range(0, len(seen), TEXTS_AT_ONCE // 8):
+        part = [words[i] for i in seen[at : at + TEXTS_AT_ONCE // 8]]
+        p, clean = model.marginals(emission[np.concatenate(part)], np.array([len(w) for w in part], np.int64))
+        summaries += [summary(a, c) for a, c in zip(p, clean, strict=True)]
+    model.curve = _curve(np.array(summaries), y[seen].astype(float))
     return model
 
 

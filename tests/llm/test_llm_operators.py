@@ -182,13 +182,25 @@ def test_toxicity_of_held_out_texts(spark, docs, nothing):
 def test_long_texts_teach_toxicity(spark):
     known, labels = labelled(spark)
     # All texts are longer, and the last word of a toxic one is not its only toxic word.
-    model = toxicity.fit(known, labels.where("doc_id % 3 <> 0"), fit_chars=120)
+    model = toxicity.fit(known, labels.where("doc_id % 3 <> 0"))
     judged = toxicity.with_toxicity(known, model).where("doc_id % 3 = 0").collect()
     right = sum((r["toxicity"]["score"] >= 0.3) == (r["doc_id"] % 5 == 0) for r in judged)
     assert right >= 0.95 * len(judged)
     assert toxicity.FIT_ROWS == 8192
 
 
+def test_training_in_groups_is_training_at_once(monkeypatch):
+    source = random.Random(2)
+    vocabulary = toxicity.Vocabulary()
+    texts = [vocabulary.read(" ".join(source.choices(["vile", "nice", "day", "word", "x1"], k=source.randint(0, 600)))) for _ in range(30)]
+    vocabulary.close()
+    labels = [(t == 0).astype(np.uint8) for t in texts]
+    whole = toxicity.train_chain(vocabulary, texts, labels, rounds=8)
+    monkeypatch.setattr(toxicity, "TOKENS_AT_ONCE", 700)
+    parts = toxicity.train_chain(vocabulary, texts, labels, rounds=8)
+    assert np.allclose(whole.weight, parts.weight, atol=1e-9) and np.allclose(whole.moves, parts.moves, atol=1e-9)
+
+
 def test_marginals_equal_sums_over_all_taggings():
     source = np.random.default_rng(3)
     lengths = np.array([4, 0, 1, 6], np.int64)
@@ -523,12 +535,14 @@ def test_maximal_repeats_equal_brute_force():
         strings = ["".join(source.choices("ab", k=source.randint(4, 14))).encode() for _ in range(5)]
         least = 3
         suffixes = [(n, s, p) for n, s in enumerate(strings) for p in range(len(s) - least + 1)]
-        width = 16
-        keys = np.array([s[p:].ljust(width, b"\0") for _, s, p in suffixes], f"S{width}")
+        begins = np.cumsum([0, *map(len, strings)])
+        starts = np.array([begins[n] + p for n, _, p in suffixes])
+        ends = np.repeat(begins[1:], [len(s) for s in strings])
         lengths = np.array([len(s) - p for _, s, p in suffixes])
         left = np.array([s[p - 1] if p else -1 for _, s, p in suffixes], np.int16)
         owner = np.array([n for n, _, _ in suffixes])
-        order, found = repeats.maximal_repeats(keys, lengths, left, owner, least)
+        order, shared = repeats.sorted_suffixes(np.frombuffer(b"".join(strings), np.uint8), starts, lengths, ends)
+        found = repeats.maximal_repeats(order, shared, left, owner, least)
         got = {
             (suffixes[order[a]][1][suffixes[order[a]][2] :][:size], frozenset((suffixes[k][0], suffixes[k][2]) for k in order[a : b + 1]), low)
             for a, b, size, low in found
@@ -543,6 +557,35 @@ def test_maximal_repeats_equal_brute_force():
         assert got == expected
 
 
+def test_sorted_suffixes_equal_plain_sorting():
+    source = np.random.default_rng(8)
+    for letters, longest in ((2, 113), (1, 113), (255, 40), (2, 5), (3, 200)):
+        sizes = source.integers(1, longest + 1, 12)
+        strings = [source.integers(1, letters + 1, n).astype(np.uint8).tobytes() for n in sizes]
+        strings += [strings[0], strings[1][: len(strings[1]) // 2 + 1]]
+        begins = np.cumsum([0, *map(len, strings)])
+        places = [(n, p) for n, s in enumerate(strings) for p in range(len(s))]
+        starts = np.array([begins[n] + p for n, p in places])
+        lengths = np.array([len(strings[n]) - p for n, p in places])
+        ends = np.repeat(begins[1:], [len(s) for s in strings])
+        order, shared = repeats.sorted_suffixes(np.frombuffer(b"".join(strings), np.uint8), starts, lengths, ends)
+        texts = [strings[n][p:] for n, p in places]
+        padded = [t.ljust(longest, b"\0") for t in texts]
+        assert order.tolist() == sorted(range(len(texts)), key=lambda i: padded[i])
+        for a, b, common in zip(order[:-1], order[1:], shared[1:], strict=True):
+            least = min(len(texts[a]), len(texts[b]))
+            assert common == next((i for i in range(least) if texts[a][i] != texts[b][i]), least)
+
+
+def test_crafted_words_do_not_meet(spark):
+    """Sums of powers modulo 2**64 are the same for a long word in Thue-Morse order and its mirror."""
+    order = [bin(i).count("1") % 2 for i in range(4096)]
+    one, other = ("".join("ab"[x ^ flip] for x in order) for flip in (0, 1))
+    rows = [(1, one), (2, other), (3, one + " x"), (4, one.upper())]
+    linked = {r["doc_id"]: r["component_id"] for r in jaccard_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert linked == {1: 1, 2: 2, 3: 3, 4: 1}
+
+
 # Benchmark passages
 
 

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import re
+import zlib
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -75,6 +79,95 @@ def test_held_out_quality_and_scores(spark):
     assert sum(r["predicted"] == labels[r["doc_id"]] for r in rows) >= 0.9 * len(rows)
 
 
+def test_held_out_toxicity(spark):
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    scored = queries.op6_toxicity(spark, SF_DIR).collect()
+    assert {r["doc_id"]: r["held_out"] for r in scored} == {r["doc_id"]: zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 for r in scored}
+    rows = [r for r in scored if r["held_out"] and r["doc_id"] in labels]
+    assert sum(r["predicted"] == labels[r["doc_id"]] for r in rows) >= 0.9 * len(rows)
+
+
+def test_base_scores(spark, texts):
+    """Counts and base scores of every text by plain counting; the model's own score is a log probability."""
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)) + [None] for i, t in texts.items()}
+    taught = Counter(w for i, own in words.items() if zlib.crc32(str(i).encode()) % 10 for w in own)
+    total, kinds = sum(taught.values()), len(taught)
+    for r in queries.op4_lm_scores(spark, SF_DIR).collect():
+        own = words[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(own), sum(w in taught for w in own), total)
+        base = sum(math.log10((taught[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in own)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] < 0
+
+
+AWKWARD = "doc_id long, text string, n_chars long, n_bytes int, removed string, kept string, found int, score double, row int"
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    """Good, repeated, near, empty and null texts in a table whose columns have the names of new ones."""
+    good = [r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect() if r["text"] and 300 < len(r["text"]) < 3000][:30]
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first()["text"]
+    rows = [(i, t) for i, t in enumerate(good)] + [(100, good[0]), (101, good[1] + " and more"), (101, good[1] + " and more")]
+    rows += [(102, ""), (103, None), (104, f"{item} {good[2]}"), (105, "x" * 200_000), (None, good[3]), (None, None)]
+    return spark.createDataFrame([(i, t, len(t or ""), 1, "a", "b", 2, 0.5, 7) for i, t in rows], AWKWARD).repartition(3).cache()
+
+
+def plain_rows(df):
+    return Counter(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES[:-1]])
+def test_stages_keep_columns_of_any_name(spark, awkward, stage):
+    kept = stage(spark, awkward, SF_DIR)
+    assert kept.schema == awkward.schema or [f.dataType for f in kept.schema] == [f.dataType for f in awkward.schema]
+    assert kept.columns == awkward.columns
+    others = [c for c in awkward.columns if c not in ("text", "n_chars")]
+    assert plain_rows(kept.select(others)) <= plain_rows(awkward.select(others))
+    empty = stage(spark, awkward.where("false"), SF_DIR)
+    assert empty.columns == awkward.columns and empty.count() == 0
+
+
+def test_near_copies_go_but_one(spark, awkward):
+    rows = [(r["doc_id"], r["text"] or "") for r in awkward.collect() if r["doc_id"] is not None]
+    _, find = brute_components(rows)
+    kept = corpus_pipeline.one_of_each(spark, awkward, SF_DIR)
+    assert plain_rows(kept) == Counter({r: n for r, n in plain_rows(awkward).items() if r[0] is None or find(r[0]) == r[0]})
+
+
+def test_repeats_go_and_all_else_stays(spark, awkward):
+    # One row an id: the brute-force version knows no rows of one id.
+    docs = awkward.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    known = {r["doc_id"]: r for r in docs.collect()}
+    kept = {r["doc_id"]: r for r in corpus_pipeline.without_repeats(spark, docs, SF_DIR).collect()}
+    assert set(kept) == set(known)
+    removed = {k[0]: k for k in brute_repeats([(i, r["text"] or "") for i, r in known.items()], 50)}
+    for i, r in known.items():
+        if removed[i][2] == 0:
+            assert kept[i] == r
+        elif (r["text"] or "").isascii():
+            assert kept[i]["text"].encode() == removed[i][4] and kept[i]["n_chars"] == len(removed[i][4])
+    assert (kept[102]["text"], kept[103]["text"]) == ("", None)
+
+
+def test_benchmark_passages_go(spark, awkward):
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    words = lambda t: re.findall(word, re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = set()
+    for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect():
+        own = words(r["text"])
+        size = min(10, len(own))
+        windows |= {tuple(own[i : i + size]) for i in range(len(own) - size + 1) if size}
+    sizes = {len(w) for w in windows}
+
+    def clean(text):
+        own = words(text)
+        return not any(tuple(own[i : i + n]) in windows for n in sizes for i in range(len(own) - n + 1))
+
+    kept = corpus_pipeline.without_benchmark(spark, awkward, SF_DIR)
+    expected = Counter({r: n for r, n in plain_rows(awkward).items() if clean(r[1])})
+    assert plain_rows(kept) == expected and 104 not in {r[0] for r in expected}
+
+
 def test_pipeline_stages(spark, texts):
     folder, docs = SF_DIR, spark.read.parquet(f"{SF_DIR}/documents.parquet")
     left = [docs.count()]
