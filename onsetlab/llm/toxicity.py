@@ -186,7 +186,7 @@ def toxic_features(
     vocabulary: Vocabulary,
     texts: list[np.ndarray],
     toxic: np.ndarray,
-    least: int = 5,
+    least: int = 3,
     odds: float = 3.0,
     most: int = 10,
 ) -> np.ndarray:
@@ -299,13 +299,22 @@ def train_chain(
 
 
 def _curve(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Logistic regression with a weak prior."""
+    """Logistic regression with a weak prior, by Newton steps that are halved until they help."""
     c, prior = np.array([0.5, 0.5, 0.5, 0.0]), np.diag([1e-1, 1e-1, 1e-1, 1e-2])
+
+    def loss(c: np.ndarray) -> float:
+        z = x @ c
+        return float((np.logaddexp(0, z) - y * z).sum() + c @ prior @ c / 2)
+
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ c, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + prior, x.T @ (p - y) + prior @ c)
-        c = c - step
-        if np.abs(step).max() < 1e-8:
+        p = 1 / (1 + np.exp(-np.clip(x @ c, -500, 500)))
+        gradient = x.T @ (p - y) + prior @ c
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + prior, gradient)
+        now, part = loss(c), 1.0
+        while part > 1e-6 and loss(c - part * step) > now - 1e-4 * part * (gradient @ step):
+            part /= 2
+        c = c - part * step
+        if np.abs(part * step).max() < 1e-8:
             break
     return c
 
