@@ -50,7 +50,7 @@ from onsetlab.llm.buffers import ODD, release, slices, span_hashes, utf8
 
 LENGTH = 50
 GRAM = 24
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SHARD_BYTES = 16 << 20
 STRETCH_WINDOWS = 64
 PORTION_BYTES = 1 << 20
@@ -413,7 +413,8 @@ def remove_repeats(
             starts = s.starts[by_number[at]] + np.repeat(offset, counts)
             np.add.at(cover, starts, 1)
             np.add.at(cover, starts + np.repeat(size, counts), -1)
-        gone = np.cumsum(cover[:-1]) > 0
+        gone = np.cumsum(cover, out=cover)[:-1] > 0
+        del s, cover, by_number
         if characters:
             gone = whole_characters(gone, block.data)
         removed, kept = [], []
@@ -428,13 +429,14 @@ def remove_repeats(
             removed.append([{"first": int(x), "last": int(y)} for x, y in step.reshape(-1, 2)])
             kept.append(block.data[a:b][~here].tobytes() if len(step) else block.data[a:b].tobytes())
         spans = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-        return pa.table(
+        out = pa.table(
             [
                 *(block.docs.column(h) for h in hidden), pa.array(block.sizes.astype(np.int64)),
                 pa.array(removed, spans), pa.array(kept, pa.binary()),
             ],
             [*hidden, "n_bytes", "removed", "kept"],
         )
+        return release(out)
 
     spans = T.DataType.fromDDL("array<struct<first:long,last:long>>")
     schema = T.StructType([
