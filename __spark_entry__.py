@@ -153,6 +153,21 @@ def _landed(view: str) -> Callable[[Clinic], DataFrame]:
     return build
 
 
+def landing_rejects(clinic: Clinic) -> DataFrame:
+    """Conditions landed with planted faults: the rows that are good, and the records that are not, with reasons."""
+    landed = clinic.views["landing_condition"]
+    contract = _contract("condition_occurrence", landed)
+    whole = F.to_csv(F.struct(*landed.columns))
+    cut = F.to_csv(F.struct(*landed.columns[:-1]))
+    planted = F.col("person_id") % 11
+    line = F.when(planted == 3, cut).when(planted == 7, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    path = clinic.stages.path("condition_lines")
+    landed.select(line).write.option("compression", "bzip2").text(path)
+    read = tables.read_landing_with_rejects(clinic.spark, path, contract, stages=clinic.stages, header="false")
+    rejects = read.rejects.select("record", F.array_join("reasons", ", ").alias("reasons"))
+    return tables.patient_table(read.rows).unionByName(rejects, allowMissingColumns=True)
+
+
 LANDED = {
     "landing_condition": "condition_occurrence",
     "landing_drug": "drug_exposure",
@@ -207,6 +222,12 @@ def _cohort(**options) -> Callable[[Clinic], DataFrame]:
     return build
 
 
+def cohort_targets(clinic: Clinic) -> DataFrame:
+    """Target and number of rows per onset under the literal label, without pairing onsets and deaths."""
+    counted = cohorts.count_cohort(*clinic.cohort_inputs(), disease_codes=DISEASE, label="as_written", deaths="summed")
+    return counted.withColumnRenamed("death_date", "first_death_date")
+
+
 # Features
 
 
@@ -268,6 +289,10 @@ def features_first_onset(clinic: Clinic) -> DataFrame:
     return clinic.features(grain="index", onset="first", followup="or_death")
 
 
+def features_as_written(clinic: Clinic) -> DataFrame:
+    return clinic.features(grain="index", label="as_written")
+
+
 # Datasets and model
 
 
@@ -357,6 +382,7 @@ QUERIES: dict[str, Callable[[Clinic], DataFrame]] = {
     "period_csv": _landed("landing_period"),
     "person_csv": _landed("landing_person"),
     "vocabulary_csv": vocabulary_csv,
+    "landing_rejects": landing_rejects,
     "contract_check": contract_check,
     "query_view": query_view,
     "condition_category_map": lambda clinic: clinic.plain_map("condition"),
@@ -365,6 +391,7 @@ QUERIES: dict[str, Callable[[Clinic], DataFrame]] = {
     "cohort": _cohort(),
     "cohort_by_id": _cohort(disease_ids=[3000001, 3000002]),
     "cohort_as_written": _cohort(label="as_written"),
+    "cohort_targets": cohort_targets,
     "cohort_or_death": _cohort(followup="or_death"),
     "cohort_first_onset": _cohort(onset="first"),
     "condition_lookback": _lookback("condition"),
@@ -381,6 +408,7 @@ QUERIES: dict[str, Callable[[Clinic], DataFrame]] = {
     "features_person": features_person,
     "features_index": features_index,
     "features_first_onset": features_first_onset,
+    "features_as_written": features_as_written,
     "split_assignment": split_assignment,
     "dataset_roundtrip": dataset_roundtrip,
     "replaced_dataset": replaced_dataset,
@@ -705,6 +733,24 @@ def oracle_sql() -> dict[str, str]:
         "score_rows": f"""{_with('cohort')}
             SELECT person_id, disease_start_date, TRUE AS is_probability FROM cohort""",
         "vocabulary_csv": f"WITH {star_fixture.view_ctes('concept')} SELECT * FROM concept",
+        "landing_rejects": f"""
+            WITH {star_fixture.view_ctes("landing_condition")},
+            lines AS (
+                SELECT *, try_strptime(condition_start_date, '%Y%m%d') AS day, person_id % 11 AS planted,
+                       coalesce(CAST(person_id AS VARCHAR), '') || ',' || coalesce(CAST(condition_concept_id AS VARCHAR), '') AS cut
+                FROM landing_condition),
+            judged AS (
+                SELECT *, cut || ',' || coalesce(condition_start_date, '') AS whole,
+                       CASE WHEN planted IN (3, 7) THEN 'fields'
+                            WHEN condition_start_date IS NOT NULL AND day IS NULL
+                            THEN 'condition_start_date: date_format' END AS reasons
+                FROM lines)
+            SELECT CASE WHEN reasons IS NULL THEN person_id END AS person_id,
+                   CASE WHEN reasons IS NULL THEN condition_concept_id END AS condition_concept_id,
+                   CASE WHEN reasons IS NULL THEN CAST(day AS DATE) END AS condition_start_date,
+                   CASE WHEN reasons IS NULL THEN NULL WHEN planted = 3 THEN cut
+                        WHEN planted = 7 THEN whole || ',more' ELSE whole END AS record, reasons
+            FROM judged""",
         "contract_check": _contract_sql(),
         "query_view": f"""{_with('members')}
             SELECT condition_start_date, count(*) AS occurrences
@@ -715,6 +761,10 @@ def oracle_sql() -> dict[str, str]:
         "cohort": cohort_sql,
         "cohort_by_id": cohort_sql,
         "cohort_as_written": f"{_with('cohort_as_written')} SELECT * FROM cohort_as_written",
+        "cohort_targets": f"""{_with('cohort_as_written')}
+            SELECT person_id, disease_concept_id, disease_start_date,
+                   min(death_date) AS first_death_date, count(*) AS row_count
+            FROM cohort_as_written GROUP BY person_id, disease_concept_id, disease_start_date""",
         "cohort_or_death": f"{_with('cohort_or_death')} SELECT * FROM cohort_or_death",
         "cohort_first_onset": f"{_with('cohort_first_onset')} SELECT * FROM cohort_first_onset",
         "top_conditions": f"{steps['condition']} SELECT * FROM condition_top",
@@ -726,6 +776,7 @@ def oracle_sql() -> dict[str, str]:
         "features_person": features_person_sql,
         "features_index": _features_sql("cohort", "index"),
         "features_first_onset": _features_sql("first_or_death", "index"),
+        "features_as_written": _features_sql("cohort_as_written", "index"),
         "dataset_roundtrip": features_person_sql,
         "replaced_dataset": features_person_sql,
         "boosted_scores": _stumps_sql(),

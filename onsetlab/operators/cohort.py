@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from onsetlab.functions.dates import day_number
 from onsetlab.operators.lookup import BROADCAST_BYTES, lookup_join
 from onsetlab.operators.rows import expand_rows
 from onsetlab.operators.sweep import covering_weight
@@ -67,6 +69,7 @@ def count_cohort(
     label: str = "within",
     followup: str = "as_written",
     onset: str = "every",
+    deaths: str = "each",
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The cohort of :func:`select_cohort` with equal rows counted.
@@ -74,8 +77,15 @@ def count_cohort(
     The columns are those of the cohort and ``row_count``. Everything up to
     here works on counts, so a person whose occurrences repeat without bound
     still has at most one row per concept, onset day and death day.
+
+    With ``deaths="summed"`` there is one row per concept and onset day: its
+    ``death_date`` is the earliest that labels it and ``row_count`` stands for
+    the rows of all of them. Whatever only needs the target and the number of
+    rows is the same, and a label that attaches any number of deaths to any
+    number of onsets (``as_written``) makes no pairs of them.
     """
     _one_of("label", label, ("within", "as_written"))
+    _one_of("deaths", deaths, ("each", "summed"))
     _one_of("followup", followup, ("as_written", "or_death"))
     _one_of("onset", onset, ("every", "first"))
     if followup == "or_death" and label != "within":
@@ -134,18 +144,21 @@ def count_cohort(
         onsets, followed, "person_id", "disease_start_date", "lo", "hi", weights
     ).filter(" OR ".join(f"{weight} > 0" for weight in weights))
 
-    deaths = death.groupBy(F.col("person_id").alias("dead_person_id"), "death_date").agg(
+    days = death.groupBy(F.col("person_id").alias("dead_person_id"), "death_date").agg(
         F.count("*").alias("death_rows")
     )
-    if label == "within":
-        counts = F.datediff("death_date", "disease_start_date").between(0, label_days)
+    if label == "as_written" and (deaths == "summed" or onset == "first"):
+        labelled = _with_earlier_deaths(covered, days, label_days)
     else:
-        counts = F.datediff("disease_start_date", "death_date") > label_days
-    # The day distance belongs to the join condition: as a filter it would drop
-    # the survivors.
-    labelled = covered.join(
-        deaths, (F.col("person_id") == F.col("dead_person_id")) & counts, "left"
-    )
+        if label == "within":
+            counts = F.datediff("death_date", "disease_start_date").between(0, label_days)
+        else:
+            counts = F.datediff("disease_start_date", "death_date") > label_days
+        # The day distance belongs to the join condition: as a filter it would drop
+        # the survivors.
+        labelled = covered.join(
+            days, (F.col("person_id") == F.col("dead_person_id")) & counts, "left"
+        )
     periods = F.col("followed")
     if followup == "or_death":
         periods = F.when(F.col("death_date").isNotNull(), F.col("observed")).otherwise(periods)
@@ -159,9 +172,42 @@ def count_cohort(
             F.min("death_date").alias("death_date"),
             F.lit(1).cast("bigint").alias(ROW_COUNT),
         )
+    elif deaths == "summed":
+        cohort = cohort.groupBy(*COHORT_COLUMNS[:3]).agg(
+            F.min("death_date").alias("death_date"), F.sum(ROW_COUNT).alias(ROW_COUNT)
+        )
     return cohort
 
 
+def _with_earlier_deaths(onsets: DataFrame, days: DataFrame, label_days: int) -> DataFrame:
+    """Each onset's number of death records more than ``label_days`` before it, and the first of them.
+
+    Death days are merged into the person's onsets at the first day they label;
+    a running total over the days gives the number, without pairs. An onset
+    without such a death has NULL in both columns.
+    """
+    marks = days.filter("death_date IS NOT NULL").select(
+        F.col("dead_person_id").alias("person_id"),
+        (day_number("death_date") + label_days + 1).alias("_day"),
+        "death_date",
+        "death_rows",
+    )
+    until_day = (
+        Window.partitionBy("person_id")
+        .orderBy("_day")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    merged = onsets.select(
+        "*", day_number("disease_start_date").alias("_day"), F.lit(True).alias("_onset")
+    ).unionByName(marks, allowMissingColumns=True)
+    return merged.select(
+        *onsets.columns,
+        "_onset",
+        F.min("death_date").over(until_day).alias("death_date"),
+        F.sum("death_rows").over(until_day).alias("death_rows"),
+    ).filter("_onset").drop("_onset")
+
+
 def select_cohort(
     condition_occurrence: DataFrame,
     observation_period: DataFrame,
@@ -187,7 +233,12 @@ def select_cohort(
         because they die within the label's days;
     ``onset``
         ``"first"`` keeps each patient's earliest occurrence only.
+
+    The rows are the literal ones: ``as_written`` pairs every onset of a person
+    with every death that labels it. :func:`count_cohort` has a form without.
     """
+    if options.get("deaths", "each") != "each":
+        raise ValueError("the rows of a cohort name each death")
     compact = count_cohort(
         condition_occurrence, observation_period, death, categories, **options
     )

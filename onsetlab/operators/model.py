@@ -22,6 +22,7 @@ from onsetlab.sources.staging import Stages
 LABEL = "target"
 KEYS = ("person_id", "disease_start_date")
 RANGES = 256
+CUTS_A_HEAD = 16
 
 # Depth, learning rate, row sampling and number of rounds. The
 # lower bound on rows per leaf follows from the bound of 6 on a leaf's summed
@@ -153,16 +154,30 @@ def score_metrics(
     return totals.crossJoin(areas).select(F.inline(F.array(*rows)))
 
 
+def ranged(counts: DataFrame) -> DataFrame:
+    """``counts`` of scores ``x`` with each score's range ``part``; ranges hold about as many scores each."""
+    steps = [i / RANGES for i in range(1, RANGES)]
+    cuts = counts.agg(F.array_distinct(F.percentile_approx("x", steps, 100 * RANGES)).alias("cuts"))
+    # The range of a score is the number of cuts below it, found in two steps of sixteen.
+    coarse = F.size(F.filter("heads", lambda cut: cut < F.col("x")))
+    first = F.greatest(coarse - 1, F.lit(0)) * CUTS_A_HEAD
+    fine = F.size(F.filter(F.slice("cuts", first + 1, CUTS_A_HEAD), lambda cut: cut < F.col("x")))
+    heads = F.filter("cuts", lambda cut, at: at % CUTS_A_HEAD == 0)
+    return counts.crossJoin(F.broadcast(cuts.select("cuts", heads.alias("heads")))).select(
+        "x", "p", "n", (first + fine).alias("part")
+    )
+
+
 def _areas(counts: DataFrame) -> DataFrame:
     """One row with the areas under both curves, from label counts per score.
 
-    Scores are cut into ranges of equal width; running totals need the totals of
-    the ranges above, of which there are RANGES, and a window within a range.
+    Scores are cut into ranges with about as many distinct scores each, however
+    they cluster, at quantiles of the distinct scores. The quantiles are
+    approximate and only say how the work is divided: running totals need the
+    totals of the ranges above, of which there are RANGES, and a window within
+    a range, so the areas are exact wherever the cuts lie.
     """
-    bounds = counts.agg(F.min("x").alias("low"), F.max("x").alias("high"))
-    width = (F.col("high") - F.col("low")) / RANGES
-    place = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("low")) / width), F.lit(RANGES - 1))).otherwise(0)
-    placed = counts.crossJoin(F.broadcast(bounds)).select("x", "p", "n", place.cast("int").alias("part"))
+    placed = ranged(counts)
     sums = placed.groupBy("part").agg(F.sum("p").alias("ps"), F.sum("n").alias("ns"))
     higher = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()

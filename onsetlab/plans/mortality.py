@@ -121,6 +121,7 @@ def build_matrix(
             label=options.label,
             followup=options.followup,
             onset=options.onset,
+            deaths="summed",
         ),
         "cohort",
     )

@@ -167,7 +167,8 @@ def contracts_from_field_list(
     ``fields`` holds one mapping per column with the keys of the field list that
     is published with the data model (``cdmTableName``, ``cdmFieldName``,
     ``isRequired``, ``cdmDatatype``), for example from ``csv.DictReader``. This
-    is how the tables beyond :data:`CONTRACTS` get theirs.
+    is how the tables beyond :data:`CONTRACTS` get theirs, or from the data
+    model's DDL by :func:`contracts_from_ddl`.
     """
     tables: dict[str, list[T.StructField]] = {}
     for field in fields:
@@ -178,6 +179,71 @@ def contracts_from_field_list(
     return {table: T.StructType(columns) for table, columns in tables.items()}
 
 
+_TABLE = re.compile(r"\bcreate\s+table\s+(?:if\s+not\s+exists\s+)?([^\s(]+)\s*\(", re.IGNORECASE)
+_COLUMN = re.compile(r"(\S+)\s+([a-z]+(?:\s+precision)?(?:\s*\([^)]*\))?)(?=\s|$)\s*(.*)", re.IGNORECASE | re.DOTALL)
+_CONSTRAINT = re.compile(r"(?:constraint|primary|foreign|unique|check|index|key)\b", re.IGNORECASE)
+# Other spellings of the types that contracts are declared in.
+_SPELLINGS = {
+    "int": "integer",
+    "double precision": "float",
+    "real": "float",
+    "timestamp": "datetime",
+    "datetime2": "datetime",
+    "text": "varchar(max)",
+}
+
+
+def contracts_from_ddl(text: str) -> dict[str, T.StructType]:
+    """Contracts of the tables that a text of ``CREATE TABLE`` statements declares.
+
+    A table goes by the last part of its name, in lower case. A column is
+    required if it is declared ``NOT NULL`` or ``PRIMARY KEY``, or if it belongs
+    to a table's primary key; other constraints, defaults, comments and
+    statements do not matter. A type that no contract can be declared in is an
+    error that names the column.
+    """
+    text = re.sub(r"--[^\n]*|/\*.*?\*/", " ", text, flags=re.DOTALL)
+    tables: dict[str, T.StructType] = {}
+    for found in _TABLE.finditer(text):
+        table = _name(found.group(1).split(".")[-1])
+        fields, keys = [], set()
+        for part in _parts(text, found.end()):
+            if _CONSTRAINT.match(part):
+                key = re.search(r"\bprimary\s+key\b[^(]*\(([^)]*)\)", part, re.IGNORECASE)
+                keys |= {_name(column.split()[0]) for column in key.group(1).split(",")} if key else set()
+                continue
+            column = _COLUMN.fullmatch(part)
+            if column is None:
+                raise ValueError(f"no column in {part!r} of table {table}")
+            name, declared = _name(column.group(1)), re.sub(r"\s*([(),])\s*", r"\1", column.group(2).lower())
+            declared = _SPELLINGS.get(" ".join(declared.split()), declared)
+            required = re.search(r"\bnot\s+null\b|\bprimary\s+key\b", column.group(3), re.IGNORECASE)
+            fields.append((name, _data_type(name, declared), required is not None))
+        tables[table] = T.StructType([T.StructField(n, t, not (r or n in keys)) for n, t, r in fields])
+    return tables
+
+
+def _name(written: str) -> str:
+    return written.strip("\"`[] \n\t").lower()
+
+
+def _parts(text: str, start: int) -> list[str]:
+    """What stands between the commas of a bracket that opens just before ``start``."""
+    depth, quote, first, parts = 1, False, start, []
+    for at in range(start, len(text)):
+        c = text[at]
+        quote ^= c == "'"
+        if quote:
+            continue
+        depth += (c == "(") - (c == ")")
+        if depth == 0 or depth == 1 and c == ",":
+            parts.append(text[first:at].strip())
+            first = at + 1
+        if depth == 0:
+            return [part for part in parts if part]
+    raise ValueError(f"a bracket stays open after {text[start:start + 40]!r}")
+
+
 def landing_schema(contract: T.StructType) -> T.StructType:
     """The types a contract's columns have on disk.
 
@@ -205,6 +271,38 @@ def typed(df: DataFrame, contract: T.StructType) -> DataFrame:
     )
 
 
+def _faults(field: T.StructField, found: T.DataType) -> list[tuple[str, Column]]:
+    """The rules of one column, and where its value breaks them."""
+    value = F.col(field.name)
+    rules: list[tuple[str, Column]] = []
+    if not field.nullable:
+        rules.append(("required", value.isNull()))
+    if isinstance(field.dataType, T.VarcharType):
+        rules.append(("max_length", F.length(value) > field.dataType.length))
+    if is_date_column(field.name) and isinstance(found, T.StringType):
+        rules.append(("date_format", rejected_date(field.name)))
+    if isinstance(field.dataType, T.NumericType) and isinstance(found, T.StringType):
+        rules.append(("number_format", value.isNotNull() & value.try_cast(field.dataType).isNull()))
+    return rules
+
+
+def broken_rules(df: DataFrame, contract: T.StructType, rules: Iterable[str]) -> Column:
+    """What each row of ``df`` breaks, as an array of ``column: rule``.
+
+    The rules are those of :func:`check_contract` that look at values, of which
+    ``rules`` names the ones that matter.
+    """
+    wanted = set(rules)
+    broken = [
+        F.when(fault, F.lit(f"{field.name}: {rule}"))
+        for field in contract.fields
+        if field.name in df.columns
+        for rule, fault in _faults(field, df.schema[field.name].dataType)
+        if rule in wanted
+    ]
+    return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
+
+
 def _holds(found: T.DataType, wanted: T.DataType) -> bool:
     """Whether a column of type ``found`` can carry the values of a contract's column."""
     if isinstance(found, T.StringType) or found == wanted:
@@ -235,19 +333,10 @@ def check_contract(df: DataFrame, contract: T.StructType, table: str) -> DataFra
             if not field.nullable:
                 broken_columns.append((field.name, "missing_column"))
             continue
-        value, found = F.col(field.name), types[field.name]
+        found = types[field.name]
         if not _holds(found, field.dataType):
             broken_columns.append((field.name, "type"))
-        if not field.nullable:
-            rules.append((field.name, "required", value.isNull()))
-        if isinstance(field.dataType, T.VarcharType):
-            too_long = F.length(value) > field.dataType.length
-            rules.append((field.name, "max_length", too_long))
-        if is_date_column(field.name) and isinstance(found, T.StringType):
-            rules.append((field.name, "date_format", rejected_date(field.name)))
-        if isinstance(field.dataType, T.NumericType) and isinstance(found, T.StringType):
-            malformed = value.isNotNull() & value.try_cast(field.dataType).isNull()
-            rules.append((field.name, "number_format", malformed))
+        rules += [(field.name, rule, fault) for rule, fault in _faults(field, found)]
     if not rules and not broken_columns:
         raise ValueError(f"the contract of {table} has no rule for the given columns")
     counts = df.agg(

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from onsetlab.functions.dates import cast_date_columns
-from onsetlab.sources.contracts import landing_schema
+from onsetlab.sources.contracts import broken_rules, landing_schema, text_schema, typed
+from onsetlab.sources.staging import Stages
 
 # Default databases, and how physical table names are formed.
 PATIENT_DATABASE = "cmsdesynpuf1k"
@@ -48,6 +51,63 @@ def read_landing_csv(
     return reader.options(**{"header": "true", "enforceSchema": "false", **options}).csv(path)
 
 
+@dataclass(frozen=True)
+class Landed:
+    """The rows of a scan that keep their contract, and the records that do not."""
+
+    rows: DataFrame
+    rejects: DataFrame
+
+
+REJECTING = ("number_format", "date_format")
+_FAULTS, _RECORD, _FILE = "_landing_faults", "_landing_record", "_landing_file"
+
+
+def read_landing_with_rejects(
+    spark: SparkSession,
+    path: str,
+    contract: T.StructType,
+    rules: Sequence[str] = REJECTING,
+    stages: Stages | None = None,
+    **options: str,
+) -> Landed:
+    """:func:`read_landing_csv`, with the malformed records in a frame of their own.
+
+    ``rows`` have the landing types, and ``rejects`` are ``file, record,
+    reasons``: the file a record came from, the record as it stands there (put
+    together again from its fields where it has the right number of them) and an
+    array of what is wrong, sorted by the contract's columns. A record with too
+    few or too many fields has the reason ``fields``. ``rules`` are those of
+    :func:`~onsetlab.sources.contracts.check_contract` that a value must not
+    break: ``number_format`` and ``date_format``, and if wished ``required`` and
+    ``max_length``. Every record is in one of the two frames, an empty line in
+    neither.
+
+    With ``stages`` the files are read once, for both frames; without, each of
+    them reads the files when it is used.
+    """
+    if {_FAULTS, _RECORD, _FILE} & set(contract.names):
+        raise ValueError(f"a contract has no columns {_FAULTS}, {_RECORD} or {_FILE}")
+    # As text, so that only the number of fields makes a record malformed; all
+    # columns are read whatever is asked for, or no field would be missed.
+    fixed = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RECORD, "columnPruning": "false"}
+    schema = T.StructType([*text_schema(contract).fields, T.StructField(_RECORD, T.StringType())])
+    reader = spark.read.schema(schema).options(**{"header": "true", "enforceSchema": "false", **options, **fixed})
+    read = reader.csv(path).select("*", F.col("_metadata.file_path").alias(_FILE))
+    fields = F.when(F.col(_RECORD).isNotNull(), F.array(F.lit("fields")))
+    tagged = read.withColumn(_FAULTS, F.coalesce(fields, broken_rules(read, contract, rules)))
+    if stages is not None:
+        tagged = stages.stage(tagged, "landed")
+    shape = {name: options[name] for name in ("sep", "delimiter", "quote", "escape", "nullValue") if name in options}
+    record = F.coalesce(_RECORD, F.to_csv(F.struct(*contract.names), shape))
+    return Landed(
+        typed(tagged.filter(F.size(_FAULTS) == 0).select(*contract.names), contract),
+        tagged.filter(F.size(_FAULTS) > 0).select(
+            F.col(_FILE).alias("file"), record.alias("record"), F.col(_FAULTS).alias("reasons")
+        ),
+    )
+
+
 def patient_table(df: DataFrame) -> DataFrame:
     """A landed patient table with its dates normalised."""
     return cast_date_columns(df)

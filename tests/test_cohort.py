@@ -143,6 +143,46 @@ def test_repeated_occurrences_stay_compact(spark):
     assert select_cohort(*tables, disease_codes=["D1"]).count() == 1500
 
 
+@pytest.mark.parametrize("options", [{"label": "as_written"}, {"label": "as_written", "label_days": 30}, {}, {"followup": "or_death"}], ids=str)
+@pytest.mark.parametrize("seed", [1, 2])
+def test_summed_deaths_keep_target_and_counts(spark, seed, options):
+    members, periods, deaths, _ = random_history(seed)
+    deaths = [*deaths, (0, None), (None, day(3))]
+    tables = frames(spark, members, periods, deaths)
+    each = select_cohort(*tables, disease_codes=["D1"], **options).collect()
+    expected = {}
+    for person, concept, onset, died in each:
+        days, n = expected.get((person, concept, onset), (set(), 0))
+        expected[person, concept, onset] = (days | ({died} - {None}), n + 1)
+    summed = count_cohort(*tables, disease_codes=["D1"], deaths="summed", **options).collect()
+    assert {tuple(r)[:3]: (r.death_date, r.row_count) for r in summed} == {
+        key: (min(days, default=None), n) for key, (days, n) in expected.items()
+    }
+    assert len(summed) == len(expected) and any(r.death_date for r in summed)
+
+
+def test_many_onsets_and_deaths_of_one_person_make_no_pairs(spark):
+    n = 10_000
+    conditions, periods, deaths, categories = frames(spark, [(1, 1, day(0))], [(1, day(-500), day(3 * n))], [])
+    conditions = spark.range(n).selectExpr(
+        "1L AS person_id", "1L AS condition_concept_id", "date_add(DATE'2000-01-01', CAST(id AS INT)) AS condition_start_date"
+    )
+    deaths = spark.range(n).selectExpr("1L AS person_id", "date_add(DATE'2000-01-01', CAST(id AS INT)) AS death_date")
+    cohort = count_cohort(conditions, periods, deaths, categories, disease_codes=["D1"], label="as_written", deaths="summed")
+    assert "death_date" not in " ".join(
+        line for line in cohort._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line
+    )
+    found = {(r.disease_start_date - day(0)).days: (r.death_date, r.row_count) for r in cohort.collect()}
+    assert found == {i: (day(0) if i > 360 else None, max(i - 360, 1)) for i in range(n)}
+
+
+def test_first_onset_as_written(spark):
+    periods = [(1, day(-900), day(2000))]
+    tables = frames(spark, [(1, 1, day(400)), (1, 1, day(500))], periods, [(1, day(20)), (1, day(10)), (1, day(100))])
+    cohort = select_cohort(*tables, disease_codes=["D1"], label="as_written", onset="first")
+    assert rows(cohort) == {(1, 1, day(400), day(10)): 1}
+
+
 def test_options_are_checked(spark):
     tables = frames(spark, [(1, 1, day(0))], [(1, day(-900), day(900))], [])
     for options in (
@@ -150,6 +190,8 @@ def test_options_are_checked(spark):
         {"disease_codes": ["D1"], "disease_ids": [100]},
         {"disease_codes": ["D1"], "label": "later"},
         {"disease_codes": ["D1"], "onset": "last"},
+        {"disease_codes": ["D1"], "deaths": "summed"},
+        {"disease_codes": ["D1"], "deaths": "none"},
         {"disease_codes": ["D1"], "followup": "or_death", "label": "as_written"},
     ):
         with pytest.raises(ValueError):

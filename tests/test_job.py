@@ -89,6 +89,38 @@ def test_areas_are_exact_beyond_a_thousand_scores(spark):
     assert values["true_positive"] == sum(1 for x, y in known if y and x > 0.5)
 
 
+def test_clustered_scores_use_many_ranges(spark, monkeypatch):
+    import random
+
+    from onsetlab.operators import model
+
+    source = random.Random(6)
+    # All scores but one within 1e-9 of each other, and some that are no numbers.
+    close = [(0.3 + i * 2.5e-13, int(source.random() < 0.4)) for i in range(4000)]
+    rows = [*close, *close[:500], (0.9, 1), (float("inf"), 0), (float("-inf"), 1), (float("nan"), 1), (float("nan"), 0)]
+    df = spark.createDataFrame(rows, "risk double, target int")
+    values = {r.name: r.value for r in model.score_metrics(df).collect()}
+    order = lambda x: (x != x, x if x == x else 0)  # noqa: E731  not-a-number is the largest
+    steps = {}
+    for x, y in rows:
+        p, n = steps.get(order(x), (0, 0))
+        steps[order(x)] = (p + y, n + 1 - y)
+    tp = fp = roc = pr = 0
+    p_all, n_all = sum(y for _, y in rows), sum(1 - y for _, y in rows)
+    for at in sorted(steps, reverse=True):
+        p, n = steps[at]
+        here = (tp + p) / (tp + fp + p + n)
+        pr += p * (here + (tp / (tp + fp) if tp + fp else here)) / 2
+        roc += n * (tp + p / 2)
+        tp, fp = tp + p, fp + n
+    assert values["areaUnderROC"] == pytest.approx(roc / (p_all * n_all), abs=1e-12)
+    assert values["areaUnderPR"] == pytest.approx(pr / p_all, abs=1e-12)
+
+    counts = df.groupBy(df.risk.alias("x")).agg({"target": "sum"}).withColumnRenamed("sum(target)", "p").selectExpr("x", "p", "p AS n")
+    sizes = model.ranged(counts).groupBy("part").count().collect()
+    assert len(sizes) > 200 and max(r["count"] for r in sizes) < 100
+
+
 @pytest.mark.parametrize("rows", [[], [(0.5, 1), (0.7, 1)], [(0.5, 0)]])
 def test_areas_of_an_empty_or_one_class_part_are_null(spark, rows):
     from onsetlab.operators.model import score_metrics

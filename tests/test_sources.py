@@ -200,6 +200,128 @@ def test_contracts_from_a_field_list():
         contracts.contracts_from_field_list([dict(zip(keys, ("T", "c", "No", "blob")))])
 
 
+DDL = """
+-- CREATE TABLE commented_out (id integer);
+/* of two
+   lines: CREATE TABLE neither (id integer) */
+CREATE TABLE @schema.WARD (
+    ward_id integer NOT NULL,  -- a key, with a comma
+    ward_concept_id Integer NOT NULL DEFAULT (0),
+    condition_concept_id int NULL,
+    opened_date date DEFAULT '2000-01-01, or so (the first)' NOT NULL,
+    closed_datetime datetime NULL,
+    seen TIMESTAMP,
+    beds float NULL, share double precision, weight real,
+    "offset" varchar ( 50 ) NULL,
+    [note_text] varchar(MAX) CHECK (length(note_text) > 3 AND note_text <> 'a,b'),
+    remark text,
+    big bigint REFERENCES other (id),
+    CONSTRAINT ward_key PRIMARY KEY (ward_id, "big"),
+    FOREIGN KEY (ward_concept_id) REFERENCES concept (concept_id) );
+ALTER TABLE ward ADD CONSTRAINT x UNIQUE (ward_id);
+create table if not exists `db`.`Bed`(bed_id bigint primary key,name varchar(5) not  null)
+"""
+
+
+def test_contracts_from_ddl():
+    built = contracts.contracts_from_ddl(DDL)
+    assert set(built) == {"ward", "bed"}
+    assert [(f.name, f.dataType, f.nullable) for f in built["ward"]] == [
+        ("ward_id", T.LongType(), False),
+        ("ward_concept_id", T.IntegerType(), False),
+        ("condition_concept_id", T.LongType(), True),
+        ("opened_date", T.DateType(), False),
+        ("closed_datetime", T.TimestampNTZType(), True),
+        ("seen", T.TimestampNTZType(), True),
+        ("beds", T.DoubleType(), True),
+        ("share", T.DoubleType(), True),
+        ("weight", T.DoubleType(), True),
+        ("offset", T.VarcharType(50), True),
+        ("note_text", T.StringType(), True),
+        ("remark", T.StringType(), True),
+        ("big", T.LongType(), False),
+    ]
+    assert [(f.name, f.dataType, f.nullable) for f in built["bed"]] == [
+        ("bed_id", T.LongType(), False), ("name", T.VarcharType(5), False),
+    ]
+    assert contracts.contracts_from_ddl("SELECT 1") == {}
+    for wrong in ("CREATE TABLE t (a blob)", "CREATE TABLE t (a)", "CREATE TABLE t (a integer"):
+        with pytest.raises(ValueError):
+            contracts.contracts_from_ddl(wrong)
+
+
+def test_ddl_of_the_contracts_gives_the_contracts():
+    words = {
+        T.LongType(): "bigint", T.IntegerType(): "integer", T.DoubleType(): "float", T.DateType(): "date",
+        T.TimestampNTZType(): "datetime", T.StringType(): "varchar(max)",
+    }
+
+    def declared(field):
+        kind = f"varchar({field.dataType.length})" if isinstance(field.dataType, T.VarcharType) else words[field.dataType]
+        return f"    {field.name} {kind} {'NULL' if field.nullable else 'NOT NULL'}"
+
+    text = ";\n".join(
+        f"CREATE TABLE main.{table.upper()} (\n" + ",\n".join(declared(f) for f in contract) + " )"
+        for table, contract in contracts.CONTRACTS.items()
+    )
+    assert contracts.contracts_from_ddl(text) == contracts.CONTRACTS
+
+
+WARD = contracts.contracts_from_ddl("CREATE TABLE ward (ward_id bigint NOT NULL, beds float, opened_date date, name varchar(5))")["ward"]
+LINES = {
+    "a.csv": ["1,2.5,20200101,east", "2,many,20200101,west", "3,,20200230,", "4,1,20200101", '5,1,20200101,"a,b"'],
+    "b.csv": ["x,y,z,w", "7,1,20200101,west,north", ",1,20200101,none", "9,1,20200101,longer", ""],
+}
+
+
+def land(folder):
+    folder.mkdir(exist_ok=True)
+    for name, lines in LINES.items():
+        (folder / name).write_text("\n".join(["ward_id,beds,opened_date,name", *lines]) + "\n")
+    return str(folder)
+
+
+@pytest.mark.parametrize("staged", [True, False])
+def test_rejects_have_file_record_and_reasons(spark, tmp_path, staged):
+    path = land(tmp_path / "landing")
+    with staging.Stages(spark) as stages:
+        landed = tables.read_landing_with_rejects(spark, path, WARD, stages=stages if staged else None)
+        assert landed.rows.schema == contracts.landing_schema(WARD)
+        good = {(1, 2.5, "20200101", "east"), (5, 1.0, "20200101", "a,b"), (None, 1.0, "20200101", "none"), (9, 1.0, "20200101", "longer")}
+        assert {tuple(r) for r in landed.rows.collect()} == good
+        rejects = {(r.file.rsplit("/", 1)[1], r.record): r.reasons for r in landed.rejects.collect()}
+        assert rejects == {
+            ("a.csv", "2,many,20200101,west"): ["beds: number_format"],
+            ("a.csv", "3,,20200230,"): ["opened_date: date_format"],
+            ("a.csv", "4,1,20200101"): ["fields"],
+            ("b.csv", "x,y,z,w"): ["ward_id: number_format", "beds: number_format", "opened_date: date_format"],
+            ("b.csv", "7,1,20200101,west,north"): ["fields"],
+        }
+        # Whatever is asked of them, every line but the empty one is in one of the two.
+        assert landed.rows.count() + landed.rejects.count() == 9
+        assert landed.rows.select("name").count() == 4 and landed.rejects.select("file").count() == 5
+
+
+def test_rules_say_what_is_rejected(spark, tmp_path):
+    path = land(tmp_path / "landing")
+    strict = tables.read_landing_with_rejects(spark, path, WARD, ["required", "max_length"])
+    assert sorted(r.reasons for r in strict.rejects.collect()) == [
+        ["fields"], ["fields"], ["name: max_length"], ["ward_id: required"],
+    ]
+    # A malformed value that is let through becomes NULL, as in the plain reader.
+    assert (2, None) in {(r.ward_id, r.beds) for r in strict.rows.collect()}
+    none = tables.read_landing_with_rejects(spark, path, WARD, [])
+    assert [r.reasons for r in none.rejects.collect()] == [["fields"]] * 2
+
+
+def test_staged_rejects_read_the_files_once(spark, tmp_path):
+    path = land(tmp_path / "landing")
+    with staging.Stages(spark) as stages:
+        landed = tables.read_landing_with_rejects(spark, path, WARD, stages=stages)
+        for df in (landed.rows, landed.rejects):
+            assert all("job-" in name for name in df.inputFiles())
+
+
 def test_sizes_of_the_contracts():
     sizes = {table: len(contract) for table, contract in contracts.CONTRACTS.items()}
     assert sizes == {
