@@ -2,30 +2,36 @@
 
 Of every ``window`` words the smallest hash of ``gram`` consecutive words is
 kept as fingerprint, on both sides by the same rule. A window that a document
-shares with an item therefore shares a fingerprint with it. Every hit is then
-extended to both sides, word by word; runs of a whole window count.
-
-Benchmark items come to the driver in blocks of at most ``block_bytes``, and
-each block makes one narrow pass over the documents; with one block, the usual
-case, there is one scan, no shuffle and no broadcast beyond the block.
+shares with an item therefore shares a fingerprint with it. The fingerprints of
+both sides are joined; every hit is then extended to the windows around it,
+which are compared word by word with those of the items, and windows that touch
+become one span.
+
+Both sides are made in tasks. A table of bits, of bounded size, spares the join
+the fingerprints that no item has, so texts are never shuffled for it: what is
+shuffled is stretches of at most ``2 * window - gram`` words, once for each
+different text. Tables of the benchmark are copied to the tasks where they are
+measured to fit, and shuffled where not, with frequent keys divided.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from onsetlab.llm.buffers import gram_hashes, slices, span_hashes, utf8, word_spans
+from onsetlab.operators.lookup import BROADCAST_BYTES, lookup_join
+from onsetlab.sources.staging import measured, session_stages
 
 WINDOW = 10
 GRAM = 5
-BLOCK_BYTES = 16 << 20
+#: Binary logarithm of the bits that stand for all fingerprints of a benchmark: 128 KB to 16 MB.
+LEAST_BITS, MOST_BITS = 20, 27
 
 #: Byte to word byte: A-Z become a-z, and 0 stands for every byte between words.
 WORD_BYTES = np.zeros(256, np.uint8)
@@ -56,118 +62,6 @@ def window_minima(words: np.ndarray, rows: np.ndarray, window: int, gram: int) -
     return least[whole], whole
 
 
-@dataclass
-class Fingerprints:
-    """What a task needs of a block of benchmark items."""
-
-    window: int
-    gram: int
-    items: list[tuple[str, list[bytes]]] = field(default_factory=list)
-    places: dict[int, list[tuple[int, int]]] = field(default_factory=dict)
-    short: dict[int, dict[tuple[bytes, ...], list[int]]] = field(default_factory=dict)
-    hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    short_hashes: dict[int, np.ndarray] = field(default_factory=dict)
-
-    def add(self, item_id: str, text: str | None) -> None:
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        codes, starts, ends, rows, hashes = split_words(data, np.array([0, len(data)]))
-        words = [codes[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]
-        if not words:
-            return
-        number = len(self.items)
-        self.items.append((item_id, words))
-        if len(words) < self.window:
-            self.short.setdefault(len(words), {}).setdefault(tuple(words), []).append(number)
-            return
-        least, at = window_minima(hashes, rows, self.window, self.gram)
-        grams = gram_hashes(hashes, self.gram)
-        for value, place in zip(least.tolist(), at.tolist(), strict=True):
-            first = place + int(np.argmin(grams[place : place + self.window - self.gram + 1]))
-            known = self.places.setdefault(value, [])
-            if (number, first) not in known:
-                known.append((number, first))
-
-    def close(self) -> None:
-        self.hashes = np.sort(np.fromiter(self.places, np.uint64, len(self.places)))
-        for size, known in self.short.items():
-            found = []
-            for words in known:
-                text = np.frombuffer(b" ".join(words), np.uint8)
-                hashes = split_words(text, np.array([0, len(text)]))[4]
-                found.append(gram_hashes(hashes, size)[0])
-            self.short_hashes[size] = np.sort(np.array(found, np.uint64))
-
-
-def _among(values: np.ndarray, known: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Positions of the values that are in the sorted ``known``."""
-    maybe = np.flatnonzero(bits[(values >> np.uint64(44)).astype(np.int64)])
-    at = np.minimum(np.searchsorted(known, values[maybe]), len(known) - 1)
-    return maybe[known[at] == values[maybe]]
-
-
-def _bits(known: np.ndarray) -> np.ndarray:
-    bits = np.zeros(1 << 20, bool)
-    bits[(known >> np.uint64(44)).astype(np.int64)] = True
-    return bits
-
-
-class Matcher:
-    """Finds the windows of a block of items in many texts at once."""
-
-    def __init__(self, prints: Fingerprints):
-        self.prints = prints
-        self.bits = _bits(prints.hashes)
-        self.short_bits = {n: _bits(h) for n, h in prints.short_hashes.items()}
-
-    def find(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, dict[int, list], dict[int, set]]:
-        """Words per row; hit word ranges and item numbers of the rows with hits."""
-        p = self.prints
-        codes, starts, ends, rows, hashes = split_words(data, offsets)
-        bounds = np.searchsorted(rows, np.arange(len(offsets)))
-        ranges: dict[int, list[tuple[int, int]]] = {}
-        items: dict[int, set[int]] = {}
-        word = lambda i: codes[starts[i] : ends[i]].tobytes()
-
-        def note(row: int, first: int, last: int, number: int) -> None:
-            ranges.setdefault(row, []).append((first - bounds[row], last - bounds[row]))
-            items.setdefault(row, set()).add(number)
-
-        if len(p.hashes):
-            least, at = window_minima(hashes, rows, p.window, p.gram)
-            grams = gram_hashes(hashes, p.gram)
-            seen: set[int] = set()
-            extended: dict[tuple[int, int], int] = {}
-            for k in _among(least, p.hashes, self.bits).tolist():
-                place = int(at[k])
-                inside = grams[place : place + p.window - p.gram + 1]
-                first = place + int(np.argmin(inside))
-                if first in seen:
-                    continue
-                seen.add(first)
-                row = int(rows[first])
-                low, high = bounds[row], bounds[row + 1]
-                for number, there in p.places[int(least[k])]:
-                    known = p.items[number][1]
-                    if extended.get((number, first - there), -1) > first:
-                        continue
-                    # To the left and to the right, as far as the words agree.
-                    a, b = first, first
-                    while a > low and there - (first - a) > 0 and word(a - 1) == known[there - (first - a) - 1]:
-                        a -= 1
-                    while b < high and there + (b - first) < len(known) and word(b) == known[there + (b - first)]:
-                        b += 1
-                    extended[number, first - there] = b
-                    if b - a >= p.window:
-                        note(row, a, b, number)
-        for size, known in p.short.items():
-            grams = gram_hashes(hashes, size)
-            for first in _among(grams, p.short_hashes[size], self.short_bits[size]).tolist():
-                if rows[first] == rows[first + size - 1]:
-                    for number in known.get(tuple(word(i) for i in range(first, first + size)), ()):
-                        note(int(rows[first]), first, first + size, number)
-        return np.diff(bounds), ranges, items
-
-
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Sorted ranges without overlaps; ranges that touch become one."""
     out: list[tuple[int, int]] = []
@@ -179,23 +73,146 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def fingerprint_blocks(
-    benchmark: DataFrame, item_col: str, text_col: str, window: int, gram: int, block_bytes: int
-) -> Iterator[Fingerprints]:
-    """Blocks of whole items, each of about ``block_bytes`` of text."""
+def _stretches(rows: np.ndarray, hashes: np.ndarray, window: int, gram: int, wanted: Callable) -> Iterator[tuple]:
+    """Fingerprints that are ``wanted``, and the first and last word of the windows that may have chosen them."""
+    least, at = window_minima(hashes, rows, window, gram)
+    kept = np.flatnonzero(wanted(least))
+    grams = gram_hashes(hashes, gram)
+    done = -1
+    for k in kept.tolist():
+        place = int(at[k])
+        first = place + int(np.argmin(grams[place : place + window - gram + 1]))
+        if first != done:
+            # The windows that chose this gram follow each other; the last one begins at it or earlier.
+            done, low = first, place
+            high = min(first, place + window - gram)
+            while high > low and (high + window > len(rows) or rows[high + window - 1] != rows[place]):
+                high -= 1
+            yield int(rows[place]), int(least[k]), low, high + window
+
+
+def _whole(rows: np.ndarray, hashes: np.ndarray, size: int, wanted: Callable) -> Iterator[tuple]:
+    """Runs of ``size`` words of one row whose hash is ``wanted``."""
+    grams = gram_hashes(hashes, size)
+    for first in np.flatnonzero(wanted(grams)).tolist():
+        if rows[first] == rows[first + size - 1]:
+            yield int(rows[first]), int(grams[first]), first, first + size
+
+
+def _signed(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())
+
+
+ITEM_WINDOWS = "item string, size int, print long, window string"
+
+
+def item_windows(benchmark: DataFrame, item_col: str, text_col: str, window: int, gram: int) -> DataFrame:
+    """Each window of each item, once, with its fingerprint; an item of fewer words is one window."""
+
+    def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column("text"))
+            ids = batch.column("item").to_pylist()
+            codes, starts, ends, rows, hashes = split_words(data, offsets)
+            bounds = np.searchsorted(rows, np.arange(len(offsets)))
+            least, at = window_minima(hashes, rows, window, gram)
+            found = [(int(rows[p]), window, int(v), int(p)) for v, p in zip(least, at, strict=True)]
+            for row, size in enumerate(np.diff(bounds).tolist()):
+                if 0 < size < window:
+                    p = int(bounds[row])
+                    found.append((row, size, int(gram_hashes(hashes[p : p + size], size)[0]), p))
+            words = [codes[s:e].tobytes().decode() for s, e in zip(starts, ends, strict=True)]
+            columns = [
+                pa.array([ids[row] for row, *_ in found], pa.string()),
+                pa.array([size for _, size, _, _ in found], pa.int32()),
+                _signed([value for _, _, value, _ in found]),
+                pa.array([" ".join(words[p : p + size]) for _, size, _, p in found], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["item", "size", "print", "window"])
+
     items = benchmark.select(
         F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")
-    ).where("item IS NOT NULL AND text IS NOT NULL").distinct()
-    prints, size = Fingerprints(window, gram), 0
-    for item, text in items.toLocalIterator():
-        prints.add(item, text)
-        size += len(text.encode())
-        if size >= block_bytes:
-            prints.close()
-            yield prints
-            prints, size = Fingerprints(window, gram), 0
-    prints.close()
-    yield prints
+    ).where("item IS NOT NULL AND text IS NOT NULL")
+    return items.mapInArrow(build, ITEM_WINDOWS).distinct()
+
+
+def _bits(windows: DataFrame) -> tuple[int, bytes]:
+    """A table of bits, one for each leading part of a fingerprint that occurs, and the length of those parts."""
+    size = min(max(LEAST_BITS, measured(windows)["rows"].bit_length() + 6), MOST_BITS)
+    slot = F.shiftrightunsigned("print", 64 - size) + 1
+    parts = windows.groupBy(F.bitmap_bucket_number(slot).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
+    )
+    table = np.zeros(1 << (size - 3), np.uint8)
+    for part, bits in parts.collect():
+        table[(part - 1) * len(bits) : part * len(bits)] = np.frombuffer(bits, np.uint8)
+    return size, table.tobytes()
+
+
+HITS = "key string, print long, size int, first long, stretch string"
+
+
+def document_hits(texts: DataFrame, size: int, bits: bytes, short: list[int], window: int, gram: int) -> DataFrame:
+    """Stretches of words around the fingerprints that the bits know; each different text once."""
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").view(bool)
+        wanted = lambda values: known[(values >> np.uint64(64 - size)).astype(np.int64)]
+        for batch in batches:
+            data, offsets = utf8(batch.column("text"))
+            keys = batch.column("key").to_pylist()
+            for a, b in slices(offsets):
+                own = offsets[a : b + 1] - offsets[a]
+                codes, starts, ends, rows, hashes = split_words(data[offsets[a] : offsets[b]], own)
+                bounds = np.searchsorted(rows, np.arange(len(own)))
+                found = [(window, *hit) for hit in _stretches(rows, hashes, window, gram, wanted)]
+                for n in short:
+                    found += [(n, *hit) for hit in _whole(rows, hashes, n, wanted)]
+                if found:
+                    columns = [
+                        pa.array([keys[a + row] for _, row, *_ in found], pa.string()),
+                        _signed([value for _, _, value, _, _ in found]),
+                        pa.array([n for n, *_ in found], pa.int32()),
+                        pa.array([low - int(bounds[row]) for _, row, _, low, _ in found], pa.int64()),
+                        pa.array(
+                            [
+                                " ".join(codes[starts[i] : ends[i]].tobytes().decode() for i in range(low, high))
+                                for _, _, _, low, high in found
+                            ],
+                            pa.string(),
+                        ),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "print", "size", "first", "stretch"])
+
+    return texts.mapInArrow(find, HITS).distinct()
+
+
+def _windows_of(stretch: str, size: str, first: str) -> Column:
+    """The windows of a stretch, and the words they begin and end with."""
+    words = F.split(stretch, " ")
+    one = lambda i: F.struct(
+        F.array_join(F.slice(words, i + 1, F.col(size)), " ").alias("window"),
+        (F.col(first) + i).alias("first"),
+        (F.col(first) + i + F.col(size)).alias("last"),
+    )
+    return F.transform(F.sequence(F.lit(0), F.size(words) - F.col(size)), one)
+
+
+SPANS = "array<struct<first:long,last:long>>"
+
+
+def _merged_spans(spans: pd.Series) -> pd.Series:
+    return spans.map(lambda of: [{"first": a, "last": b} for a, b in merged([(s["first"], s["last"]) for s in of])])
+
+
+def _word_counts(texts: pd.Series) -> pd.Series:
+    data, offsets = utf8(pa.array(texts, pa.large_string()))
+    counts = [np.zeros(0, np.int64)]
+    for a, b in slices(offsets):
+        own = offsets[a : b + 1] - offsets[a]
+        rows = word_spans(WORD_BYTES[data[offsets[a] : offsets[b]]] != 0, own)[2]
+        counts.append(np.bincount(rows, minlength=b - a))
+    return pd.Series(np.concatenate(counts))
 
 
 def find_contamination(
@@ -206,7 +223,7 @@ def find_contamination(
     item_text_col: str = "text",
     window: int = WINDOW,
     gram: int = GRAM,
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """All columns of ``docs`` and ``found``: n_words, hit word spans, item ids.
 
@@ -216,41 +233,47 @@ def find_contamination(
     Null and empty texts have no words. Items with a null id or no words take
     no part; rows of one item id count as one item. Repeated documents are
     judged each for itself. A column of ``docs`` named ``found`` is replaced.
+
+    Tables of up to ``block_bytes`` are copied to the tasks. Texts are told
+    apart by their SHA-256.
     """
     if not 1 <= gram <= window:
         raise ValueError("a window must hold at least one gram")
-    schema = "n_words long, spans array<struct<first:long,last:long>>, items array<string>"
-    found = None
-    for prints in fingerprint_blocks(benchmark, item_col, item_text_col, window, gram, block_bytes):
-        part = F.pandas_udf(_finder(prints), schema)(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-        docs = docs.withColumn("found" if found is None else "_more", part)
-        if found is not None:
-            docs = docs.withColumn("found", F.pandas_udf(_both, schema)("found", "_more")).drop("_more")
-        found = "found"
-    return docs
-
-
-def _finder(prints: Fingerprints):
-    def find(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        matcher = Matcher(prints)
-        for series in texts:
-            data, offsets = utf8(pa.array(series, pa.large_string()))
-            counts, spans, items = [], [[] for _ in range(len(series))], [[] for _ in range(len(series))]
-            for a, b in slices(offsets):
-                n, ranges, numbers = matcher.find(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                counts.append(n)
-                for row, hit in ranges.items():
-                    spans[a + row] = [{"first": x, "last": y} for x, y in merged(hit)]
-                    items[a + row] = sorted({prints.items[i][0] for i in numbers[row]})
-            yield pd.DataFrame({"n_words": np.concatenate([np.zeros(0, np.int64), *counts]), "spans": spans, "items": items})
-
-    return find
-
-
-def _both(left, right):
-    rows = zip(left.to_dict("records"), right.to_dict("records"), strict=True)
-    out = []
-    for a, b in rows:
-        ranges = [(s["first"], s["last"]) for x in (a, b) for s in x["spans"]]
-        out.append((a["n_words"], [{"first": x, "last": y} for x, y in merged(ranges)], sorted({*a["items"], *b["items"]})))
-    return pd.DataFrame(out, columns=["n_words", "spans", "items"])
+    stages = session_stages(docs.sparkSession)
+    windows = stages.stage(item_windows(benchmark, item_col, item_text_col, window, gram), "item_windows")
+    short = sorted(size for (size,) in windows.where(F.col("size") < window).select("size").distinct().collect())
+
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    texts = docs.select(F.sha2(text, 256).alias("key"), text.alias("text"))
+    hits = document_hits(texts, *_bits(windows), short, window, gram)
+    # The join of the fingerprints, and the windows around those that both sides have.
+    prints = windows.select("print").distinct()
+    met = lookup_join(hits, prints, "print", "left_semi", ["key", "first"], block_bytes)
+    around = met.select("key", F.explode(_windows_of("stretch", "size", "first")).alias("w")).select("key", "w.*").distinct()
+    same = lookup_join(around, windows.select("window").distinct(), "window", "left_semi", ["key", "first"], block_bytes)
+    same = stages.stage(same, "shared_windows")
+
+    spans = same.select("key", "first", "last").distinct().groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+    named = lookup_join(
+        same.select("key", "window").distinct(), windows.select("window", "item").distinct(), "window", "inner", ["key"], block_bytes
+    )
+    items = named.select("key", "item").distinct().groupBy("key").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    # As text, whose size is measured before it is copied anywhere.
+    found = spans.join(items, "key").select("key", F.to_json(F.struct(F.pandas_udf(_merged_spans, SPANS)("spans").alias("spans"), "items")).alias("hits"))
+
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "found"]).alias("row"),
+        F.pandas_udf(_word_counts, "long")(text).alias("n_words"),
+        F.sha2(text, 256).alias("key"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    judged = lookup_join(rows, stages.stage(found, "found"), "key", "left", ["place"], block_bytes)
+    parts = F.from_json("hits", f"spans {SPANS}, items array<string>")
+    return judged.select(
+        "row.*",
+        F.struct(
+            "n_words",
+            F.coalesce(parts["spans"], F.array().cast(SPANS)).alias("spans"),
+            F.coalesce(parts["items"], F.array().cast("array<string>")).alias("items"),
+        ).alias("found"),
+    )
