@@ -626,3 +626,37 @@ def test_contamination(spark, docs, nothing, block_bytes):
     assert decontaminate.find_contamination(df, bench.limit(0)).where("size(found.items) > 0").count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [64 << 20, 0])
+def test_contamination_of_shared_passages_and_ties(spark, block_bytes):
+    source = random.Random(11)
+    passage = " ".join(f"p{n}" for n in range(20))
+    # One passage in many items, a common run of words, and items of few different words.
+    items = [(f"i{n}", f"{passage} own{n}") for n in range(300)] + [("a,b", "x " * 25), ("xy", "x y " * 9), ('q"', "y")]
+    rows = [(1, passage), (1, passage), (2, passage[:20]), (3, "x " * 9), (4, "x " * 40 + "z " + "y x " * 8), (5, None)]
+    rows += [(100 + n, " ".join(source.choices("xyz", k=40))) for n in range(40)]
+    rows += [(200, "z " * 3000 + passage.upper() + " z" * 3000)]
+    names = "doc_id long, text string, key string, place long, row int, hits string, n_words long"
+    df = spark.createDataFrame([(i, t, "k", 5, 6, "h", -1) for i, t in rows], names)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    found = decontaminate.find_contamination(df, bench, block_bytes=block_bytes)
+    assert found.columns == [*df.columns, "found"]
+    got = Counter()
+    for r in found.collect():
+        assert (r["key"], r["place"], r["row"], r["hits"], r["n_words"]) == ("k", 5, 6, "h", -1)
+        spans = [(s["first"], s["last"]) for s in r["found"]["spans"]]
+        assert spans == decontaminate.merged(spans)
+        got[r["doc_id"], r["found"]["n_words"], tuple(i for a, b in spans for i in range(a, b)), tuple(r["found"]["items"])] += 1
+    expected = Counter()
+    known = {item: text.split() for item, text in items}
+    for i, text in rows:
+        own, hit, met = (text or "").lower().split(), set(), set()
+        for item, other in known.items():
+            n = min(len(other), 10)
+            windows = {tuple(other[k : k + n]) for k in range(len(other) - n + 1)}
+            for k in range(len(own) - n + 1):
+                if tuple(own[k : k + n]) in windows:
+                    hit.update(range(k, k + n))
+                    met.add(item)
+        expected[i, len(own), tuple(sorted(hit)), tuple(sorted(met))] += 1
+    assert got == expected
+    assert sum(len(items) > 290 for *_, items in got.elements()) == 3
