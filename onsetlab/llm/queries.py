@@ -92,9 +92,9 @@ def op4_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     held_out = _remainder("doc_id", 10) == 0
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    model = lm.fit(docs.where(~held_out), ranks, public_tokenizers.PATTERN)
-    return lm.score_texts(docs, ~held_out, model, ranks, public_tokenizers.PATTERN).select(
-        "doc_id", (~F.col("taught")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    corpus = lm.pack(docs, ~held_out, ranks, public_tokenizers.PATTERN)
+    return lm.score_corpus(corpus, lm.fit_corpus(corpus)).select(
+        F.col("id").alias("doc_id"), (~F.col("taught")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
 
 

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -27,6 +28,7 @@ from onsetlab.llm import (
     toxicity,
     url_filter,
 )
+from onsetlab.llm.buffers import utf8
 from onsetlab.llm.components import components
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -246,7 +248,30 @@ def test_language_model_counts_and_scores(docs, nothing):
     assert lm.fit(nothing, RANKS, PATTERN) is not None
 
 
+def test_words_and_spellings_equal_plain_ones():
+    texts = [b"", b" Ab c\x0bd\x00 ab\t", "caf\u00e9 \u00a0 x\u2003y Z\u00c4".encode(), b"it's 42% ...", b"\n \r", b"ab" * 300]
+    data, offsets = utf8(pa.array([t.decode() for t in texts]))
+    known, numbers, lengths = lm.words_in(data, offsets)
+    plain = [t.lower().split() for t in texts]
+    assert [known[i] for i in numbers] == [w for own in plain for w in own]
+    assert lengths.tolist() == [len(own) for own in plain] and len(set(known)) == len(known)
+    subwords = lm.Subwords(RANKS, PATTERN)
+    for words in (known, [w for w in known if w.isascii()], []):
+        ids, sizes = lm.spelled(words, subwords)
+        expected = [*map(subwords.ids, words), [subwords.end]]
+        assert ids.tolist() == [i for own in expected for i in own] and sizes.tolist() == [len(own) for own in expected]
+    x, y, start = lm.stream(numbers, lengths, len(known))
+    end = len(known)
+    assert y.tolist() == [n for own in plain for n in [*(known.index(w) for w in own), end]]
+    assert x.tolist() == [n for own in plain for n in [end, *(known.index(w) for w in own)]]
+    assert len(start) == len(x) and all(x[s] == end for s in start.tolist())
+    for values in ([], [0], [255, 256], [1 << 40, 3]):
+        assert lm._unpacked(lm._packed(np.array(values, np.int64))).tolist() == values
+
+
 def test_language_model_gathers_from_all_documents(spark):
+    from pyspark.sql import functions as F
+
     source = random.Random(13)
     words = [w for w in ("unhappily", "rewriting", "zymurgical", "quixotically", "the", "of", "xylophonist")]
     rows = [(i, " ".join(source.choices(words[:6], k=12))) for i in range(2300)]
@@ -262,7 +287,7 @@ def test_language_model_gathers_from_all_documents(spark):
             pairs.update(zip(own, own[1:]))
     space = len(model.number)
     assert {(p // space, p % space): n for p, n in zip(model.pairs.tolist(), model.pair_counts.tolist())} == pairs
-    gathered = lm.gather(df.select("text"), RANKS, PATTERN)
+    gathered = lm.gather(lm.pack(df, F.lit(True), RANKS, PATTERN))
     assert {i: n for i, n in enumerate(gathered.by_id[:, -3].tolist()) if n and i != subwords.end} == ids
     assert gathered.by_id[subwords.end, -3] == len(rows)
     first = attention.untrained(gathered)
