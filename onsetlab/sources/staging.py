@@ -55,6 +55,7 @@ class Stages:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{scratch_dir(spark)}/job-{uuid.uuid4().hex}"
+        self.others: list[str] = []
 
     def __enter__(self) -> Stages:
         return self
@@ -63,7 +64,11 @@ class Stages:
         self.close()
 
     def close(self) -> None:
-        remove_folders(self.spark, [self.root])
+        remove_folders(self.spark, [self.root, *self.others])
+
+    def also_remove(self, folder: str) -> None:
+        """Remove a folder written by other means, too, when the job is over."""
+        self.others.append(folder)
 
     def path(self, name: str) -> str:
         """A path of its own, whatever else has the name."""

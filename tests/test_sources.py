@@ -425,3 +425,12 @@ def test_scratch_folder_is_the_sessions_own():
         staging.scratch_dir(FakeSession(None, FakeContext("yarn")))
     local = FakeSession(None, FakeContext("local[2]"))
     assert staging.scratch_dir(local) == staging.scratch_dir(local) == local.sparkContext.folder
+
+
+def test_stages_remove_folders_written_by_other_means(spark, tmp_path):
+    other = tmp_path / "other"
+    with staging.Stages(spark) as stages:
+        spark.range(3).write.parquet(str(other))
+        stages.also_remove(str(other))
+        assert other.exists()
+    assert not other.exists()
