@@ -10,6 +10,7 @@ rest of the text, so the count never depends on where the chunks lie.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -50,27 +51,47 @@ def common_place(left: list[Token], right: list[Token], start: int) -> tuple[int
     return None
 
 
-def encode_long(
-    model, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS
-) -> list[Token]:
-    """The tokens of a text of any length; no chunk is longer than it has to be."""
+def splice(
+    model, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, reach: int | None = None
+) -> tuple[int, list[Token]]:
+    """The tokens of a text of any length: how many were let go, and those after them.
+
+    Kept are those that begin in the last ``reach`` characters (null: all). An
+    overlap that has to be widened beyond them is the whole text so far, and no
+    chunk is longer than it has to be otherwise.
+    """
     end = min(chunk, len(text))
-    done = tokens_with_offsets(model, text[:end])
+    gone, floor, done = 0, 0, tokens_with_offsets(model, text[:end])
     while end < len(text):
         width = overlap
         while True:
-            start = max(0, end - width)
+            start = end - width if end - width > floor else 0
             stop = min(len(text), end + chunk)
             part = tokens_with_offsets(model, text[start:stop], start)
             if start == 0:
-                done = part
+                gone, floor, done = 0, 0, part
                 break
             if place := common_place(done, part, start):
                 done = done[: place[0]] + part[place[1] :]
                 break
             width *= 2
         end = stop
-    return done
+        if reach is not None and end - reach > floor:
+            floor = end - reach
+            here = bisect_left(done, floor, key=lambda t: t[0])
+            gone, done = gone + here, done[here:]
+    return gone, done
+
+
+def encode_long(model, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> list[Token]:
+    """The tokens of a text of any length."""
+    return splice(model, text, chunk, overlap)[1]
+
+
+def count_long(model, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, reach: int | None = None) -> int:
+    """How many tokens a text of any length has; of these only the last ones are held (``reach``, or a chunk)."""
+    gone, last = splice(model, text, chunk, overlap, max(chunk, overlap) if reach is None else reach)
+    return gone + len(last)
 
 
 def count_tokens(
@@ -103,7 +124,7 @@ def count_tokens(
                     counts[first + i] = len(ids)
                 for i, text in enumerate(part):
                     if len(text) > chunk:
-                        counts[first + i] = len(encode_long(model, text, chunk, overlap))
+                        counts[first + i] = count_long(model, text, chunk, overlap)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pc.binary_length(texts).cast(pa.int64()), pa.array(counts, pa.int64())],
                 ["id", "n_bytes", "n_tokens"],
