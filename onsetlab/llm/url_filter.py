@@ -26,6 +26,8 @@ SOFT_TERMS = (
     "track", "win",
 )
 SOFT_HITS = 2
+#: A greater vocabulary is not copied to the tasks.
+VOCABULARY_BYTES = 4 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -72,14 +74,15 @@ class Vocabulary:
     def __init__(self, strict: Sequence[str], soft: Sequence[str]):
         self.automaton = ahocorasick.Automaton()
         for weight, terms in ((1, soft), (2, strict)):
-            for term in terms:
+            for term in filter(None, terms):
                 self.automaton.add_word(term, (term, weight))
-        self.automaton.make_automaton()
+        if len(self.automaton):
+            self.automaton.make_automaton()
 
     def hits(self, text: str) -> tuple[list[str], list[str]]:
         """The different strict and soft terms of a text, each list in order."""
         found: dict[int, set[str]] = {1: set(), 2: set()}
-        for last, (term, weight) in self.automaton.iter(text):
+        for last, (term, weight) in self.automaton.iter(text) if len(self.automaton) else ():
             first = last - len(term) + 1
             if not (first and _joins(text[first - 1])) and not (
                 last + 1 < len(text) and _joins(text[last + 1])
@@ -88,6 +91,32 @@ class Vocabulary:
         return sorted(found[2]), sorted(found[1])
 
 
+def weighted_terms(
+    table: DataFrame, strict_from: float, term_col: str = "term", weight_col: str = "weight", max_bytes: int = VOCABULARY_BYTES
+) -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """Strict and soft terms of a table of weighted terms, for ``judge_urls``.
+
+    A term is strict from a weight of ``strict_from`` on and soft below it; one
+    without a weight, or of a weight of 0 or less, is none. A-Z are lower-cased;
+    of repeated terms the greatest weight holds; null and empty terms are left
+    out. The automaton travels to every task, so a table of more than
+    ``max_bytes`` of terms is refused, and nothing of it is collected.
+    """
+    term = F.translate(F.col(term_col).cast("string"), _UPPER, _LOWER)
+    terms = (
+        table.select(term.alias("term"), F.col(weight_col).cast("double").alias("weight"))
+        .where("term <> '' AND weight > 0 AND NOT isnan(weight)")
+        .groupBy("term")
+        .agg(F.max("weight").alias("weight"))
+    )
+    size = terms.agg(F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()[0]
+    if size > max_bytes:
+        raise ValueError(f"the vocabulary has {size} bytes of terms, more than {max_bytes}")
+    rows = sorted((r["term"], r["weight"]) for r in terms.collect())
+    strict = tuple(own for own, weight in rows if weight >= strict_from)
+    return strict, tuple(own for own, weight in rows if weight < strict_from)
+
+
 def _joins(char: str) -> bool:
     return char.isascii() and char.isalnum()
 
@@ -104,8 +133,11 @@ def judge_urls(
     """One row per input row: id, host, path, rule, verdict, strict and soft terms found.
 
     A null or empty URL has no rule and no term and is allowed. Terms are
-    looked for in the whole URL with A-Z lower-cased. Rules and terms are
-    parameters, so their number is the caller's; they travel with the plan.
+    looked for in the whole URL, however long, with A-Z lower-cased. Repeated
+    rows are judged each; an empty table gives no rows. Other columns are not
+    read, whatever their names. Rules and terms are parameters, so their number
+    is the caller's; they travel with the plan (``weighted_terms`` reads terms
+    from a table). A term of both kinds is strict.
     """
     built: list[Vocabulary] = []
 

@@ -84,6 +84,15 @@ def test_spliced_chunks_are_the_whole_encoding(chunk, overlap):
     texts = ["a" * 999, "ab" * 400, " " * 700, "".join(source.choices("ab cé日😀\n", k=2000)), "".join(source.choices("thering", k=2000))]
     for text in texts:
         assert [t[2] for t in token_counts.encode_long(model, text, chunk, overlap)] == model.encode(text)
+        for reach in (None, overlap, 3 * chunk):
+            assert token_counts.count_long(model, text, chunk, overlap, reach) == len(model.encode(text))
+
+
+def test_few_tokens_of_a_huge_text_are_held():
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    text = " ".join(random.Random(3).choices(["river", "stone", "walks", "unhappily", "42"], k=60_000))
+    gone, last = token_counts.splice(model, text, 4096, 256, 4096)
+    assert gone + len(last) == len(model.encode(text)) and len(last) <= 4096
 
 
 # Byte-level BPE
@@ -376,6 +385,39 @@ def test_url_verdicts(spark):
     judged = url_filter.judge_urls(df, rules).drop("strict_terms", "soft_terms")
     assert sorted(map(tuple, judged.collect())) == sorted((i, *rest) for i, _, *rest in cases)
     assert url_filter.judge_urls(df.limit(0), rules).count() == 0
+    twice = url_filter.judge_urls(df.union(df), rules).drop("strict_terms", "soft_terms")
+    assert Counter(map(tuple, twice.collect())) == Counter((i, *rest) for i, _, *rest in cases for _ in range(2))
+
+
+def test_url_verdicts_of_very_long_urls(spark):
+    clean = "http://x.net/" + "a/freedom/" * 100_000
+    df = spark.createDataFrame([(1, clean), (2, clean + "poker"), (3, clean + "free?a=win"), (4, clean + "free?free")], "page_id int, url string")
+    judged = {r["page_id"]: r for r in url_filter.judge_urls(df, []).collect()}
+    assert [judged[i]["verdict"] for i in (1, 2, 3, 4)] == ["allow", "block", "block", "allow"]
+    assert judged[3]["soft_terms"] == ["free", "win"] and judged[2]["path"] == clean[len("http://x.net") :] + "poker"
+
+
+def test_url_vocabulary_from_a_weighted_table(spark):
+    rows = [("Poker", 3.0), ("poker", 0.5), ("win", 1.0), ("free", 2.9), ("none", 0.0), ("odd", None), ("", 5.0), (None, 5.0), ("nan", float("nan"))]
+    table = spark.createDataFrame([(t, w, "x") for t, w in rows], "term string, weight double, other string")
+    strict, soft = url_filter.weighted_terms(table, 3.0)
+    assert (strict, soft) == (("poker",), ("free", "win"))
+    df = spark.createDataFrame([(1, "h://a/POKER"), (2, "h://a/win-win"), (3, "h://win.a/free"), (4, "h://none/odd")], "page_id int, url string")
+    judged = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(df, [], strict=strict, soft=soft).collect()}
+    assert judged == {1: "block", 2: "allow", 3: "block", 4: "allow"}
+    assert url_filter.weighted_terms(table.limit(0), 3.0) == ((), ())
+    assert {r["verdict"] for r in url_filter.judge_urls(df, [], strict=(), soft=()).collect()} == {"allow"}
+    with pytest.raises(ValueError, match="bytes of terms"):
+        url_filter.weighted_terms(table, 3.0, max_bytes=10)
+
+
+def test_checkpoints_are_noted_for_removal(spark):
+    from onsetlab.llm.scratch import cut, written_to
+    from onsetlab.sources.staging import session_stages
+
+    done = cut(spark.range(5).selectExpr("id * 2 AS a"))
+    assert sorted(r["a"] for r in done.collect()) == [0, 2, 4, 6, 8]
+    assert written_to(done) in session_stages(spark).others
 
 
 # Similar documents
