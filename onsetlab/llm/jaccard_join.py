@@ -42,7 +42,7 @@ from onsetlab.llm.blocks import (
     shard_notes,
     unpack,
 )
-from onsetlab.llm.buffers import gram_hashes, slices, span_hashes, utf8, word_spans
+from onsetlab.llm.buffers import gram_hashes, release, slices, span_hashes, utf8, word_spans
 from onsetlab.llm.components import components
 from onsetlab.llm.quality import LOWER
 from onsetlab.llm.scratch import cut
@@ -243,7 +243,7 @@ def link_documents(
         ids, _, sets = _without_copies(docs, table)
         values = np.concatenate([np.zeros(0, np.uint64), *sets])
         owner = np.repeat(ids, [len(s) for s in sets])
-        return shard_notes(values, owner, docs.column("block")[0].as_py() if docs.num_rows else -1, shards)
+        return release(shard_notes(values, owner, docs.column("block")[0].as_py() if docs.num_rows else -1, shards))
 
     def order(docs: pa.Table, table: pa.Table) -> pa.Table:
         ids, sizes, sets = _without_copies(docs, table)
@@ -259,13 +259,13 @@ def link_documents(
                 for column, value in zip(kept, (own, n, head.astype(np.int64), held.tobytes()), strict=True):
                     column.append(value)
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
-        return pa.table([pa.array(c, k) for c, k in zip(kept, kinds, strict=True)], ["id", "n", "head", "tokens"])
+        return release(pa.table([pa.array(c, k) for c, k in zip(kept, kinds, strict=True)], ["id", "n", "head", "tokens"]))
 
     hits = (
         by_block.cogroup(copies.groupBy("block"))
         .applyInArrow(hold, NOTES)
         .groupBy("block")
-        .applyInArrow(lambda table: repeated_notes(table), NOTES)
+        .applyInArrow(lambda table: release(repeated_notes(table)), NOTES)
     )
     sets = cut(
         by_block.cogroup(hits.unionByName(copies).groupBy("block")).applyInArrow(
@@ -337,8 +337,8 @@ def _without_copies(docs: pa.Table, table: pa.Table) -> tuple[np.ndarray, np.nda
     ids, sizes = docs.column("id").to_numpy(), docs.column("n").to_numpy()
     keys = docs.column("key")
     own = np.flatnonzero(~copies_in(table, ids, lambda i: keys[i].as_py()))
-    tokens = docs.column("tokens").to_pylist()
-    return ids[own], sizes[own], [np.unique(unpack(tokens[i])) for i in own]
+    tokens = docs.column("tokens")
+    return ids[own], sizes[own], [np.unique(unpack(tokens[i].as_py())) for i in own.tolist()]
 
 
 def _between_blocks(dealt, named, seated, similar, cell_rows) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -485,6 +486,22 @@ def test_linked_documents_of_an_id_with_two_texts(spark):
     assert all(find(r["doc_id"]) == r["component_id"] for r in found)
 
 
+def test_a_block_of_copies_unpacks_no_copy():
+    packed = jaccard_join.pack(np.arange(1 << 17, dtype=np.uint64))
+    rows, keys = range(32), [bytes([i]) * 16 for i in range(32)]
+    docs = pa.table({"id": [*rows], "n": [1 << 17] * 32, "key": keys, "tokens": [packed] * 32})
+    copies = [(0, "copies", np.arange(1, 32).tobytes(), b"".join(keys[1:]), b"")]
+    table = pa.table(dict(zip(["block", "kind", "first", "second", "third"], map(list, zip(*copies)))))
+    tracemalloc.start()
+    try:
+        ids, sizes, sets = jaccard_join._without_copies(docs, table)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (ids.tolist(), sizes.tolist(), len(sets[0])) == ([0], [1 << 17], 1 << 17)
+    assert most < 16 * len(packed)
+
+
 def test_linking_nothing(nothing):
     assert jaccard_join.link_documents(nothing).count() == 0
 
