@@ -172,6 +172,38 @@ def test_a_machine_local_folder_is_refused_on_a_cluster(spark, monkeypatch):
         staging.scratch_dir(Cluster())
 
 
+class SharedCluster:
+    """The test session as if on a cluster, with a checkpoint folder named without a scheme."""
+
+    def __init__(self, spark, folder):
+        own = spark.sparkContext
+        self.sparkContext = type("C", (), {
+            "master": "spark://host:7077", "applicationId": f"app-{folder}", "defaultParallelism": own.defaultParallelism,
+            "getCheckpointDir": staticmethod(lambda: None),
+        })
+        self.conf = {staging.CHECKPOINT_SETTING: folder}
+        self.range, self.read, self._jsc, self._jvm = spark.range, spark.read, spark._jsc, spark._jvm
+
+
+def test_a_folder_without_a_scheme_that_all_machines_share_is_taken(spark, tmp_path):
+    shared = SharedCluster(spark, str(tmp_path))
+    stages = staging.Stages(shared)
+    assert stages.root.startswith(f"{tmp_path}/job-")
+    staged = stages.stage(spark.range(3), "numbers")
+    assert plain(staged) == {(i,): 1 for i in range(3)}
+    stages.close()
+    assert not list(tmp_path.iterdir())
+
+
+def test_a_folder_that_loses_what_tasks_write_is_refused(spark, tmp_path):
+    lossy = SharedCluster(spark, str(tmp_path))
+    # Half of the tasks write to a disk of their own: the driver does not find their rows.
+    lossy.range = lambda first, last, step, parts: spark.range(first, last // 2, step, parts)
+    with pytest.raises(RuntimeError, match="own disk"):
+        staging.scratch_dir(lossy)
+    assert not list(tmp_path.iterdir())
+
+
 def test_contracts_from_a_field_list():
     fields = [
         ("VISIT_OCCURRENCE", "visit_occurrence_id", "Yes", "integer"),
