@@ -8,8 +8,8 @@ be found anchor by anchor:
    one document only are forgotten.
 2. The stretches of text around the other anchors go to the shard of their
    anchor, each different stretch of a block once.
-3. A shard sorts the suffixes of its stretches, takes common prefixes of
-   neighbours and walks the tree of common-prefix intervals with a stack. An
+3. A shard sorts the suffixes of its stretches, but for those whose first
+   ``length`` bytes one document alone has, takes common prefixes of neighbours and walks the tree of common-prefix intervals with a stack. An
    interval whose suffixes differ in the byte to their left is a maximal repeat;
    its occurrences are all suffixes of the interval, and the smallest document
    among them owns it. Where an anchor has more windows than a shard should
@@ -58,6 +58,8 @@ ANCHOR_WINDOWS = 1 << 17
 #: Stretches are no longer than this, unless windows are: one multiplication a byte tells them apart.
 LONGEST_PLAIN = 128
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: The first 0 to 8 bytes of a big-endian number.
+_LEADING = np.array([(1 << 64) - (1 << (64 - 8 * i)) for i in range(9)], np.uint64)
 
 
 def window_anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> np.ndarray:
@@ -138,45 +140,46 @@ def sorted_suffixes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, e
     """The order of suffixes of strings, and what each shares with the one before it in that order.
 
     ``data`` holds the strings one after another, ``ends`` where each byte's
-    string ends; a suffix begins at ``starts`` and counts ``lengths`` bytes. Ranks
-    of the first 8 bytes at every place are doubled to 16, 32 and so on, so a
-    suffix is a few numbers and never copied. Past its end a string counts as
-    zeros up to the next such piece and then as less than anything.
+    string ends; a suffix begins at ``starts`` and counts ``lengths`` bytes. Every
+    8 bytes of the strings are a number with a rank, so a suffix is a few ranks,
+    several in a key. Past its end a string counts as zeros up to the next such
+    piece and then as less than anything.
     """
     n, width = len(data), int(lengths.max(initial=1))
-    left = (ends - np.arange(n)).astype(np.int32)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    words = np.zeros(n, np.uint64)
-    for j in range(8):
-        words <<= np.uint64(8)
-        words |= np.where(left > j, padded[j : n + j], 0).astype(np.uint64)
-    levels: list[tuple[int, np.ndarray]] = []
-    size, pairs = 8, words
-    while True:
-        # 0 is for what lies past the end.
-        ranks = np.unique(pairs, return_inverse=True)[1].astype(np.int32) + 1
-        levels.append((size, ranks))
-        second = np.zeros(n, np.int32)
-        second[: max(n - size, 0)] = np.where(left[: max(n - size, 0)] > size, ranks[size:], 0)
-        if 2 * size >= width:
-            break
-        pairs, size = ranks.astype(np.int64) << 32 | second, 2 * size
-    order = np.lexsort((second[starts], ranks[starts]))
+    words = np.lib.stride_tricks.sliding_window_view(padded, 8)[:n].copy().view(">u8").ravel().astype(np.uint64)
+    words &= _LEADING[np.minimum(ends - np.arange(n), 8)]
+    # 0 is for what lies past the end.
+    ranks = np.unique(words, return_inverse=True)[1] + 1
+    bits = n.bit_length()
+    keys, room = [], 0
+    for k in range(0, width, 8):
+        inside = lengths > k
+        piece = np.zeros(len(starts), np.int64)
+        piece[inside] = ranks[starts[inside] + k]
+        if room < bits:
+            keys.append(piece)
+            room = 63 - bits
+        else:
+            keys[-1] = keys[-1] << bits | piece
+            room -= bits
+    order = np.lexsort(keys[::-1])
     common = np.zeros(len(starts), np.int32)
     one, other = starts[order[1:]], starts[order[:-1]]
+    most = np.minimum(lengths[order[1:]], lengths[order[:-1]])
     shared = np.zeros(len(one), np.int32)
-    for size, ranks in [*reversed(levels), (0, None)]:
-        a, b = one + shared, other + shared
-        inside = (a < ends[one]) & (b < ends[other])
-        a, b = np.where(inside, a, 0), np.where(inside, b, 0)
-        if size:
-            shared += np.where(inside & (ranks[a] == ranks[b]), size, 0).astype(np.int32)
-        else:
-            differ = words[a] ^ words[b]
-            for j in range(1, 9):
-                shared += inside & (differ >> np.uint64(64 - 8 * j) == 0)
-    if len(order):
-        common[1:] = np.minimum(shared, np.minimum(lengths[order[1:]], lengths[order[:-1]]))
+    alike = np.arange(len(one))
+    for k in range(0, width, 8):
+        alike = alike[most[alike] > k]
+        differ = words[one[alike] + k] ^ words[other[alike] + k]
+        apart = differ != 0
+        shared[alike[~apart]] = k + 8
+        here, differ = np.full(apart.sum(), k, np.int32), differ[apart]
+        for j in range(1, 8):
+            here += differ >> np.uint64(64 - 8 * j) == 0
+        shared[alike[apart]] = here
+        alike = alike[~apart]
+    common[1:] = np.minimum(shared, most)
     return order, common
 
 
@@ -192,10 +195,20 @@ def maximal_repeats(order: np.ndarray, shared: np.ndarray, left: np.ndarray, own
     side, mine = left[order], owner[order]
     differ = np.zeros(len(order), np.int64)
     differ[1:] = np.cumsum((side[1:] != side[:-1]) | (side[1:] < 0))
-    found: list[tuple[int, int, int, int]] = []
+    # Only runs of suffixes with long enough prefixes matter. One prefix for the whole run makes one interval.
+    long = common >= least
+    begins, ends = np.flatnonzero(~long[:-1] & long[1:]), np.flatnonzero(long[:-1] & ~long[1:])
+    inner = np.stack([begins + 1, ends + 1], axis=1).ravel()
+    lowest, highest = (f.reduceat(common, inner)[::2] if len(inner) else inner for f in (np.minimum, np.maximum))
+    runs = np.stack([begins, ends + 1], axis=1).ravel()
+    owned = np.minimum.reduceat(np.append(mine, 0), runs)[::2] if len(runs) else runs
+    even = lowest == highest
+    plain = even & (differ[ends] > differ[begins])
+    found = list(zip(*(x[plain].tolist() for x in (begins, ends, lowest, owned)), strict=True))
     stack: list[list[int]] = []  # first position, length, smallest owner
-    # Only positions near a long enough prefix matter; the stack is empty between them.
-    near = np.flatnonzero((common[:-1] >= least) | (common[1:] >= least)).tolist()
+    # The stack is empty between the other runs.
+    sizes = (ends - begins + 1)[~even]
+    near = (np.repeat(begins[~even] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())).tolist()
     previous, after, owners, changes = common[:-1].tolist(), common[1:].tolist(), mine.tolist(), differ.tolist()
     for i in near:
         # The suffix at i opens or joins intervals; those longer than what follows close.
@@ -216,18 +229,45 @@ def maximal_repeats(order: np.ndarray, shared: np.ndarray, left: np.ndarray, own
     return found
 
 
+def held_by_several(data: np.ndarray, starts: np.ndarray, owner: np.ndarray, width: int) -> np.ndarray:
+    """Which windows of ``width`` bytes may have equals of another owner.
+
+    Equal windows have equal hashes; different ones with one hash stay, too.
+    """
+    hashes = span_hashes(data, starts, starts + width, width)
+    order = np.argsort(hashes)
+    edge = np.ones(len(order), bool)
+    edge[1:] = hashes[order[1:]] != hashes[order[:-1]]
+    first = np.flatnonzero(edge)
+    mine = owner[order]
+    several = np.minimum.reduceat(mine, first) < np.maximum.reduceat(mine, first)
+    out = np.zeros(len(order), bool)
+    out[order] = np.repeat(several, np.diff(np.append(first, len(order))))
+    return out
+
+
 def marks_in_shard(strings: bytes, sizes: np.ndarray, owner: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """String number, offset and length of every occurrence that is not its owner's."""
+    """String number, offset and length of every occurrence that is not its owner's.
+
+    A suffix whose first ``least`` bytes no other owner has can neither be
+    marked nor mark another, so only the others are sorted.
+    """
     data = np.frombuffer(strings, np.uint8)
-    ends = np.cumsum(sizes)
-    begins = ends - sizes
     counts = sizes - least + 1
     number = np.repeat(np.arange(len(sizes)), counts)
     offset = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    start = begins[number] + offset
-    if not len(start):
+    if len(number):
+        start = (np.cumsum(sizes) - sizes)[number] + offset
+        kept = held_by_several(data, start, owner[number], least)
+        number, offset = number[kept], offset[kept]
+    if not len(number):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    order, shared = sorted_suffixes(data, start, ends[number] - start, np.repeat(ends, sizes))
+    used = np.zeros(len(sizes), bool)
+    used[number] = True
+    data = data[np.repeat(used, sizes)]
+    ends = np.cumsum(np.where(used, sizes, 0))
+    start = (ends - sizes)[number] + offset
+    order, shared = sorted_suffixes(data, start, ends[number] - start, np.repeat(ends[used], sizes[used]))
     left = np.where(offset > 0, data[np.maximum(start - 1, 0)].astype(np.int16), np.int16(-1))
     found = maximal_repeats(order, shared, left, owner[number], least)
     longest = np.zeros(len(start), np.int64)

@@ -641,6 +641,38 @@ def test_maximal_repeats_equal_brute_force():
         assert got == expected
 
 
+def test_only_windows_that_another_owner_may_hold_are_sorted(monkeypatch):
+    source = random.Random(12)
+    sorted_ones, plainly = [], repeats.sorted_suffixes
+    monkeypatch.setattr(repeats, "sorted_suffixes", lambda data, starts, *more: sorted_ones.append(len(starts)) or plainly(data, starts, *more))
+    least, skipped = 6, 0
+    for letters in ("ab", "abcdefgh"):
+        for _ in range(30):
+            strings = ["".join(source.choices(letters, k=source.randint(least, 30))).encode() for _ in range(12)]
+            strings += [strings[0], strings[1][2:] + b"zz" * least, b"z" * 40]
+            owner = np.array([source.randint(0, 4) for _ in strings])
+            sizes = np.array([len(t) for t in strings])
+            number, offset, size = repeats.marks_in_shard(b"".join(strings), sizes, owner, least)
+            lowest = {}
+            windows = [(n, p, t[p : p + least]) for n, t in enumerate(strings) for p in range(len(t) - least + 1)]
+            for n, _, w in windows:
+                lowest.setdefault(w, []).append(owner[n])
+            marked = [bytearray(len(t)) for t in strings]
+            for n, p, k in zip(number, offset, size, strict=True):
+                marked[n][p : p + k] = b"\1" * k
+            expected = [bytearray(len(t)) for t in strings]
+            for n, p, w in windows:
+                if min(lowest[w]) < owner[n]:
+                    expected[n][p : p + least] = b"\1" * least
+            assert marked == expected
+            several = sum(min(lowest[w]) < max(lowest[w]) for _, _, w in windows)
+            assert (sorted_ones.pop() if several else 0) == several
+            skipped += len(windows) - several
+    assert skipped > 1000
+    # Nothing to share: nothing to sort.
+    assert not repeats.marks_in_shard(b"abcdefghij", np.array([10]), np.array([1]), least)[0].size and not sorted_ones
+
+
 def test_sorted_suffixes_equal_plain_sorting():
     source = np.random.default_rng(8)
     for letters, longest in ((2, 113), (1, 113), (255, 40), (2, 5), (3, 200)):
