@@ -9,12 +9,13 @@ be found anchor by anchor:
 2. The stretches of text around the other anchors go to the shard of their
    anchor, each different stretch of a block once.
 3. A shard sorts the suffixes of its stretches, but for those whose first
-   ``length`` bytes one document alone has, takes common prefixes of neighbours and walks the tree of common-prefix intervals with a stack. An
-   interval whose suffixes differ in the byte to their left is a maximal repeat;
-   its occurrences are all suffixes of the interval, and the smallest document
-   among them owns it. Where an anchor has more windows than a shard should
-   sort at once, each different window of a block goes alone to the shard of its
-   own hash, so that equal windows still meet.
+   ``length`` bytes one document alone has, takes common prefixes of neighbours
+   and walks the tree of common-prefix intervals with a stack. An interval whose
+   suffixes differ in the byte to their left is a maximal repeat; its occurrences
+   are all suffixes of the interval, and the smallest document among them owns
+   it. Where an anchor has more windows than a shard should sort at once, each
+   different window of a block goes alone to the shard of its own hash, so that
+   equal windows still meet.
 4. Back in its block, every occurrence outside the owner is marked.
 
 Texts are shuffled once, to their blocks; equal texts are told apart by hash
