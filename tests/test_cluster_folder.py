@@ -69,6 +69,7 @@ def shared(spark, tmp_path_factory):
 
 STAGING = [
     "cohort",
+    "cohort_as_written",
 ]
 
 
