@@ -70,6 +70,7 @@ def shared(spark, tmp_path_factory):
 STAGING = [
     "cohort",
     "cohort_as_written",
+    "cohort_first_onset",
 ]
 
 
