@@ -71,6 +71,7 @@ STAGING = [
     "cohort",
     "cohort_as_written",
     "cohort_first_onset",
+    "cohort_by_id",
 ]
 
 
