@@ -72,6 +72,7 @@ STAGING = [
     "cohort_as_written",
     "cohort_first_onset",
     "cohort_by_id",
+    "cohort_members",
 ]
 
 
