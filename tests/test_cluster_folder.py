@@ -73,6 +73,7 @@ STAGING = [
     "cohort_first_onset",
     "cohort_by_id",
     "cohort_members",
+    "cohort_targets",
 ]
 
 
