@@ -74,6 +74,7 @@ STAGING = [
     "cohort_by_id",
     "cohort_members",
     "cohort_targets",
+    "cohort_or_death",
 ]
 
 
