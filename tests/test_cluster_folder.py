@@ -75,6 +75,7 @@ STAGING = [
     "cohort_members",
     "cohort_targets",
     "cohort_or_death",
+    "common_conditions",
 ]
 
 
