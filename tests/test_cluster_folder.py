@@ -76,6 +76,7 @@ STAGING = [
     "cohort_targets",
     "cohort_or_death",
     "common_conditions",
+    "condition_counts",
 ]
 
 
