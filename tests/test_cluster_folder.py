@@ -77,6 +77,7 @@ STAGING = [
     "cohort_or_death",
     "common_conditions",
     "condition_counts",
+    "common_drugs",
 ]
 
 
