@@ -80,6 +80,7 @@ STAGING = [
     "common_drugs",
     "condition_lookback",
     "dataset_roundtrip",
+    "death_csv",
 ]
 
 
