@@ -81,6 +81,7 @@ STAGING = [
     "condition_lookback",
     "dataset_roundtrip",
     "death_csv",
+    "condition_pivot",
 ]
 
 
