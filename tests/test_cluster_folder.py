@@ -82,6 +82,7 @@ STAGING = [
     "dataset_roundtrip",
     "death_csv",
     "condition_pivot",
+    "drug_counts",
 ]
 
 
