@@ -83,6 +83,7 @@ STAGING = [
     "death_csv",
     "condition_pivot",
     "drug_counts",
+    "drug_csv",
 ]
 
 
