@@ -84,6 +84,7 @@ STAGING = [
     "condition_pivot",
     "drug_counts",
     "drug_csv",
+    "drug_lookback",
 ]
 
 
