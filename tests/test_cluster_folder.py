@@ -85,6 +85,7 @@ STAGING = [
     "drug_counts",
     "drug_csv",
     "drug_lookback",
+    "features_as_written",
 ]
 
 
