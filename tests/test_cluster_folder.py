@@ -86,6 +86,7 @@ STAGING = [
     "drug_csv",
     "drug_lookback",
     "features_as_written",
+    "drug_pivot",
 ]
 
 
