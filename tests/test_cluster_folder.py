@@ -87,6 +87,7 @@ STAGING = [
     "drug_lookback",
     "features_as_written",
     "drug_pivot",
+    "features_first_onset",
 ]
 
 
