@@ -88,6 +88,7 @@ STAGING = [
     "features_as_written",
     "drug_pivot",
     "features_first_onset",
+    "features_person",
 ]
 
 
