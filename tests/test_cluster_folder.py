@@ -89,6 +89,7 @@ STAGING = [
     "drug_pivot",
     "features_first_onset",
     "features_person",
+    "landing_rejects",
 ]
 
 
